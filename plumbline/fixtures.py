@@ -8,7 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.operators.selection import select_tables
 from plumbline.sources.cdm import Cdm
+from plumbline.sources.control import Controls
+from plumbline.sources.standard import (
+    standard_descriptions,
+    standard_table_control,
+    strings_frame,
+)
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -186,3 +193,98 @@ def with_views(sql: str, *names: str) -> str:
     """The statement with the named views in front of it as common table expressions."""
     ctes = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in names)
     return f"WITH {ctes}\n{sql}" if names else sql
+
+
+# Control tables for the views. NOTE and PERSON.no_such_field do not exist, to show what a run
+# says about missing tables and fields.
+FIELD_RULES = (
+    {"cdmTableName": "PERSON", "cdmFieldName": "gender_concept_id", "isRequired": "Yes",
+     "isRequiredThreshold": "0", "measureValueCompleteness": "Yes",
+     "measureValueCompletenessThreshold": "100"},
+    {"cdmTableName": "PERSON", "cdmFieldName": "year_of_birth", "plausibleValueLow": "1950",
+     "plausibleValueLowThreshold": "1"},
+    {"cdmTableName": "PERSON", "cdmFieldName": "location_id", "isForeignKey": "Yes",
+     "fkTableName": "LOCATION", "fkFieldName": "LOCATION_ID", "isForeignKeyThreshold": "0"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_id", "isPrimaryKey": "Yes",
+     "isPrimaryKeyThreshold": "0"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_concept_id",
+     "isForeignKey": "Yes", "fkTableName": "CONCEPT", "fkFieldName": "CONCEPT_ID",
+     "fkDomain": "PROMO", "fkClass": "Brand#12", "isStandardValidConcept": "Yes",
+     "standardConceptRecordCompleteness": "Yes",
+     "standardConceptRecordCompletenessThreshold": "5"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_date", "cdmDatatype": "date",
+     "plausibleValueLow": "'1996-01-01'", "plausibleValueHigh": "'20010101'",
+     "plausibleTemporalAfter": "Yes", "plausibleTemporalAfterTableName": "PERSON",
+     "plausibleTemporalAfterFieldName": "BIRTH_DATETIME", "plausibleDuringLife": "Yes",
+     "plausibleDuringLifeThreshold": "50", "withinVisitDates": "Yes",
+     "withinVisitDatesThreshold": "5", "plausibleTemporalAfterThreshold": "20"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "value_as_number",
+     "measureValueCompleteness": "Yes", "measureValueCompletenessThreshold": "10",
+     "plausibleValueHigh": "45", "plausibleValueHighThreshold": "10"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "unit_concept_id",
+     "standardConceptRecordCompleteness": "Yes"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "provider_text", "cdmDatatype": "integer"},
+    {"cdmTableName": "VISIT_OCCURRENCE", "cdmFieldName": "visit_end_date",
+     "plausibleTemporalAfter": "Yes", "plausibleTemporalAfterTableName": "VISIT_OCCURRENCE",
+     "plausibleTemporalAfterFieldName": "VISIT_START_DATE"},
+    {"cdmTableName": "CONDITION_OCCURRENCE", "cdmFieldName": "condition_source_value",
+     "sourceValueCompleteness": "Yes", "sourceValueCompletenessThreshold": "10",
+     "standardConceptFieldName": "CONDITION_CONCEPT_ID"},
+    {"cdmTableName": "NOTE", "cdmFieldName": "note_id", "isRequired": "Yes"},
+    {"cdmTableName": "PERSON", "cdmFieldName": "no_such_field", "isRequired": "Yes"},
+)
+FIELD_COLUMNS = (
+    "cdmTableName", "cdmFieldName", "cdmDatatype", "cdmSourceFieldName", "isRequired",
+    "isPrimaryKey", "isForeignKey", "fkTableName", "fkFieldName", "fkDomain", "fkClass",
+    "isStandardValidConcept", "measureValueCompleteness", "standardConceptRecordCompleteness",
+    "sourceConceptRecordCompleteness", "sourceValueCompleteness", "standardConceptFieldName",
+    "plausibleValueLow", "plausibleValueHigh", "plausibleTemporalAfter",
+    "plausibleTemporalAfterTableName", "plausibleTemporalAfterFieldName", "plausibleDuringLife",
+    "withinVisitDates", "runForCohort", "cdmFieldThreshold", "isRequiredThreshold",
+    "isPrimaryKeyThreshold", "isForeignKeyThreshold", "measureValueCompletenessThreshold",
+    "standardConceptRecordCompletenessThreshold", "sourceValueCompletenessThreshold",
+    "plausibleValueLowThreshold", "plausibleValueHighThreshold",
+    "plausibleTemporalAfterThreshold", "plausibleDuringLifeThreshold",
+    "withinVisitDatesThreshold",
+)
+CONCEPT_RULES = (
+    {"conceptId": "7", "conceptName": "seven", "plausibleGender": "Male",
+     "plausibleGenderThreshold": "5", "plausibleUnitConceptIds": "2,3,4",
+     "plausibleUnitConceptIdsThreshold": "5"},
+    {"conceptId": "8", "conceptName": "eight", "plausibleUnitConceptIds": "NA",
+     "plausibleUnitConceptIdsThreshold": "5"},
+    {"conceptId": "7", "conceptName": "seven", "unitConceptId": "2", "plausibleValueLow": "10",
+     "plausibleValueHigh": "25"},
+    {"conceptId": "999999", "conceptName": "absent", "plausibleGender": "Female"},
+    {"conceptId": "999999", "conceptName": "absent", "unitConceptId": "2",
+     "plausibleUnitConceptIds": "2", "plausibleUnitConceptIdsThreshold": "5",
+     "plausibleValueLow": "1"},
+)
+CONCEPT_COLUMNS = (
+    "cdmTableName", "cdmFieldName", "conceptId", "conceptName", "unitConceptId",
+    "plausibleGender", "plausibleGenderThreshold", "plausibleUnitConceptIds",
+    "plausibleUnitConceptIdsThreshold", "plausibleValueLow", "plausibleValueLowThreshold",
+    "plausibleValueHigh", "plausibleValueHighThreshold",
+)
+RUN_TABLES = ("PERSON", "VISIT_OCCURRENCE", "CONDITION_OCCURRENCE", "MEASUREMENT", "NOTE",
+              "LOCATION", "CONDITION_ERA")
+
+
+def fixture_controls(spark: SparkSession) -> Controls:
+    """Controls for the views, with the checks that belong to no standard set too."""
+
+    def frame(columns: tuple[str, ...], rules: tuple[dict, ...], **same: str) -> DataFrame:
+        rows = [tuple((same | rule).get(name) for name in columns) for rule in rules]
+        return strings_frame(spark, list(columns), rows)
+
+    return Controls(
+        standard_descriptions(spark, extra=True),
+        select_tables(standard_table_control(spark), include=RUN_TABLES),
+        frame(FIELD_COLUMNS, FIELD_RULES),
+        frame(
+            CONCEPT_COLUMNS,
+            CONCEPT_RULES,
+            cdmTableName="MEASUREMENT",
+            cdmFieldName="measurement_concept_id",
+        ),
+    )

@@ -1,0 +1 @@
+"""Running the checks that control tables ask for."""
