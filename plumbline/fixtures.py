@@ -6,6 +6,8 @@ sides of a comparison. The driver's tables have no NULLs and no broken keys; the
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.operators.selection import select_tables
@@ -106,11 +108,11 @@ VIEWS = {
     """,
 }
 
-# Stored results of many runs (one run per customer) and a field control table, built from rows of
+# Stored results of many runs (one run per ten customers) and a field control table, built from rows of
 # the driver's tables so that they grow with them.
 VIEWS |= {
     "check_history": """
-        SELECT o_custkey AS run_id,
+        SELECT CAST(FLOOR(o_custkey / 10) AS BIGINT) AS run_id,
         o_orderkey AS result_id,
         CASE WHEN o_orderkey % 11 < 2 THEN 'TABLE' WHEN o_orderkey % 11 < 9 THEN 'FIELD'
             ELSE 'CONCEPT' END AS check_level,
@@ -169,14 +171,17 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One view as a DataFrame; the driver's tables it reads are passed in by name."""
-    sql = VIEWS[name]
-    used = {t: base_table(spark, folder, t) for t in BASE_TABLES if f" {t}" in f" {sql} "}
+def view(
+    spark: SparkSession, folder: str, name: str, tables: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """One view as a DataFrame; ``tables`` keeps the driver's tables that were opened already."""
+    sql, tables = VIEWS[name], {} if tables is None else tables
+    used = re.findall(r"(?:FROM|JOIN) (\w+)", sql)
     for table in used:
-        sql = sql.replace(f"FROM {table}", f"FROM {{{table}}} AS {table}")
-        sql = sql.replace(f"JOIN {table}", f"JOIN {{{table}}} AS {table}")
-    return spark.sql(sql, **used)
+        if table not in tables:
+            tables[table] = base_table(spark, folder, table)
+    sql = re.sub(r"(FROM|JOIN) (\w+)", r"\1 {\2} AS \2", sql)
+    return spark.sql(sql, **{table: tables[table] for table in used})
 
 
 CDM_VIEWS = (
@@ -186,7 +191,8 @@ CDM_VIEWS = (
 
 
 def fixture_cdm(spark: SparkSession, folder: str) -> Cdm:
-    return Cdm({name: view(spark, folder, name) for name in CDM_VIEWS})
+    tables: dict[str, DataFrame] = {}
+    return Cdm({name: view(spark, folder, name, tables) for name in CDM_VIEWS})
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -247,6 +253,7 @@ FIELD_COLUMNS = (
     "plausibleTemporalAfterThreshold", "plausibleDuringLifeThreshold",
     "withinVisitDatesThreshold",
 )
+CONCEPT_FIELD = {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_concept_id"}
 CONCEPT_RULES = (
     {"conceptId": "7", "conceptName": "seven", "plausibleGender": "Male",
      "plausibleGenderThreshold": "5", "plausibleUnitConceptIds": "2,3,4",
@@ -284,7 +291,6 @@ def fixture_controls(spark: SparkSession) -> Controls:
         frame(
             CONCEPT_COLUMNS,
             CONCEPT_RULES,
-            cdmTableName="MEASUREMENT",
-            cdmFieldName="measurement_concept_id",
+            **CONCEPT_FIELD,
         ),
     )

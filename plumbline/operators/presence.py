@@ -26,16 +26,17 @@ def actual_fields(spark: SparkSession, cdm: Cdm) -> DataFrame:
 
 
 def _presence(expected: DataFrame, actual: DataFrame, keys: Iterable[str]) -> DataFrame:
-    keys = list(keys)
-    there = actual.select(keys).distinct().withColumn("there", F.lit(True))
-    normal = expected
-    for key in keys:
-        normal = normal.withColumn(key, F.lower(key))
-    missing = F.col("there").isNull().cast("bigint")
-    return normal.join(there, keys, "left").select(
-        *expected.columns,
-        missing.alias(VIOLATED),
-        F.lit(1).cast("bigint").alias(DENOMINATOR),
+    """Expected rows with 1 of 1 violated where nothing of that name is there, in any case."""
+    lower = {f"__{key}": key for key in keys}
+    there = actual.select(*[F.col(key).alias(name) for name, key in lower.items()]).distinct()
+    return (
+        expected.withColumns({name: F.lower(key) for name, key in lower.items()})
+        .join(there.withColumn("__there", F.lit(True)), list(lower), "left")
+        .select(
+            *expected.columns,
+            F.col("__there").isNull().cast("bigint").alias(VIOLATED),
+            F.lit(1).cast("bigint").alias(DENOMINATOR),
+        )
     )
 
 

@@ -38,66 +38,72 @@ PARAMETERS = (
 )
 
 
-def checks_of(description: dict, control: DataFrame) -> DataFrame:
-    """The checks that one description makes of a control table."""
-    level, name = description["checkLevel"], description["checkName"]
-    rows = evaluation_filter(control, description["evaluationFilter"])
-    there = {column.lower(): column for column in rows.columns}
-
-    def cell(column: str) -> Column:
-        found = there.get(column.lower())
-        value = F.lit(None) if found is None else F.col(f"`{found}`")
-        return value.cast("string")
-
-    def filled(column: str) -> Column:
-        return F.when(~cell(column).rlike(r"^\s*$"), cell(column))
-
-    template = description["checkDescription"] or ""
-    mentioned = [n for n in dict.fromkeys(re.findall(r"@(\w+)", template)) if n in rows.columns]
-    return rows.select(
-        F.lit(level).alias("check_level"),
-        F.lit(name).alias("check_name"),
-        render_description(F.lit(template), mentioned).alias("check_description"),
-        cell("cdmTableName").alias("cdm_table_name"),
-        filled("cdmFieldName").alias("cdm_field_name"),
-        filled("conceptId").alias("concept_id"),
-        filled("unitConceptId").alias("unit_concept_id"),
-        F.lit(description["sqlFile"]).alias("sql_file"),
-        F.lit(description["kahnCategory"]).alias("category"),
-        F.lit(description["kahnSubcategory"]).alias("subcategory"),
-        F.lit(description["kahnContext"]).alias("context"),
-        check_id(
-            F.lit(level),
-            F.lit(name),
-            cell("cdmTableName"),
-            cell("cdmFieldName"),
-            cell("conceptId"),
-            cell("unitConceptId"),
-        ).alias("checkid"),
-        filled(f"{name}Threshold").try_cast("double").alias("threshold_value"),
-        filled(f"{name}Notes").alias("notes_value"),
-        *[cell(parameter).alias(parameter) for parameter in PARAMETERS],
-    )
+def union_results(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of several DataFrames as one; columns that one of them lacks are NULL there."""
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part, allowMissingColumns=True)
+    return union
 
 
-def checks_to_run(controls: Controls) -> DataFrame:
-    """All checks of a run with their parameters and thresholds."""
+def level_checks(descriptions: DataFrame, control: DataFrame, level: str) -> DataFrame | None:
+    """The checks of one level: control rows that pass the filter of a description, with the texts
+    of the description and the threshold and notes that the control row has for that check."""
+    chosen = [
+        row.asDict() for row in descriptions.where(F.col("checkLevel") == level).collect()
+    ]
+    if not chosen:
+        return None
+    there = {name.lower(): f"`{name}`" for name in control.columns}
+
+    def filled(name: str) -> str:
+        found = there.get(name.lower(), "NULL")
+        return f"CASE WHEN trim({found}) != '' THEN CAST({found} AS STRING) END"
+
     parts = [
-        checks_of(row.asDict(), controls.level(row["checkLevel"]))
-        for row in controls.descriptions.collect()
+        evaluation_filter(control, row["evaluationFilter"]).selectExpr(
+            "*",
+            f"'{row['checkName']}' AS check_name",
+            f"try_cast({filled(row['checkName'] + 'Threshold')} AS DOUBLE) AS threshold_value",
+            f"{filled(row['checkName'] + 'Notes')} AS notes_value",
+        )
+        for row in chosen
     ]
-    checks = parts[0]
-    for part in parts[1:]:
-        checks = checks.unionByName(part)
-    return checks
+    templates = " ".join(row["checkDescription"] or "" for row in chosen)
+    mentioned = [
+        name for name in dict.fromkeys(re.findall(r"@(\w+)", templates)) if name in control.columns
+    ]
+    texts = descriptions.where(F.col("checkLevel") == level).drop("checkLevel")
+    rows = union_results(parts).join(texts, F.col("check_name") == F.col("checkName"))
+    return rows.withColumn(
+        "rendered", render_description(F.coalesce("checkDescription", F.lit("")), mentioned)
+    ).selectExpr(
+        f"'{level}' AS check_level",
+        "check_name",
+        "rendered AS check_description",
+        "cdmTableName AS cdm_table_name",
+        f"{filled('cdmFieldName')} AS cdm_field_name",
+        f"{filled('conceptId')} AS concept_id",
+        f"{filled('unitConceptId')} AS unit_concept_id",
+        "sqlFile AS sql_file",
+        "kahnCategory AS category",
+        "kahnSubcategory AS subcategory",
+        "kahnContext AS context",
+        "threshold_value",
+        "notes_value",
+        *[f"CAST({there.get(p.lower(), 'NULL')} AS STRING) AS {p}" for p in PARAMETERS],
+    )
 
 
-def union_results(parts: Sequence[DataFrame]) -> DataFrame:
-    """Counts of several jobs as one table."""
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part, allowMissingColumns=True)
-    return counts
+def checks_to_run(controls: Controls) -> DataFrame:
+    """All checks of a run with their parameters and thresholds."""
+    known = controls.descriptions.select("checkLevel").distinct().collect()
+    levels = {row["checkLevel"]: controls.level(row["checkLevel"]) for row in known}
+    parts = [level_checks(controls.descriptions, df, level) for level, df in levels.items()]
+    ident = ("check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id")
+    return union_results([part for part in parts if part is not None]).withColumn(
+        "checkid", check_id(*[F.col(name) for name in (*ident, "unit_concept_id")])
+    )
 
 
 def record_result(checks: DataFrame, counts: DataFrame) -> DataFrame:

@@ -373,7 +373,7 @@ def count_isolated(
 
     groups = group_checks(ready, cohort)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        done = [pool.submit(inheritable_thread_target(run), group) for group in groups]
+        done = [pool.submit(inheritable_thread_target(spark)(run), group) for group in groups]
         parts = [job.result() for job in done]
     counted = [row for rows, _ in parts for row in rows]
     for _, found in parts:
