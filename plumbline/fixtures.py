@@ -7,6 +7,7 @@ sides of a comparison. The driver's tables have no NULLs and no broken keys; the
 from __future__ import annotations
 
 import re
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -192,7 +193,7 @@ CDM_VIEWS = (
 
 def fixture_cdm(spark: SparkSession, folder: str) -> Cdm:
     tables: dict[str, DataFrame] = {}
-    return Cdm({name: view(spark, folder, name, tables) for name in CDM_VIEWS})
+    return Cdm({name: partial(view, spark, folder, name, tables) for name in CDM_VIEWS})
 
 
 def with_views(sql: str, *names: str) -> str:

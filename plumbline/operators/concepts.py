@@ -187,7 +187,7 @@ def count_concept_checks(
 
 def _single(cdm, table, field, kind, concept_id, cohort, **params) -> DataFrame:
     df = cdm[table].where(col(field) == concept_id)
-    narrowed = Cdm({**cdm, table: df})
+    narrowed = cdm.with_table(table, df)
     control = concept_control(df.sparkSession, "", kind, concept_id, **params)
     return check_counts(count_concept_checks(narrowed, table, field, control, (kind,), cohort))
 

@@ -99,7 +99,7 @@ def report_view(
     rows = report_rows(results, keep)
     for name, value in (filters or {}).items():
         rows = rows.where(F.col(name) == value)
-    order = [F.coalesce(F.col("share"), F.lit(0.0)).desc(), *tie_breakers]
+    order = [F.coalesce(F.col("share"), F.lit(0.0)).desc(), *tie_breakers, *keep]
     rows = rows.orderBy(*order)
     if page_size is not None:
         rows = rows.offset(page * page_size).limit(page_size) if page else rows.limit(page_size)

@@ -328,8 +328,8 @@ def split_missing(rows: Sequence[dict], cdm: Cdm) -> tuple[list[dict], dict[str,
 
 
 def count_checks(cdm: Cdm, checks: Checks, cohort: Cohort | None = None) -> DataFrame:
-    """Counts of all checks as one DataFrame, nothing executed yet: Spark runs the groups side by
-    side, and a failing check fails the job."""
+    """Counts of all checks as one DataFrame, nothing executed yet. A failing check fails its job;
+    ``count_isolated`` is the way to run many checks."""
     ready, errors = split_missing(checks.rows, cdm)
     parts = [group.counts(cdm, checks, cohort) for group in group_checks(ready, cohort)]
     parts.append(_counts_frame(checks.df.sparkSession, [], errors))
@@ -410,16 +410,12 @@ def run_checks(
     exclude: Iterable[str] = VOCABULARY_TABLES,
     names: Iterable[str] = (),
     cohort: Cohort | None = None,
-    isolate: bool = True,
     parallel: int = 4,
 ) -> Run:
-    """Select, count, judge. With ``isolate`` the counting happens here and errors become results;
-    without it the results are a lazy DataFrame over all checks."""
+    """Select the checks, count group by group, judge the counts. Counting happens here; judging
+    is lazy, over one small row per check."""
     started = datetime.now(timezone.utc)
     checks = prepare(spark, controls, include, exclude, names)
-    if isolate:
-        counts = count_isolated(cdm, checks, cohort, parallel)
-    else:
-        counts = count_checks(cdm, checks, cohort)
+    counts = count_isolated(cdm, checks, cohort, parallel)
     results = result_table(evaluate(record_result(checks.df, counts)))
     return Run(results, started, datetime.now(timezone.utc), read_cdm_source(cdm))

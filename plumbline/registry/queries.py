@@ -398,9 +398,7 @@ def not_applicable_column(name: str) -> Query:
 
 def run_all(spark: SparkSession, folder: str) -> DataFrame:
     """The whole run: select, count, judge."""
-    run = run_checks(
-        spark, fixture_cdm(spark, folder), fixture_controls(spark), isolate=False
-    )
+    run = run_checks(spark, fixture_cdm(spark, folder), fixture_controls(spark))
     return run.results.select(
         "checkid", "check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id",
         "unit_concept_id", "category", VIOLATED, PERCENT, DENOMINATOR, "error",
@@ -410,9 +408,7 @@ def run_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_overview(spark: SparkSession, folder: str) -> DataFrame:
-    run = run_checks(
-        spark, fixture_cdm(spark, folder), fixture_controls(spark), isolate=False
-    )
+    run = run_checks(spark, fixture_cdm(spark, folder), fixture_controls(spark))
     return run.overview()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,26 +44,53 @@ class Rows:
         return F.lit(1).cast("bigint") if self.weight is None else self.weight
 
 
-class Cdm(Mapping[str, DataFrame]):
-    """Tables under test. Names are looked up case-insensitively; absent tables are simply absent."""
+Loader = Callable[[], DataFrame | None]
+
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
-        self._tables = {name.lower(): df for name, df in tables.items()}
+class Cdm(Mapping[str, DataFrame]):
+    """Tables under test. Names are looked up case-insensitively; absent tables are simply absent.
+
+    A table may be given as a function that opens it, or returns None if it does not exist. It is
+    called when the table is first asked for, so a run opens only the tables that it checks.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | Loader]):
+        self._tables: dict[str, DataFrame | None] = {}
+        self._closed: dict[str, Loader] = {}
+        for name, table in tables.items():
+            if isinstance(table, DataFrame):
+                self._tables[name.lower()] = table
+            else:
+                self._closed[name.lower()] = table
+
+    def _open(self, name: str) -> DataFrame | None:
+        key = name.lower()
+        if key not in self._tables and key in self._closed:
+            self._tables[key] = self._closed[key]()
+        return self._tables.get(key)
 
     def __getitem__(self, name: str) -> DataFrame:
-        try:
-            return self._tables[name.lower()]
-        except KeyError:
-            raise KeyError(f"Table {name} does not exist.") from None
+        table = self._open(name)
+        if table is None:
+            raise KeyError(f"Table {name} does not exist.")
+        return table
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._tables)
+        names = dict.fromkeys([*self._tables, *self._closed])
+        return (name for name in names if self._open(name) is not None)
 
     def __len__(self) -> int:
-        return len(self._tables)
+        return sum(1 for _ in self)
 
     def __contains__(self, name: object) -> bool:
-        return isinstance(name, str) and name.lower() in self._tables
+        return isinstance(name, str) and self._open(name) is not None
+
+    def with_table(self, name: str, table: DataFrame) -> Cdm:
+        """The same tables with one replaced."""
+        return Cdm({**self._closed, **self._opened(), name.lower(): table})
+
+    def _opened(self) -> dict[str, DataFrame]:
+        return {name: table for name, table in self._tables.items() if table is not None}
 
     def field(self, table: str, field: str) -> T.StructField | None:
         """Schema entry of a field, or None."""
@@ -101,16 +129,24 @@ class Cdm(Mapping[str, DataFrame]):
         return df.join(subjects, F.col("person_id") == F.col("__subject")).drop("__subject")
 
 
-def _load(names: Iterable[str], read: Callable[[str], DataFrame]) -> Cdm:
-    """Tables that can be read; a name without data is left out (its checks report it missing)."""
-    tables = {}
-    for name in names:
-        try:
-            tables[name] = read(name)
-        except AnalysisException as error:
-            if error.getCondition() not in {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}:
+NOT_THERE = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+
+
+def _loaders(names: Iterable[str], read: Callable[[str], DataFrame]) -> Cdm:
+    """Tables opened on demand; a name without data is left out (its checks report it missing)."""
+
+    def loader(name: str) -> Loader:
+        def load() -> DataFrame | None:
+            try:
+                return read(name)
+            except AnalysisException as error:
+                if error.getCondition() in NOT_THERE:
+                    return None
                 raise
-    return Cdm(tables)
+
+        return load
+
+    return Cdm({name: loader(name) for name in names})
 
 
 def cdm_from_files(
@@ -128,13 +164,13 @@ def cdm_from_files(
                 raise
             return reader.load(base)
 
-    return _load(names, read)
+    return _loaders(names, read)
 
 
 def cdm_from_catalog(spark: SparkSession, names: Iterable[str], schema: str | None = None) -> Cdm:
     """Catalog tables ``schema.<name>``; also the way to tables of any Spark catalog plug-in."""
     prefix = f"{schema}." if schema else ""
-    return _load(names, lambda name: spark.table(f"{prefix}{name}"))
+    return _loaders(names, lambda name: spark.table(f"{prefix}{name}"))
 
 
 def cdm_from_jdbc(
@@ -155,7 +191,7 @@ def cdm_from_jdbc(
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"{prefix}{name}")
         return reader.options(**options, **parallel.get(name.lower(), {})).load()
 
-    return Cdm({name: read(name) for name in names})
+    return Cdm({name: partial(read, name) for name in names})
 
 
 def row_counts(cdm: Cdm) -> DataFrame:
