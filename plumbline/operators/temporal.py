@@ -2,10 +2,10 @@
 
 SQL joins the tables and compares every pair. Only the number of violating pairs is wanted, so no
 pair is built here. Per key (person or visit) the dates of the checked rows and the limits of the
-partner rows are put on one time line, counted per day, and a running sum over the days says how
-many limits lie before or after each date. Both sides are counted per key and day before they are
-sorted: a person who owns a third of all rows leaves one row per calendar day, however many
-duplicates either table has. All date fields and all partners of a table share one pass.
+partner rows are put on one time line and counted per place; running sums along the line then say
+how many dates, or limits, lie before each place. Both sides are counted per key and place before
+they are sorted: a person who owns a third of all rows leaves one row per calendar day, however
+many duplicates either table has. All date fields and all partners of a table share one pass.
 """
 
 from __future__ import annotations
@@ -33,11 +33,14 @@ DEATH_TABLE, DEATH_FIELD = "death", "death_date"
 VISIT_TABLE, VISIT_START, VISIT_END = "visit_occurrence", "visit_start_date", "visit_end_date"
 DAYS_AFTER_DEATH = 60
 DAYS_AROUND_VISIT = 7
+# Places before and after every date: limits that are never, or always, passed lie at the ends, and
+# so do rows without a date.
+FIRST, LAST = -(2**62), 2**62
 
 
 def day_position(date: Column) -> Column:
     """Place of a day on the time line. Days take even places; see ``moment_position``."""
-    return F.unix_date(date) * 2
+    return F.unix_date(date).cast("bigint") * 2
 
 
 def moment_position(cdm: Cdm, table: str, field: str) -> Column:
@@ -54,64 +57,56 @@ def moment_position(cdm: Cdm, table: str, field: str) -> Column:
 
 @dataclass(frozen=True)
 class Limits:
-    """Partner rows on the time line: key, place (NULL allowed), and measures to be summed."""
+    """Partner rows on the time line: key, place, and measures to be summed."""
 
     df: DataFrame
     measures: tuple[str, ...]
 
 
-class Timeline:
-    """Numbers available at each (key, place) after the running sums."""
+def upto(measure: str) -> Column:
+    """Sum of a measure over the places up to this one."""
+    return F.col(f"upto_{measure}")
 
-    @staticmethod
-    def total(measure: str) -> Column:
-        """Sum of a measure over all places of the key."""
-        return F.col(f"total_{measure}")
 
-    @staticmethod
-    def earlier(measure: str) -> Column:
-        """Sum of a measure over the places before this one."""
-        return F.col(f"upto_{measure}") - F.col(measure)
-
-    @staticmethod
-    def later(measure: str) -> Column:
-        """Sum of a measure over the places after this one."""
-        return F.col(f"total_{measure}") - F.col(f"upto_{measure}")
+def before(measure: str) -> Column:
+    """Sum of a measure over the places before this one."""
+    return F.col(f"upto_{measure}") - F.col(measure)
 
 
 def build_timeline(
     rows: Rows, key: Column, points: Mapping[str, Column], limits: Sequence[Limits]
 ) -> DataFrame:
     """Per key and place: how many checked rows have that date (one column per entry of
-    ``points``), the partners' measures there, and their running and total sums."""
-    if len(points) == 1:
-        ((slot, place),) = points.items()
-        stacked = rows.df.select(
-            key.alias(KEY), place.cast("int").alias(AT), rows.times.alias(slot)
-        )
+    ``points``), the partners' measures there, and the running sums of all of them."""
+    places = {slot: F.coalesce(place, F.lit(LAST)) for slot, place in points.items()}
+    if len(places) == 1:
+        ((slot, place),) = places.items()
+        stacked = rows.df.select(key.alias(KEY), place.alias(AT), rows.times.alias(slot))
     else:
-        cells = [cell for slot, place in points.items() for cell in (F.lit(slot), place.cast("int"))]
+        cells = [cell for slot, place in places.items() for cell in (F.lit(slot), place)]
         stacked = rows.df.select(
             key.alias(KEY),
-            F.stack(F.lit(len(points)), *cells).alias("slot", AT),
+            F.stack(F.lit(len(places)), *cells).alias("slot", AT),
             rows.times.alias("times"),
         ).select(
             KEY, AT, *[F.when(F.col("slot") == slot, F.col("times")).alias(slot) for slot in points]
         )
     for part in limits:
         stacked = stacked.unionByName(part.df, allowMissingColumns=True)
-    measures = [m for part in limits for m in part.measures]
+    measures = [*points, *[m for part in limits for m in part.measures]]
     by_place = stacked.groupBy(KEY, AT).agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in [*points, *measures]]
+        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
     )
-    ordered = Window.partitionBy(KEY).orderBy(AT)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return by_place.select(
-        "*",
-        *[F.sum(m).over(upto).alias(f"upto_{m}") for m in measures],
-        *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
+    so_far = (
+        Window.partitionBy(KEY)
+        .orderBy(AT)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return by_place.select("*", *[F.sum(m).over(so_far).alias(f"upto_{m}") for m in measures])
+
+
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
 
 
 def person_limits(
@@ -124,13 +119,27 @@ def person_limits(
         .select(
             col(person_key).cast(as_type).alias(KEY),
             day_position(earliest).alias(AT),
-            F.lit(1).cast("bigint").alias(f"{prefix}_from"),
+            _one().alias(f"{prefix}_from"),
         )
         .where(F.col(KEY).isNotNull() & F.col(AT).isNotNull())
     )
     return Limits(df, (f"{prefix}_from",))
 
 
+def _two_events(rows: DataFrame, first: dict[str, Column], second: dict[str, Column]) -> DataFrame:
+    """Two rows on the time line for each row; measures that one of them lacks are NULL, and an
+    event without a place does not happen."""
+    names = list(dict.fromkeys([*first, *second]))
+
+    def event(values: dict[str, Column]) -> Column:
+        return F.struct(
+            *[values.get(name, F.lit(None).cast("bigint")).alias(name) for name in names]
+        )
+
+    events = rows.select(KEY, F.inline(F.array(event(first), event(second))))
+    return events.where(F.col(KEY).isNotNull() & F.col(AT).isNotNull())
+
+
 def death_limits(
     cdm: Cdm,
     prefix: str,
@@ -140,18 +149,13 @@ def death_limits(
     field: str = DEATH_FIELD,
     person_key: str = PERSON_KEY,
 ) -> Limits:
-    """Last plausible day after death; rows without a death date only mark the person as dead."""
-    last = F.date_add(as_date(col(field)), days)
-    one = F.lit(1).cast("bigint")
-    df = (
-        cdm[table]
-        .select(
-            col(person_key).cast(as_type).alias(KEY),
-            day_position(last).alias(AT),
-            one.alias(f"{prefix}_dead"),
-        )
-        .where(F.col(KEY).isNotNull())
-        .withColumn(f"{prefix}_until", F.when(F.col(AT).isNotNull(), one))
+    """Last plausible day after each death, and a mark at the start of a dead person's line."""
+    last = day_position(F.date_add(as_date(col(field)), days))
+    deaths = cdm[table].select(col(person_key).cast(as_type).alias(KEY), last.alias("last"))
+    df = _two_events(
+        deaths,
+        {AT: F.lit(FIRST), f"{prefix}_dead": _one()},
+        {AT: F.col("last"), f"{prefix}_until": _one()},
     )
     return Limits(df, (f"{prefix}_dead", f"{prefix}_until"))
 
@@ -166,37 +170,28 @@ def visit_limits(
     start: str = VISIT_START,
     end: str = VISIT_END,
 ) -> Limits:
-    """First and last plausible day of each visit. Where the last day comes before the first, no
-    date fits: such visits are counted as a whole and set no limits, so that a date is never both
-    too early and too late and the two counts can be added."""
-    first = day_position(F.date_sub(as_date(col(start)), days))
-    last = day_position(F.date_add(as_date(col(end)), days))
-    one = F.lit(1).cast("bigint")
-    seen, never = f"{prefix}_visits", f"{prefix}_never"
-    since, until = f"{prefix}_from", f"{prefix}_until"
+    """First and last plausible day of each visit; exactly one first day, so that these count the
+    visits. Without a start nothing is too early: the first day is the beginning of the line. Where
+    the last day comes before the first, no date fits: both are put at the beginning, so that every
+    date is too late and none is too early as well, and the two counts can be added."""
     visits = cdm[table].select(
-        col(visit_key).cast(as_type).alias(KEY), first.alias("first"), last.alias("last")
+        col(visit_key).cast(as_type).alias(KEY),
+        day_position(F.date_sub(as_date(col(start)), days)).alias("first"),
+        day_position(F.date_add(as_date(col(end)), days)).alias("last"),
     )
-    impossible = F.coalesce(F.col("last") < F.col("first"), F.lit(False))
-    events = F.array(
-        F.struct(
-            F.col("first").alias(AT),
-            one.alias(seen),
-            F.when(impossible, one).alias(never),
-            F.when(~impossible & F.col("first").isNotNull(), one).alias(since),
-            F.lit(None).cast("bigint").alias(until),
-        ),
-        F.struct(
-            F.when(~impossible, F.col("last")).alias(AT),
-            F.lit(None).cast("bigint").alias(seen),
-            F.lit(None).cast("bigint").alias(never),
-            F.lit(None).cast("bigint").alias(since),
-            F.when(~impossible & F.col("last").isNotNull(), one).alias(until),
-        ),
+    impossible = F.col("last") < F.col("first")
+    df = _two_events(
+        visits,
+        {
+            AT: F.when(impossible | F.col("first").isNull(), FIRST).otherwise(F.col("first")),
+            f"{prefix}_from": _one(),
+        },
+        {
+            AT: F.when(impossible, FIRST).otherwise(F.col("last")),
+            f"{prefix}_until": _one(),
+        },
     )
-    df = visits.where(F.col(KEY).isNotNull()).select(KEY, F.inline(events))
-    df = df.where(F.col(seen).isNotNull() | F.col(until).isNotNull())
-    return Limits(df, (seen, never, since, until))
+    return Limits(df, (f"{prefix}_from", f"{prefix}_until"))
 
 
 @dataclass(frozen=True)
@@ -249,30 +244,23 @@ def count_date_checks(
                 limits[ident] = visit_limits(cdm, prefix, as_type)
         return prefix_of[ident]
 
-    dated = F.col(AT).isNotNull()
+    dated = F.col(AT) < LAST
     pairs = {}
     for name, check in checks.items():
-        prefix, times = partner(check), F.col(slot_of[check.field.lower()])
+        prefix, slot = partner(check), slot_of[check.field.lower()]
+        since, until, times = f"{prefix}_from", f"{prefix}_until", F.col(slot)
         if check.kind == "after":
-            pairs[name] = (
-                tally(dated, times * Timeline.later(f"{prefix}_from")),
-                tally(None, times),
-            )
+            too_early = F.col(since) * before(slot)
+            pairs[name] = (tally(None, too_early), tally(None, times))
         elif check.kind == "life":
-            pairs[name] = (
-                tally(dated, times * Timeline.earlier(f"{prefix}_until")),
-                tally(Timeline.total(f"{prefix}_dead") > 0, times),
-            )
+            too_late = F.when(dated, times * before(until))
+            pairs[name] = (tally(None, too_late), tally(upto(f"{prefix}_dead") > 0, times))
         else:
-            outside = (
-                Timeline.total(f"{prefix}_never")
-                + Timeline.later(f"{prefix}_from")
-                + Timeline.earlier(f"{prefix}_until")
-            )
-            pairs[name] = (
-                tally(dated, times * outside),
-                tally(None, times * Timeline.total(f"{prefix}_visits")),
-            )
+            too_early = F.col(since) * before(slot)
+            too_late = F.when(dated, times * before(until)).otherwise(0)
+            # A pair of a date and a visit is met where the later of the two lies on the line.
+            met = times * upto(since) + F.col(since) * before(slot)
+            pairs[name] = (tally(None, too_early + too_late), tally(None, met))
     timeline = build_timeline(
         cdm.rows(table, cohort),
         col(key_name).cast(as_type),
