@@ -120,10 +120,25 @@ CALLS = {
 }
 
 
+NUMBERS = {
+    "concept_id": int,
+    "unit_concept_id": int,
+    "plausibleValueLow": float,
+    "plausibleValueHigh": float,
+}
+
+
 def call_text(check: dict) -> str:
     """The operator call of a check, e.g. ``is_required(cdm, 'person', 'gender_concept_id')``."""
     name, parameters = CALLS[check["check_level"], check["check_name"]]
-    given = [check["table"], check["field"], *[check[p] for p in parameters]]
+
+    def value(parameter: str) -> object:
+        text = check[parameter]
+        if check["check_level"] == "CONCEPT" and parameter in NUMBERS:
+            return NUMBERS[parameter](text)
+        return text
+
+    given = [check["table"], check["field"], *[value(p) for p in parameters]]
     return f"{name}({', '.join(['cdm', *[repr(v) for v in given if v is not None]])})"
 
 

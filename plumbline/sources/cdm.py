@@ -44,6 +44,13 @@ class Rows:
         return F.lit(1).cast("bigint") if self.weight is None else self.weight
 
 
+class NotInCdm(KeyError):
+    """A table or field that does not exist."""
+
+    def __str__(self) -> str:
+        return str(self.args[0])
+
+
 Loader = Callable[[], DataFrame | None]
 
 
@@ -72,7 +79,7 @@ class Cdm(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         table = self._open(name)
         if table is None:
-            raise KeyError(f"Table {name} does not exist.")
+            raise NotInCdm(f"Table {name} does not exist.")
         return table
 
     def __iter__(self) -> Iterator[str]:
@@ -102,9 +109,11 @@ class Cdm(Mapping[str, DataFrame]):
         return self.field(table, field) is not None
 
     def datatype(self, table: str, field: str) -> T.DataType:
+        if table not in self:
+            raise NotInCdm(f"Table {table} does not exist.")
         found = self.field(table, field)
         if found is None:
-            raise KeyError(f"Field {table}.{field} does not exist.")
+            raise NotInCdm(f"Field {table}.{field} does not exist.")
         return found.dataType
 
     def rows(self, table: str, cohort: Cohort | None = None) -> Rows:
@@ -211,6 +220,7 @@ def row_counts(cdm: Cdm) -> DataFrame:
 __all__ = [
     "Cdm",
     "Cohort",
+    "NotInCdm",
     "Rows",
     "WEIGHT",
     "cdm_from_catalog",

@@ -84,8 +84,9 @@ def level_table(results: DataFrame, level: str, run: Sequence[str] = ()) -> Data
 
 
 def write_results_csv(results: DataFrame, path: str, run: Sequence[str] = ()) -> None:
-    """Flat results as CSV with header. Text may hold line breaks and quotes."""
+    """Flat results as CSV with header. Text may hold line breaks, quotes and outer blanks."""
     options = {"header": True, "quote": '"', "escape": '"'}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     result_table(results, run).write.mode("overwrite").options(**options).csv(path)
 
 
