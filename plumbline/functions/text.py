@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WHITESPACE = r" \t\n\r\f\u000b"
+
 
 def check_id(*parts: Column) -> Column:
     """Identifier of a check: its non-blank parts without spaces, joined by ``_``, lower-cased."""
@@ -33,7 +35,7 @@ def blank_to_null(rows: DataFrame, columns: Iterable[str] | None = None) -> Data
     """Whitespace-only text becomes NULL in all text columns, or in ``columns``."""
     wanted = set(rows.columns if columns is None else columns)
     blank = {
-        field.name: F.when(~F.col(f"`{field.name}`").rlike(r"^\s*$"), F.col(f"`{field.name}`"))
+        field.name: F.expr(f"IF(btrim(`{field.name}`, '{WHITESPACE}') = '', NULL, `{field.name}`)")
         for field in rows.schema
         if isinstance(field.dataType, T.StringType) and field.name in wanted
     }
@@ -45,26 +47,23 @@ def number_text(value: Column) -> Column:
     return F.regexp_replace(value.cast("string"), r"\.0$", "")
 
 
-def percent_text(share: Column) -> Column:
-    """Share as a percentage with two decimals, rounded to nearest, ties up; NULL and 0 give ``0%``.
+def percent_text(share: str) -> Column:
+    """The column ``share`` as a percentage with two decimals, rounded to nearest, ties up; NULL
+    and 0 give ``0%``.
 
     Rounding looks at the exact binary value of the percentage. ``scaled`` is percentage * 100
     rounded to a double and ``error`` the part lost by that rounding, so a value that only appears
     to end in 5 (12.345 is stored as 12.3450000000000006) goes to the side it really lies on.
     """
-    percentage = share * F.lit(100.0)
-    scaled = percentage * F.lit(100.0)
-    big = percentage * F.lit(134217729.0)
-    high = big - (big - percentage)
-    error = (high * 100.0 - scaled) + (percentage - high) * 100.0
-    whole = F.floor(scaled)
-    rest = scaled - whole
-    cents = whole + F.when((rest > 0.5) | ((rest == 0.5) & (error >= 0)), 1).otherwise(0)
-    units = F.floor(cents / 100).cast("bigint")
-    text = F.concat(
-        units.cast("string"),
-        F.lit("."),
-        F.lpad((cents.cast("bigint") - units * 100).cast("string"), 2, "0"),
-        F.lit("%"),
+    percentage = f"({share} * 100.0D)"
+    big = f"({percentage} * 134217729.0D)"
+    high = f"({big} - ({big} - {percentage}))"
+    scaled = f"({percentage} * 100.0D)"
+    error = f"(({high} * 100.0D - {scaled}) + ({percentage} - {high}) * 100.0D)"
+    rest = f"({scaled} - floor({scaled}))"
+    up = f"IF({rest} > 0.5D OR ({rest} = 0.5D AND {error} >= 0), 1, 0)"
+    hundredths = f"(floor({scaled}) + {up})"
+    return F.expr(
+        f"""CASE WHEN {share} IS NULL OR {share} = 0 THEN '0%' ELSE
+        concat({hundredths} DIV 100, '.', lpad({hundredths} % 100, 2, '0'), '%') END"""
     )
-    return F.when(share.isNull() | (share == 0), F.lit("0%")).otherwise(text)

@@ -34,41 +34,30 @@ def control_thresholds(control: DataFrame, level: str) -> DataFrame:
     row per check and table, field, concept and unit. Where control rows repeat a key, the
     strictest threshold counts."""
     suffix = "Threshold"
-    there = {name.lower(): name for name in control.columns}
-    names = [name[: -len(suffix)] for name in control.columns if name.endswith(suffix)]
-
-    def text(name: str) -> Column:
-        found = there.get(name.lower())
-        value = F.lit(None) if found is None else F.col(f"`{found}`")
-        return value.cast("string")
-
-    def filled(name: str) -> Column:
-        return F.when(F.trim(text(name)) != "", text(name))
-
-    keys = ["check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id"]
-    keys.append("unit_concept_id")
-    if not names:
-        names = [""]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("check_name"),
-                filled(f"{name}{suffix}").try_cast("double").alias("threshold_value"),
-                filled(f"{name}Notes").alias("notes_value"),
-            )
-            for name in names
-        ]
+    there = {name.lower(): f"`{name}`" for name in control.columns}
+    names = [name[: -len(suffix)] for name in control.columns if name.endswith(suffix)] or [""]
+
+    def filled(name: str) -> str:
+        found = there.get(name.lower(), "NULL")
+        return f"CASE WHEN trim({found}) != '' THEN CAST({found} AS STRING) END"
+
+    cells = ", ".join(
+        f"named_struct('check_name', '{name}', "
+        f"'threshold_value', try_cast({filled(name + suffix)} AS DOUBLE), "
+        f"'notes_value', {filled(name + 'Notes')})"
+        for name in names
     )
+    keys = ["check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id"]
     return (
-        control.select(
-            F.lit(level).alias("check_level"),
-            text("cdmTableName").alias("cdm_table_name"),
-            filled("cdmFieldName").alias("cdm_field_name"),
-            filled("conceptId").alias("concept_id"),
-            filled("unitConceptId").alias("unit_concept_id"),
-            F.inline(cells),
+        control.selectExpr(
+            f"'{level}' AS check_level",
+            "CAST(cdmTableName AS STRING) AS cdm_table_name",
+            f"{filled('cdmFieldName')} AS cdm_field_name",
+            f"{filled('conceptId')} AS concept_id",
+            f"{filled('unitConceptId')} AS unit_concept_id",
+            f"inline(array({cells}))",
         )
-        .groupBy(keys)
+        .groupBy(*keys, "unit_concept_id")
         .agg(
             F.min("threshold_value").alias("threshold_value"),
             F.min("notes_value").alias("notes_value"),
@@ -87,14 +76,10 @@ def threshold_lookup(results: DataFrame, controls: Controls | DataFrame) -> Data
         known = controls
     keys = ["check_level", "check_name", "cdm_table_name"]
     optional = ["cdm_field_name", "concept_id", "unit_concept_id"]
-    kept = [c for c in results.columns if c not in ("threshold_value", "notes_value")]
-    left, right = results.select(kept).alias("result"), known.alias("known")
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"result.{key}") == F.col(f"known.{key}"))
-    for key in optional:
-        same = same & F.col(f"result.{key}").cast("string").eqNullSafe(F.col(f"known.{key}"))
-    return left.join(right, same, "left").select(
+    same = [f"result.{key} = known.{key}" for key in keys]
+    same += [f"CAST(result.{key} AS STRING) <=> known.{key}" for key in optional]
+    rows = results.drop("threshold_value", "notes_value").alias("result")
+    return rows.join(known.alias("known"), F.expr(" AND ".join(same)), "left").select(
         "result.*", "known.threshold_value", "known.notes_value"
     )
 
@@ -102,136 +87,150 @@ def threshold_lookup(results: DataFrame, controls: Controls | DataFrame) -> Data
 def threshold_eval(results: DataFrame) -> DataFrame:
     """Adds ``is_error`` and ``failed``. Without a threshold, or with 0, any violated row fails a
     check; otherwise the percentage must exceed the threshold."""
-    is_error = F.col("error").isNotNull()
-    strict = F.col("threshold_value").isNull() | (F.col("threshold_value") == 0)
-    failed = F.when(strict, F.col(VIOLATED) > 0).otherwise(
-        F.col(PERCENT) * 100 > F.col("threshold_value")
-    )
+    failed = f"""CASE WHEN error IS NOT NULL THEN false
+        WHEN threshold_value IS NULL OR threshold_value = 0 THEN {VIOLATED} > 0
+        ELSE {PERCENT} * 100 > threshold_value END"""
     return results.withColumns(
         {
-            "is_error": is_error.cast("int"),
-            "failed": F.coalesce(~is_error & failed, F.lit(False)).cast("int"),
+            "is_error": F.expr("CAST(error IS NOT NULL AS INT)"),
+            "failed": F.expr(f"CAST(coalesce({failed}, false) AS INT)"),
         }
     )
 
 
 def _known_absences(results: DataFrame, run: Sequence[str]) -> DataFrame:
     """Per run, table and field: is the table or field missing or empty?"""
-    check, failed = F.col("check_name"), F.col("failed") == 1
-    error = F.col("is_error") == 1
-    filled = check == FILLED_CHECK
-    nothing = filled & (F.col(DENOMINATOR) == F.col(VIOLATED))
     table = [*run, "cdm_table_name"]
+    filled = f"check_name = '{FILLED_CHECK}'"
+    found = {
+        "no_table": f"check_name = '{TABLE_CHECK}' AND failed = 1",
+        "no_field": f"check_name = '{FIELD_CHECK}' AND failed = 1",
+        "no_rows": f"{filled} AND {DENOMINATOR} = 0 AND is_error = 0",
+        "no_values": f"{filled} AND {DENOMINATOR} = {VIOLATED} AND is_error = 0",
+        "no_values_in_error": f"{filled} AND {DENOMINATOR} = {VIOLATED} AND is_error = 1",
+    }
     facts = results.groupBy(*table, "cdm_field_name").agg(
-        *[
-            F.max(F.coalesce(condition, F.lit(False))).alias(name)
-            for name, condition in {
-                "no_table": (check == TABLE_CHECK) & failed,
-                "no_field": (check == FIELD_CHECK) & failed,
-                "no_rows": filled & (F.col(DENOMINATOR) == 0) & ~error,
-                "no_values": nothing & ~error,
-                "no_values_in_error": nothing & error,
-            }.items()
-        ]
+        *[F.expr(f"max(coalesce({sql}, false)) AS {name}") for name, sql in found.items()]
     )
     whole = Window.partitionBy(*table)
     facts = facts.withColumn("table_missing", F.max("no_table").over(whole))
-    facts = facts.withColumn("field_missing", F.col("no_field") & ~F.col("table_missing"))
-    present = ~F.col("table_missing") & ~F.col("field_missing")
-    facts = facts.withColumn("table_empty", F.max(F.col("no_rows") & present).over(whole))
-    facts = facts.withColumn(
-        "field_empty",
-        (F.col("no_values") & present & ~F.col("table_empty")) | F.col("no_values_in_error"),
-    )
-    return facts.select(
-        *table, "cdm_field_name", "table_missing", "field_missing", "table_empty", "field_empty"
+    facts = facts.withColumn("field_missing", F.expr("no_field AND NOT table_missing"))
+    facts = facts.withColumn("present", F.expr("NOT table_missing AND NOT field_missing"))
+    facts = facts.withColumn("table_empty", F.max(F.expr("no_rows AND present")).over(whole))
+    return facts.selectExpr(
+        *table,
+        "cdm_field_name",
+        "table_missing",
+        "field_missing",
+        "table_empty",
+        "(no_values AND present AND NOT table_empty) OR no_values_in_error AS field_empty",
     )
 
 
-def absence_flags(results: DataFrame, run: Sequence[str] = ()) -> DataFrame:
-    """Adds the six flags (1 or NULL) that make a check not applicable. Needs ``threshold_eval``."""
+# When each flag is set, in order of precedence: what is known about the table or field, and the
+# checks that keep their verdict all the same.
+ABSENCES = {
+    "table_is_missing": ("table_missing", (TABLE_CHECK,)),
+    "field_is_missing": ("field_missing", (FIELD_CHECK,)),
+    "table_is_empty": ("table_empty", (TABLE_CHECK, FIELD_CHECK)),
+    "field_is_empty": ("field_empty", (FILLED_CHECK, FIELD_CHECK, REQUIRED_CHECK)),
+}
+NO_CONCEPT_ROWS = f"check_level = 'CONCEPT' AND {DENOMINATOR} = 0 AND is_error = 0"
+
+
+def _with_absences(results: DataFrame, run: Sequence[str], *columns: str) -> DataFrame:
+    """Results joined with what is known about their table and field, plus ``columns`` (SQL)."""
     known = _known_absences(results, run)
     keys = [*run, "cdm_table_name", "cdm_field_name"]
-    left, right = results.alias("result"), known.alias("known")
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"result.{key}").eqNullSafe(F.col(f"known.{key}"))
-    joined = left.join(right, same, "left").select(
-        "result.*",
-        *[f"known.{c}" for c in ("table_missing", "field_missing", "table_empty", "field_empty")],
-    )
-    check, fine = F.col("check_name"), F.col("is_error") == 0
+    same = " AND ".join(f"result.{key} <=> known.{key}" for key in keys)
+    joined = results.alias("result").join(known.alias("known"), F.expr(same), "left")
+    return joined.selectExpr("result.*", *columns)
 
-    def flag(condition: Column) -> Column:
-        return F.when(condition, F.lit(1))
 
-    flagged = joined.withColumns(
-        {
-            "table_is_missing": flag(F.col("table_missing") & (check != TABLE_CHECK) & fine),
-            "field_is_missing": flag(F.col("field_missing") & (check != FIELD_CHECK) & fine),
-            "table_is_empty": flag(
-                F.col("table_empty") & ~check.isin(TABLE_CHECK, FIELD_CHECK) & fine
-            ),
-            "field_is_empty": flag(
-                F.col("field_empty")
-                & ~check.isin(FILLED_CHECK, FIELD_CHECK, REQUIRED_CHECK)
-                & fine
-            ),
-        }
-    ).drop("table_missing", "field_missing", "table_empty", "field_empty")
-    clear = fine
-    for name in FLAGS[:4]:
-        clear = clear & F.col(name).isNull()
-    no_rows = clear & (F.col("check_level") == "CONCEPT") & (F.col(DENOMINATOR) == 0)
-    unit = F.col("unit_concept_id")
+def _absence(found: str, but: Sequence[str]) -> str:
+    names = ", ".join(f"'{name}'" for name in but)
+    return f"known.{found} AND result.check_name NOT IN ({names}) AND result.is_error = 0"
+
+
+def absence_flags(results: DataFrame, run: Sequence[str] = ()) -> DataFrame:
+    """Adds the six flags (1 or NULL) that make a check not applicable. Needs ``threshold_eval``."""
+    flagged = _with_absences(
+        results,
+        run,
+        *[f"IF({_absence(*spec)}, 1, NULL) AS {name}" for name, spec in ABSENCES.items()],
+    )
+    alone = f"{NO_CONCEPT_ROWS} AND coalesce({', '.join(ABSENCES)}) IS NULL"
     return flagged.withColumns(
         {
-            "concept_is_missing": flag(no_rows & unit.isNull()),
-            "concept_and_unit_are_missing": flag(no_rows & unit.isNotNull()),
+            "concept_is_missing": F.expr(f"IF({alone} AND unit_concept_id IS NULL, 1, NULL)"),
+            "concept_and_unit_are_missing": F.expr(
+                f"IF({alone} AND unit_concept_id IS NOT NULL, 1, NULL)"
+            ),
         }
     )
 
 
+def first_flag() -> Column:
+    """Place (1 to 6) of the first flag that is set, or NULL."""
+    cases = [f"WHEN {name} IS NOT NULL THEN {i}" for i, name in enumerate(FLAGS, 1)]
+    return F.expr(f"CASE {' '.join(cases)} END")
+
+
 def not_applicable() -> Column:
     """1 if any of the six flags is set, else 0."""
-    return F.coalesce(*[F.col(name) for name in FLAGS], F.lit(0))
-
-
-def not_applicable_reason() -> Column:
-    """Message of the first flag that is set. The texts are fixed values of the result format."""
-    table, field = F.col("cdm_table_name"), F.col("cdm_field_name")
-    concept, unit = F.col("concept_id").cast("string"), F.col("unit_concept_id").cast("string")
-    messages = (
-        F.format_string("Table %s does not exist.", table),
-        F.format_string("Field %s.%s does not exist.", table, field),
-        F.format_string("Table %s is empty.", table),
-        F.format_string("Field %s.%s is not populated.", table, field),
-        F.format_string("%s=%s is missing from the %s table.", field, concept, table),
-        F.format_string(
-            "Combination of %s=%s, UNIT_CONCEPT_ID=%s and VALUE_AS_NUMBER IS NOT NULL is missing "
-            "from the %s table.",
-            field,
-            concept,
-            unit,
-            table,
-        ),
-    )
-    return F.coalesce(*[F.when(F.col(f).isNotNull(), m) for f, m in zip(FLAGS, messages)])
+    return F.expr(f"coalesce({', '.join(FLAGS)}, 0)")
+
+
+# The message of each flag.
+MESSAGES = (
+    "Table {cdm_table_name} does not exist.",
+    "Field {cdm_table_name}.{cdm_field_name} does not exist.",
+    "Table {cdm_table_name} is empty.",
+    "Field {cdm_table_name}.{cdm_field_name} is not populated.",
+    "{cdm_field_name}={concept_id} is missing from the {cdm_table_name} table.",
+    "Combination of {cdm_field_name}={concept_id}, UNIT_CONCEPT_ID={unit_concept_id} and "
+    "VALUE_AS_NUMBER IS NOT NULL is missing from the {cdm_table_name} table.",
+)
+
+
+def _reason(flag: str) -> Column:
+    """Message of the flag whose place is given by the SQL expression ``flag``. One template is
+    picked and filled, which is far less generated code than six concatenations; long methods are
+    not compiled by the JVM."""
+    templates = ", ".join(f"'{message}'" for message in MESSAGES)
+    text = f"elt({flag}, {templates})"
+    for name in ("cdm_table_name", "cdm_field_name", "concept_id", "unit_concept_id"):
+        text = f"replace({text}, '{{{name}}}', coalesce(CAST({name} AS STRING), ''))"
+    return F.expr(text)
+
+
+def not_applicable_reason(results: DataFrame) -> DataFrame:
+    """Adds ``not_applicable_reason``, the message of the first flag that is set."""
+    first = results.withColumn("first_flag", first_flag())
+    return first.withColumn("not_applicable_reason", _reason("first_flag")).drop("first_flag")
 
 
 def final_status(results: DataFrame) -> DataFrame:
-    """Turns the flags into ``not_applicable``, its reason, and the final ``failed`` and
-    ``passed``; the flags are dropped."""
-    judged = results.withColumns(
-        {"not_applicable": not_applicable(), "not_applicable_reason": not_applicable_reason()}
-    ).drop(*FLAGS)
-    judged = judged.withColumn(
-        "failed", F.when(F.col("not_applicable") == 1, 0).otherwise(F.col("failed"))
-    )
-    passed = (F.col("failed") == 0) & (F.col("is_error") == 0) & (F.col("not_applicable") == 0)
-    return judged.withColumn("passed", passed.cast("int"))
+    """From ``first_flag``: ``not_applicable`` with its reason, and the final ``failed`` and
+    ``passed``. A check that does not apply has neither failed nor passed."""
+    return (
+        results.withColumns(
+            {
+                "not_applicable": F.expr("CAST(first_flag IS NOT NULL AS INT)"),
+                "not_applicable_reason": _reason("first_flag"),
+                "failed": F.expr("IF(first_flag IS NULL, failed, 0)"),
+                "passed": F.expr(
+                    "CAST(first_flag IS NULL AND failed = 0 AND is_error = 0 AS INT)"
+                ),
+            }
+        )
+    ).drop("first_flag")
 
 
 def evaluate(results: DataFrame, run: Sequence[str] = ()) -> DataFrame:
-    """Counts and thresholds in, verdicts out."""
-    return final_status(absence_flags(threshold_eval(results), run))
+    """Counts and thresholds in, verdicts out. Only the first flag of a result matters here, so
+    that alone is worked out and not all six."""
+    cases = [f"WHEN {_absence(*spec)} THEN {i}" for i, spec in enumerate(ABSENCES.values(), 1)]
+    cases.append(f"WHEN {NO_CONCEPT_ROWS} THEN IF(unit_concept_id IS NULL, 5, 6)")
+    flag = f"CASE {' '.join(cases)} END AS first_flag"
+    return final_status(_with_absences(threshold_eval(results), run, flag))

@@ -20,26 +20,19 @@ VIEW_COLUMNS = (
 def counters() -> dict[str, Column]:
     """The 14 counters of a report as aggregates. ``countPassed`` is everything that did not fail,
     so it includes errors and checks that do not apply."""
-    failed, passed = F.col("failed") == 1, F.col("passed") == 1
-    error = F.col("error").isNotNull()
-
-    def number(condition: Column | None = None) -> Column:
-        return F.count(F.lit(1)) if condition is None else F.count_if(condition)
-
     result = {
-        "countTotal": number(),
-        "countThresholdFailed": number(failed & ~error),
-        "countErrorFailed": number(error),
-        "countOverallFailed": number(failed),
-        "countPassed": number() - number(failed),
+        "countTotal": "count(1)",
+        "countThresholdFailed": "count_if(failed = 1 AND error IS NULL)",
+        "countErrorFailed": "count(error)",
+        "countOverallFailed": "count_if(failed = 1)",
+        "countPassed": "count(1) - count_if(failed = 1)",
     }
-    for prefix, condition in (("Total", None), ("Failed", failed), ("Passed", passed)):
+    for prefix, condition in (("Total", "true"), ("Failed", "failed = 1"), ("Passed", "passed = 1")):
         for category in CATEGORIES:
-            of_kind = F.col("category") == category
-            result[f"count{prefix}{category}"] = number(
-                of_kind if condition is None else of_kind & condition
+            result[f"count{prefix}{category}"] = (
+                f"count_if(category = '{category}' AND {condition})"
             )
-    return result
+    return {name: F.expr(sql) for name, sql in result.items()}
 
 
 def overview(results: DataFrame, run: Sequence[str] = ()) -> DataFrame:
@@ -47,41 +40,37 @@ def overview(results: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     return results.groupBy(*run).agg(*[expr.alias(name) for name, expr in counters().items()])
 
 
-def status_column() -> Column:
-    """One word per result: an error outranks 'not applicable', which outranks a failure."""
-    return (
-        F.when(F.col("is_error") == 1, "ERROR")
-        .when(F.col("not_applicable") == 1, "NOT APPLICABLE")
-        .when(F.col("failed") == 1, "FAIL")
-        .otherwise("PASS")
-    )
+STATUS = """CASE WHEN is_error = 1 THEN 'ERROR' WHEN not_applicable = 1 THEN 'NOT APPLICABLE'
+    WHEN failed = 1 THEN 'FAIL' ELSE 'PASS' END"""
 
 
-def _or_none(name: str) -> Column:
-    return F.when(F.col(name) != "", F.col(name)).otherwise(F.lit("None"))
+def status_column() -> Column:
+    """One word per result: an error outranks 'not applicable', which outranks a failure."""
+    return F.expr(STATUS)
 
 
 def report_rows(results: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Results as they are shown to a reader, unordered; ``keep`` names columns to carry along."""
-    threshold = F.when(
-        F.col("threshold_value").isNotNull(),
-        F.concat(F.lit(" (Threshold="), number_text(F.col("threshold_value")), F.lit("%).")),
+    shown = results.withColumns(
+        {
+            "threshold_text": number_text(F.col("threshold_value")),
+            "percent_records": percent_text(PERCENT),
+        }
     )
-    return results.select(
+    return shown.selectExpr(
         *keep,
-        status_column().alias("status"),
-        F.col("cdm_table_name").alias("table"),
-        _or_none("cdm_field_name").alias("field"),
-        F.col("check_name").alias("check"),
+        f"{STATUS} AS status",
+        "cdm_table_name AS table",
+        "CASE WHEN cdm_field_name != '' THEN cdm_field_name ELSE 'None' END AS field",
+        "check_name AS check",
         "category",
-        _or_none("subcategory").alias("subcategory"),
-        F.col("check_level").alias("level"),
-        F.when(F.col("notes_value").isNull(), "None").otherwise("Exists").alias("notes"),
-        F.concat(F.col("check_description"), F.coalesce(threshold, F.lit(""))).alias(
-            "description"
-        ),
-        percent_text(F.col(PERCENT)).alias("percent_records"),
-        F.col(PERCENT).alias("share"),
+        "CASE WHEN subcategory != '' THEN subcategory ELSE 'None' END AS subcategory",
+        "check_level AS level",
+        "IF(notes_value IS NULL, 'None', 'Exists') AS notes",
+        "IF(threshold_text IS NULL, check_description, "
+        "concat(check_description, ' (Threshold=', threshold_text, '%).')) AS description",
+        "percent_records",
+        f"{PERCENT} AS share",
     )
 
 

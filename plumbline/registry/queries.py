@@ -384,15 +384,11 @@ def flag(name: str) -> Query:
     )
 
 
-def not_applicable_column(name: str) -> Query:
-    expr = {
-        "not_applicable": evaluation.not_applicable,
-        "not_applicable_reason": evaluation.not_applicable_reason,
-    }[name]
+def flagged(add: Callable[[DataFrame], DataFrame], name: str) -> Query:
     return on_history(
-        lambda rows: evaluation.absence_flags(evaluation.threshold_eval(rows), RUN).select(
-            "run_id", "result_id", expr().alias(name)
-        )
+        lambda rows: add(
+            evaluation.absence_flags(evaluation.threshold_eval(rows), RUN)
+        ).select("run_id", "result_id", name)
     )
 
 
@@ -608,8 +604,11 @@ RESULTS: dict[str, Query] = {
         )
     ),
     **{name: flag(name) for name in evaluation.FLAGS},
-    "not_applicable": not_applicable_column("not_applicable"),
-    "not_applicable_reason": not_applicable_column("not_applicable_reason"),
+    "not_applicable": flagged(
+        lambda rows: rows.withColumn("not_applicable", evaluation.not_applicable()),
+        "not_applicable",
+    ),
+    "not_applicable_reason": flagged(evaluation.not_applicable_reason, "not_applicable_reason"),
     "final_status": on_history(
         lambda rows: evaluation.evaluate(rows, RUN).select(
             "run_id", "result_id", "is_error", "not_applicable", "failed", "passed"

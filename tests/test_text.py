@@ -30,14 +30,14 @@ def test_percent_text_rounds_the_exact_value(frame):
     pairs = [(random.randint(0, d), d) for d in random.choices(range(1, 200000), k=3000)]
     pairs += [(k, 20000) for k in range(1, 3000)] + [(k, 32) for k in range(33)]
     df = frame("v bigint, d bigint", pairs).withColumn("share", F.col("v") / F.col("d"))
-    for row in df.select("share", percent_text(F.col("share")).alias("text")).collect():
+    for row in df.select("share", percent_text("share").alias("text")).collect():
         exact = Decimal(row["share"] * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
         assert row["text"] == ("0%" if row["share"] == 0 else f"{exact}%")
 
 
 def test_percent_text_of_nothing_and_of_more_than_all(frame):
     df = frame("share double", [(None,), (0.0,), (1.5,), (0.00001,)])
-    found = [row[0] for row in df.select(percent_text(F.col("share"))).collect()]
+    found = [row[0] for row in df.select(percent_text("share")).collect()]
     assert found == ["0%", "0%", "150.00%", "0.00%"]
 
 
