@@ -149,12 +149,13 @@ def report_document(
     ended = F.lit(None).cast("timestamp") if ended is None else ended
     names = [("checkId" if n == "checkid" else n.upper(), n) for n in RESULT_COLUMNS]
     record = F.struct(*[F.col(name).alias(key) for key, name in names])
+    ordered = F.sort_array(F.collect_list(F.struct("checkid", record.alias("record"))))
     numbers = counters()
     document = (
         result_table(results, run)
         .groupBy(*run)
         .agg(
-            F.sort_array(F.collect_list(record)).alias("CheckResults"),
+            ordered["record"].alias("CheckResults"),
             *[expr.alias(name) for name, expr in numbers.items()],
         )
     )
