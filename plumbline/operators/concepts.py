@@ -65,8 +65,9 @@ def concept_control(
 
 
 def unit_list(text: Column) -> Column:
-    """Plausible unit ids; NULL when the cell is blank or 'NA', i.e. when no unit is plausible."""
-    parts = F.transform(F.split(text, ","), lambda part: F.trim(part).try_cast("bigint"))
+    """Plausible unit ids; NULL when the cell is blank or 'NA', i.e. when no unit is plausible. A
+    part that is not a number fails the check and is not passed over."""
+    parts = F.transform(F.split(text, ","), lambda part: F.trim(part).cast("bigint"))
     return F.when(~F.coalesce(F.trim(text), F.lit("")).isin(*NO_UNITS), parts)
 
 

@@ -17,7 +17,7 @@ from time import monotonic
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.counting import CHECK_KEY, DENOMINATOR, VIOLATED
@@ -134,8 +134,11 @@ def call_text(check: dict) -> str:
 
     def value(parameter: str) -> object:
         text = check[parameter]
-        if check["check_level"] == "CONCEPT" and parameter in NUMBERS:
-            return NUMBERS[parameter](text)
+        if check["check_level"] == "CONCEPT" and parameter in NUMBERS and text:
+            try:
+                return NUMBERS[parameter](text)
+            except ValueError:  # shown as it is; running the check reports it
+                return text
         return text
 
     given = [check["table"], check["field"], *[value(p) for p in parameters]]
@@ -262,17 +265,26 @@ class Group:
             return lookup.count_key_checks(
                 cdm, table, partner, partner_key, key_checks, restricted(flag)
             )
+
+        def number(name: str, kind: str) -> Column:
+            """Number in a control cell; a cell that holds something else fails its check."""
+            return F.expr(f"CAST(nullif(trim({name}), '') AS {kind})")
+
+        def own(name: str, cell: Column) -> Column:
+            """The cell of the check itself; a control row may hold cells of other checks too."""
+            return F.when(F.col("check_name") == name, cell)
+
         kinds = sorted({CONCEPT_KINDS[check["check_name"]] for check in self.checks})
         names = F.create_map(*[F.lit(part) for pair in CONCEPT_KINDS.items() for part in pair])
         control = checks.df.where(F.col(CHECK_KEY).isin(list(members))).select(
             CHECK_KEY,
             names[F.col("check_name")].alias("kind"),
-            F.col("concept_id").try_cast("bigint").alias("concept_id"),
-            F.col("unit_concept_id").try_cast("bigint").alias("unit_concept_id"),
+            number("concept_id", "bigint").alias("concept_id"),
+            number("unit_concept_id", "bigint").alias("unit_concept_id"),
             F.col("plausibleGender").alias("gender"),
-            F.col("plausibleUnitConceptIds").alias("units"),
-            F.col("plausibleValueLow").try_cast("double").alias("low"),
-            F.col("plausibleValueHigh").try_cast("double").alias("high"),
+            own("plausibleUnitConceptIds", F.col("plausibleUnitConceptIds")).alias("units"),
+            own("plausibleValueLow", number("plausibleValueLow", "double")).alias("low"),
+            own("plausibleValueHigh", number("plausibleValueHigh", "double")).alias("high"),
         )
         return concepts.count_concept_checks(cdm, table, field, control, kinds, cohort)
 

@@ -74,6 +74,25 @@ def test_one_bad_check_fails_alone(spark, cdm, controls):
     assert rows["field_isprimarykey_measurement_measurement_id"]["failed"] == 1
 
 
+def test_unreadable_concept_controls_are_errors(spark, cdm, controls):
+    """A bound or unit list that is no number is reported, and not taken for 'no rule'."""
+    concepts = controls.concepts.withColumns(
+        {
+            "plausibleValueHigh": F.when(F.col("plausibleValueHigh") == "25", "high"),
+            "plausibleUnitConceptIds": F.when(
+                F.col("plausibleUnitConceptIds") == "2,3,4", "2,mg"
+            ).otherwise(F.col("plausibleUnitConceptIds")),
+        }
+    )
+    rows = by_id(run_checks(spark, cdm, replace(controls, concepts=concepts)).results)
+    base = "measurement_measurement_concept_id_7"
+    assert sorted(key for key, row in rows.items() if row["is_error"] == 1) == [
+        f"concept_plausibleunitconceptids_{base}",
+        f"concept_plausiblevaluehigh_{base}_2",
+    ]
+    assert rows[f"concept_plausiblegender_{base}"]["num_denominator_rows"] is not None
+
+
 def test_a_missing_partner_is_an_error_of_the_checks_that_need_it(spark, cdm, controls):
     without = Cdm({name: df for name, df in cdm.items() if name != "death"})
     rows = by_id(run_checks(spark, without, controls).results)
