@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import packing, token_output
+from plumbline.llm import packing, revisits, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,57 @@ def op1_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.token_matrices(table(spark, folder, "documents"), TOKENIZER)
 
 
+#: The rules of the query, longest last; fixed values.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.sql(
+        "SELECT * FROM VALUES " + ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in URL_RULES) + " AS t(verdict, rule)"
+    )
+    return url_filters.judge_urls(table(spark, folder, "pages"), rules)
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Two captures of each page, its id being the time in minutes: the page itself, and a revisit up to 1,000 minutes
+    later. Where the url's checksum is divisible by 7, the server says that another version has not been modified."""
+    version, minute = F.md5("html"), F.col("page_id") * 60
+    checksum = F.conv(F.left(F.md5("url"), F.lit(4)), 16, 10).cast("long")
+    full = pages.select(
+        (F.col("page_id") * 2).alias("record_id"), "url", minute.alias("captured_at"), F.lit(200).alias("status"),
+        F.create_map(
+            F.lit("ETag"), version, F.lit("Content-Length"), F.length("html").cast("string"),
+            F.lit("Server"), F.concat(F.lit("s"), F.col("page_id") % 5), F.lit("Cache-Control"), F.lit("max-age=60"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    revisit = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), "url", (minute + 60 + checksum % 1000 * 60).alias("captured_at"),
+        F.lit(304).alias("status"),
+        F.create_map(
+            F.lit("etag"), F.when(checksum % 7 == 0, "other").otherwise(F.concat(F.lit("W/"), version)),
+            F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=300"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return full.unionByName(revisit)
+
+
+def op9_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve_revisits(page_captures(table(spark, folder, "pages")))
+    line = F.transform(F.map_entries("headers"), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
+    return found.select(
+        "record_id", "canonical_url", "captured_at", "status", "outcome", "refers_to",
+        F.array_join(F.array_sort(line), ";").alias("headers"),
+    )
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, folder, "documents"), TOKENIZER)
     return pieces.select(
@@ -34,11 +85,68 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
+        "op2_url_filters": op2_url_filters,
         "op8_packing": op8_packing,
+        "op9_revisits": op9_revisits,
     }
 
 
-ORACLES: dict[str, str] = {}
+HOST_PATH_SQL = """
+    SELECT *, regexp_extract(rest, '^[^/?#]*') AS own_host,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_url_filters": f"""
+WITH rules(verdict, rule_host, rule_path) AS (VALUES
+    ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+urls AS (SELECT row_number() OVER () AS n, page_id, host, path FROM ({HOST_PATH_SQL})),
+fits AS (
+    SELECT n, rule_host || rule_path AS rule, verdict,
+           row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC) AS place
+    FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM urls LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (n)
+""",
+    "op9_revisits": f"""
+WITH parts AS (
+    SELECT page_id, url, html, host, path,
+           list_sort(list_filter(string_split(regexp_extract(split_part(url, '#', 1), '\\?(.*)$', 1), '&'),
+               lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|gclid|fbclid)(=|$)'))) AS q
+    FROM ({HOST_PATH_SQL})),
+named AS (
+    SELECT page_id, html,
+           CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.|:(80|443)$', '', 'g') || regexp_replace(path, '/+$', '')
+               || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS canonical_url,
+           ('0x' || substr(md5(url), 1, 4))::BIGINT AS checksum
+    FROM parts),
+captures AS (
+    SELECT page_id * 2 AS record_id, canonical_url, page_id * 60 AS captured_at, 200 AS status, md5(html) AS etag,
+           length(html)::VARCHAR AS size, 's' || (page_id % 5) AS server, 60 AS age, checksum FROM named
+    UNION ALL
+    SELECT page_id * 2 + 1, canonical_url, page_id * 60 + 60 + checksum % 1000 * 60, 304,
+           CASE WHEN checksum % 7 = 0 THEN 'other' ELSE md5(html) END, '0', NULL, 300, checksum FROM named),
+met AS (
+    SELECT c.*, r.record_id AS found, r.etag AS old_etag, r.size AS old_size, r.server AS old_server,
+           row_number() OVER (PARTITION BY c.record_id ORDER BY r.captured_at DESC, r.record_id DESC) AS place
+    FROM captures c LEFT JOIN captures r
+      ON c.status = 304 AND r.status = 200 AND c.canonical_url = r.canonical_url AND r.captured_at < c.captured_at),
+judged AS (
+    SELECT *, CASE WHEN status = 200 THEN 'full' WHEN found IS NULL THEN 'no_response'
+                   WHEN etag <> old_etag THEN 'mismatch' ELSE 'resolved' END AS outcome,
+           CASE WHEN status = 304 AND etag <> 'other' THEN 'W/' ELSE '' END || etag AS written
+    FROM met WHERE place = 1)
+SELECT record_id, canonical_url, captured_at, CASE WHEN outcome = 'resolved' THEN 200 ELSE status END AS status, outcome,
+       CASE WHEN outcome = 'resolved' THEN found END AS refers_to,
+       'cache-control=max-age=' || age || ';content-length=' || CASE WHEN outcome = 'resolved' THEN old_size ELSE size END
+       || ';etag=' || written
+       || coalesce(';server=' || CASE WHEN outcome = 'resolved' THEN old_server ELSE server END, '') AS headers
+FROM judged
+""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
