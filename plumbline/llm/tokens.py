@@ -7,10 +7,13 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Spaces beside other white space, where a text may not be cut into independent parts.
-UNSAFE = re.compile(r" \s|\s |\A\s|\s\Z")
-SPACE = "Ġ"  # how a byte-level vocabulary writes a leading space
-MOST_KEPT = 300_000
+#: A part that is empty, or begins or ends with white space: its text may not be cut into independent parts.
+UNSAFE = re.compile(r"\A\s|\s\Z|\A\Z")
+#: How a byte-level vocabulary writes a leading space and a line end. Fixed values.
+BEGINNINGS = {" ": "Ġ", "\n": "Ċ"}
+#: Letters, and then marks that no word or number is merged with. What follows the letters is encoded apart.
+CORE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
+MOST_KEPT = 700_000
 
 
 class Encoder:
@@ -19,7 +22,7 @@ class Encoder:
     A byte-level BPE whose pre-tokenizer splits off words with their leading space never merges across
     the space between two non-space characters. So a text is a sequence of parts that start with a
     space; each is encoded once and remembered (at most ``MOST_KEPT`` of them, then the memory starts
-    anew, which changes nothing but the time). Texts with other white space are encoded as a whole.
+    anew, which changes nothing but the time). Texts with spaces beside white space are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -28,49 +31,87 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.vocabulary = max(words.values()) + 1
-        self.starts = np.zeros(self.vocabulary, bool)
-        self.starts[[i for word, i in words.items() if word.startswith(SPACE)]] = True
+        self.starts = {space: np.zeros(self.vocabulary, bool) for space in BEGINNINGS}
+        for space, written in BEGINNINGS.items():
+            self.starts[space][[i for word, i in words.items() if word.startswith(written)]] = True
         self.known: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.begins: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def learn(self, parts: list[str]) -> None:
-        """Encodes the parts as one text and cuts the ids where a part begins."""
-        if len(self.known) + len(parts) > MOST_KEPT:
-            self.known.clear()
-        for start in range(0, len(parts), 2000):
-            some = parts[start : start + 2000]
-            text = "".join([f" {part}" for part in some])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.starts[ids])
+        """Ids of parts, each with a space before it. Lines of a part, and marks after letters, are never merged with what
+        stands beside them, so that only the cores that are left have to be encoded."""
+        simple: list[tuple[str, str, str]] = []
+        several: list[tuple[str, list[tuple[str, str]]]] = []
+        for part in parts:
+            found = CORE.match(part)
+            if found:
+                simple.append((part, " " + found[1], found[2]))
+                continue
+            lines = part.split("\n")
+            if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+                self.known[part] = self.whole(f" {part}")
+                continue
+            plan = []
+            for space, line in zip([" ", *"\n" * (len(lines) - 1)], lines, strict=True):
+                found = CORE.match(line)
+                plan.append((space + (found[1] if found else line), found[2] if found else ""))
+            several.append((part, plan))
+        wanted = {core for _, core, _ in simple}
+        wanted.update(core for _, plan in several for core, _ in plan)
+        if len(self.cores) + len(wanted) > MOST_KEPT:
+            self.cores.clear()
+        missing = wanted.difference(self.cores)
+        for space in BEGINNINGS:
+            self.learn_cores(space, [core for core in missing if core[0] == space])
+        known, cores, first = self.known, self.cores, self.first
+        for part, core, marks in simple:
+            known[part] = cores[core] + first(marks) if marks else cores[core]
+        for part, plan in several:
+            known[part] = b"".join([cores[core] + first(marks) if marks else cores[core] for core, marks in plan])
+
+    def learn_cores(self, space: str, cores: list[str]) -> None:
+        """Encodes cores as one text and cuts the ids where a core begins."""
+        for start in range(0, len(cores), 2000):
+            some = cores[start : start + 2000]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.starts[space][ids])
             if len(cuts) == len(some) and cuts[0] == 0:
                 raw, bounds = ids.tobytes(), [*(cuts * 4).tolist(), len(ids) * 4]
-                self.known.update(
-                    (part, raw[a:b]) for part, a, b in zip(some, bounds[:-1], bounds[1:], strict=True)
-                )
+                self.cores.update((core, raw[a:b]) for core, a, b in zip(some, bounds[:-1], bounds[1:], strict=True))
             else:  # a vocabulary with other rules
-                self.known.update((part, self.whole(f" {part}")) for part in some)
+                self.cores.update((core, self.whole(core)) for core in some)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; those of null are empty."""
-        parts = [None if not t or UNSAFE.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for some in parts:
-            if some is not None:
-                wanted.update(some[1:])
-        missing = wanted.difference(self.known)
+        parts = [t.split(" ") if t else [] for t in texts]
+        missing = {p for some in parts for p, ids in zip(some, map(self.known.get, some), strict=True) if ids is None}
+        unsafe = {p for p in missing if UNSAFE.search(p)}
         if len(self.known) + len(missing) > MOST_KEPT:
-            missing = wanted
-        self.learn(list(missing))
-        known = self.known
-        return [
-            (self.whole(t) if t else b"")
-            if some is None
-            else b"".join([self.whole(some[0]), *[known[part] for part in some[1:]]])
-            for t, some in zip(texts, parts, strict=True)
-        ]
+            self.known.clear()
+            missing = {p for some in parts for p in some}
+        self.learn(list(missing - unsafe))
+        out, known = [], self.known
+        for t, some in zip(texts, parts, strict=True):
+            if not some:
+                out.append(b"")
+            elif unsafe and not unsafe.isdisjoint(some):
+                out.append(self.whole(t))
+            else:  # the first part has no space before it
+                out.append(self.first(some[0]) + b"".join(map(known.__getitem__, some[1:])))
+        return out
+
+    def first(self, part: str) -> bytes:
+        ids = self.begins.get(part)
+        if ids is None:
+            if len(self.begins) >= MOST_KEPT // 10:
+                self.begins.clear()
+            ids = self.begins[part] = self.whole(part)
+        return ids
 
 
 @lru_cache(2)
