@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import packing, revisits, token_output, url_filters
+from plumbline.llm import mixing, packing, revisits, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,11 @@ def op9_revisits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.taken_words(mixing.mix_sources(table(spark, folder, "documents")))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, folder, "documents"), TOKENIZER)
     return pieces.select(
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
         "op2_url_filters": op2_url_filters,
+        "op5_mixing": op5_mixing,
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
     }
