@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, packing, revisits, token_output, url_filters
+from plumbline.llm import mixing, packing, revisits, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,11 @@ def op9_revisits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.taken_words(mixing.mix_sources(table(spark, folder, "documents")))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -91,6 +96,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
         "op2_url_filters": op2_url_filters,
+        "op3_simhash": op3_simhash,
         "op5_mixing": op5_mixing,
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
