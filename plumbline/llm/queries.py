@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, packing, revisits, simhash, token_output, url_filters
+from plumbline.llm import embeddings, mixing, packing, revisits, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,10 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, folder, "documents"), TOKENIZER)
     return pieces.select(
@@ -98,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op2_url_filters": op2_url_filters,
         "op3_simhash": op3_simhash,
         "op5_mixing": op5_mixing,
+        "op6_embeddings": op6_embeddings,
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
     }
