@@ -50,7 +50,7 @@ def near_vectors(
     vectors: DataFrame,
     cosine: float = 0.98,
     code_size: int = 64,
-    repeats: int = 3,
+    repeats: int = 4,
     threshold: float = 3.0,
     block: int = 512,
     seed: int = 11,
@@ -67,8 +67,8 @@ def near_vectors(
     gives no rows.
 
     Equal vectors are compared once, with their number as weight. A vector goes to all caps it is in (``threshold`` standard
-    deviations of a random direction: with 64 ** 2 directions in each of 3 codes, about 16 caps); a pair is compared where both
-    are in a cap and counted in the first such cap only. At a cosine of 0.98 or more about one pair in 10,000 shares none. Caps
+    deviations of a random direction: with 64 ** 2 directions in each of 4 codes, about 22 caps); a pair is compared where both
+    are in a cap and counted in the first such cap only. At a cosine of 0.98 or more fewer than one pair in 10,000 share none. Caps
     with more than ``block`` vectors are compared block against block in many tasks, so none is capped or held whole. For
     far more vectors a label than a million, raise ``threshold`` by what keeps a cap's share constant, and ``code_size`` to
     keep the number of caps.

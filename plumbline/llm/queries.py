@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import embeddings, mixing, packing, revisits, simhash, token_output, url_filters
+from plumbline.llm import embeddings, language, mixing, packing, revisits, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,14 @@ def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    part = lambda name: F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 4, F.lit(0))
+    filters = language.learn_filters(docs, part("doc_id") != 2)
+    found = language.predict_language(docs, filters)
+    return found.select("doc_id", (part("doc_id") == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, folder, "documents"), TOKENIZER)
     return pieces.select(
@@ -103,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op5_mixing": op5_mixing,
         "op6_embeddings": op6_embeddings,
+        "op7_language": op7_language,
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
     }
