@@ -94,7 +94,8 @@ def sliced(values: np.ndarray) -> np.ndarray:
     padded = np.zeros(-(-len(values) // 64) * 64, np.uint64)
     padded[: len(values)] = values
     bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view("<u8").reshape(-1, 64)
+    packed = np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view("<u8").reshape(-1, 64)
 
 
 def near_in_runs(keys: np.ndarray, values: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
