@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import embeddings, language, mixing, packing, revisits, simhash, token_output, url_filters
+from plumbline.llm import embeddings, language, mixing, packing, quality, revisits, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(table(spark, folder, "documents"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.taken_words(mixing.mix_sources(table(spark, folder, "documents")))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -109,6 +113,7 @@ def queries() -> dict[str, Query]:
         "op1_token_output": op1_token_output,
         "op2_url_filters": op2_url_filters,
         "op3_simhash": op3_simhash,
+        "op4_quality": op4_quality,
         "op5_mixing": op5_mixing,
         "op6_embeddings": op6_embeddings,
         "op7_language": op7_language,
