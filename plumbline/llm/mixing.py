@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, documents
+from plumbline.llm.common import WORD, cut, documents
 
 MOST_SOURCES = 10_000
 MOST_SHARDS = 4_096
@@ -130,7 +130,7 @@ def mix_sources(
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
     })
     if not keep_text:
-        rows = rows.drop("text")
+        rows = cut(rows.drop("text"))  # texts are read once
     found = rows.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -170,7 +170,7 @@ def mix_sources(
     pieces = pieces.withColumns({
         "word": begin - F.col("first"),
         "n_words": F.coalesce(F.least(last + 1, (F.col("block") + 1) * block_words) - begin, F.lit(0)),
-    }).join(blocks, ["place", "block"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    }).join(blocks.hint("merge"), ["place", "block"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
     return Mix(placed, slots, blocks, pieces)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import embeddings, language, mixing, packing, quality, revisits, simhash, token_output, url_filters
+from plumbline.llm import embeddings, language, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +108,15 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"), keep_first=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
@@ -119,6 +128,7 @@ def queries() -> dict[str, Query]:
         "op7_language": op7_language,
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
+        "op10_repeats": op10_repeats,
     }
 
 
