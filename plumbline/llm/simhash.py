@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -12,64 +13,80 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, documents, slices
-from plumbline.llm.components import connected_components
+from plumbline.llm.components import SALTS, connected_components
+from plumbline.llm.mixing import scramble
 
 SEED = 42
 AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64 bits: each is 1 if it is set in over half the XXH64 hashes of the text's shingles of so many words (A-Z
-    lower-cased, repeats included; of a shorter text, all its words; without words 0)."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of the text's shingles of so many words, A-Z lower-cased, repeats included. A shorter text is one shingle, a text
+    without words has none."""
     parts = text.encode().lower().split() if text else []  # bytes: only A-Z and the six ASCII white-space characters
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     rows = zip(*(parts[i:] for i in range(words)), strict=False) if len(parts) >= words else [parts]
-    shingles = list(map(b" ".join, rows))
-    total = np.zeros(64, np.int64)
-    for start in range(0, len(shingles), AT_ONCE):
-        some = shingles[start : start + AT_ONCE]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in some), "<u8", len(some))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total += bits.sum(0, dtype=np.int64)
-    set_bits = (2 * total > len(shingles)).astype(np.uint8)
-    return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
-
-
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint (the 64 bits as a signed long)."""
+    return np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in map(b" ".join, rows)), np.uint64)
+
+
+def fingerprint(hashes: np.ndarray, width: int = 1) -> np.ndarray:
+    """``width`` numbers of 64 bits: each bit is 1 if it is set in over half the hashes. The first number is from the hashes
+    themselves, the others from further hashes of them."""
+    total = np.zeros(64 * width, np.int64)
+    for start in range(0, len(hashes), AT_ONCE):
+        some = hashes[start : start + AT_ONCE, None]
+        if width > 1:
+            more = scramble(some + np.arange(1, width, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            some = np.concatenate([some, more], axis=1)
+        bits = np.unpackbits(np.ascontiguousarray(some).view(np.uint8), axis=1, bitorder="little")
+        for begin in range(0, len(bits), 255):  # so many fit into a byte
+            total += bits[begin : begin + 255].sum(0, dtype=np.uint8)
+    return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
+
+
+def fingerprints(
+    docs: DataFrame, words: int = 3, width: int = 1, repeats: bool = True, ids: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """One row per document: the ``ids``, w0, w1, ... (the fingerprint's numbers, as signed longs). Texts without words have zeros.
+    Without ``repeats`` a shingle counts once, however often it occurs."""
+    names = [f"w{i}" for i in range(width)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"]
-                )
+                found = np.empty((part.num_rows, width), np.uint64)
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    hashes = shingle_hashes(text, words)
+                    found[i] = fingerprint(hashes if repeats else np.unique(hashes), width)
+                columns = [pa.array(c) for c in found.view(np.int64).T.copy()]
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in ids], *columns], [*ids, *names])
 
-    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, fingerprint long")
+    schema = ", ".join(f"{name} long" for name in [*ids, *names])
+    return docs.select(*ids, "text").mapInArrow(task, schema)
 
 
 def far_apart(planes: np.ndarray, query: np.ndarray, radius: int) -> np.ndarray:
     """Which of 64 fingerprints of each block lie beyond the radius of that block's query, as bits of one number.
 
-    planes: (blocks, 64), the b-th number of a block having bit b of its 64 fingerprints; query: (blocks,). One pass over the
-    bit planes adds their differences to all 64 distances at once, in carry-save counters: ``counter[i]`` holds the bits of
-    weight 2**i of 64 distances. A distance beyond the counters' range is kept in ``over``. Blocks all of whose
-    distances exceed the radius are abandoned.
+    planes: (blocks, bits), the b-th number of a block having bit b of its 64 fingerprints; query: (blocks, bits / 64). One
+    pass over the bit planes adds their differences to all 64 distances at once, in carry-save counters:
+    ``counter[i]`` holds the bits of weight 2**i of 64 distances. A distance beyond the counters' range is kept in
+    ``over``. Blocks all of whose distances exceed the radius are abandoned.
     """
     width = max(1, radius.bit_length())
     over = np.zeros(len(query), np.uint64)
     counter = np.zeros((width, len(query)), np.uint64)
     live = np.arange(len(query))
     every = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for b in range(64):
-        bit = (query[live] >> np.uint64(b)) & np.uint64(1)
+    n_bits = planes.shape[1]
+    for b in range(n_bits):
+        bit = (query[live, b // 64] >> np.uint64(b % 64)) & np.uint64(1)
         carry = planes[live, b] ^ (np.uint64(0) - bit)
         for i in range(width):
             counter[i, live], carry = counter[i, live] ^ carry, counter[i, live] & carry
         over[live] |= carry
-        if b % 8 == 7 and b < 63:
+        if b % 8 == 7 and b < n_bits - 1:
             live = live[(over[live] | above(counter[:, live], radius)) != every]
             if not len(live):
                 break
@@ -90,12 +107,13 @@ def above(counter: np.ndarray, radius: int) -> np.ndarray:
 
 
 def sliced(values: np.ndarray) -> np.ndarray:
-    """Bit planes of consecutive blocks of 64 fingerprints, the last filled up with zeros: (blocks, 64)."""
-    padded = np.zeros(-(-len(values) // 64) * 64, np.uint64)
-    padded[: len(values)] = values
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")
+    """Bit planes of consecutive blocks of 64 fingerprints, the last filled up with zeros: (blocks, bits)."""
+    n, width = values.shape
+    padded = np.zeros((-(-n // 64) * 64, width), np.uint64)
+    padded[:n] = values
+    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 64, 8 * width), axis=2, bitorder="little")
     packed = np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")
-    return np.ascontiguousarray(packed).view("<u8").reshape(-1, 64)
+    return np.ascontiguousarray(packed).view(np.uint64).reshape(-1, 64 * width)
 
 
 def near_in_runs(keys: np.ndarray, values: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -125,34 +143,35 @@ def near_in_runs(keys: np.ndarray, values: np.ndarray, radius: int) -> Iterator[
         query = query[block[query] <= last[query]]
 
 
-def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
-    """Pairs (u, v) of distinct fingerprints within the radius, as many as their components need.
+def bucket_links(rows: DataFrame, keys: list[str], width: int, radius: int) -> DataFrame:
+    """Pairs (u, v) of nodes within the radius in some bucket, as many as the components of each bucket need.
 
-    Of ``blocks`` equal parts of the 64 bits, at least ``blocks - radius`` are the same in such a pair. So each fingerprint goes
-    to one bucket for each choice of that many parts, and pairs are compared within buckets. A bucket's fingerprints differ
-    in the other parts only, so with 8 parts and a radius of 2 it never holds more than 2**16 of them, whatever the
-    data. Buckets are runs of rows in key order. Of the pairs found in one, those that join what other pairs of
-    it have joined already are left out.
+    rows: the key columns, node, w0, w1, ...; a bucket is all rows with the same keys. It is dealt out to one task and
+    compared block by block of 64. Of its pairs those of a shortest spanning forest are returned: in order of their distance,
+    the ones that join what shorter ones have not joined.
     """
-    width = 64 // blocks
-    masks = [
-        sum(((1 << width) - 1) << (width * i) for i in chosen) for chosen in combinations(range(blocks), blocks - radius)
-    ]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    choices = F.array(*[
-        F.struct(F.lit(i).cast("byte").alias("choice"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("key"))
-        for i, m in enumerate(signed)
-    ])
-    rows = values.select("fingerprint", F.explode(choices).alias("c")).select("c.choice", "c.key", "fingerprint")
+    names = [f"w{i}" for i in range(width)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the rows of the last, possibly unfinished bucket
 
-        def pairs(choice, key, value) -> Iterator[pa.RecordBatch]:
-            buckets = np.cumsum(np.concatenate([[0], (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])]))
-            alone = np.bincount(buckets)[buckets] == 1
-            buckets, value = buckets[~alone], value[~alone]
+        def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            own, node = columns[: len(keys)], columns[len(keys)]
+            value = np.stack(columns[len(keys) + 1 :], axis=1).view(np.uint64)
+            new = np.zeros(len(node), bool)
+            for c in own:
+                new[1:] |= c[1:] != c[:-1]
+            bucket = np.cumsum(new)
+            several = np.bincount(bucket)[bucket] > 1
+            bucket, node, value = bucket[several], node[several], value[several]
+            found = list(near_in_runs(bucket, value, radius))
+            if not found:
+                return
+            i, j = (np.concatenate(c) for c in zip(*found, strict=True))
+            distance = np.bitwise_count(value[i] ^ value[j]).sum(1)
+            order = np.argsort(distance, kind="stable")
             parent: dict[int, int] = {}
+            us, vs = [], []
 
             def root(x: int) -> int:
                 while (p := parent.get(x, x)) != x:
@@ -160,16 +179,13 @@ def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
                     x = p
                 return x
 
-            for i, j in near_in_runs(buckets, value.view(np.uint64), radius):
-                us, vs = [], []
-                for a, b in zip(i.tolist(), j.tolist(), strict=True):
-                    a_root, b_root = root(a), root(b)
-                    if a_root != b_root:
-                        parent[b_root] = a_root
-                        us.append(a)
-                        vs.append(b)
-                if us:
-                    yield pa.RecordBatch.from_arrays([pa.array(value[us]), pa.array(value[vs])], ["u", "v"])
+            for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                a_root, b_root = root(a), root(b)
+                if a_root != b_root:
+                    parent[b_root] = a_root
+                    us.append(a)
+                    vs.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(node[us]), pa.array(node[vs])], ["u", "v"])
 
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -177,18 +193,40 @@ def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
                 columns = [np.concatenate(c) for c in zip(held, columns, strict=True)]
             if not len(columns[0]):
                 continue
-            choice, key, _ = columns
-            same = (choice == choice[-1]) & (key == key[-1])
-            at = len(same) - int(same[::-1].argmin()) if not same.all() else 0
+            other = np.zeros(len(columns[0]), bool)
+            for c in columns[: len(keys)]:
+                other |= c != c[-1]
+            at = len(other) - int(other[::-1].argmax()) if other.any() else 0
             if at:
-                yield from pairs(*[c[:at] for c in columns])
+                yield from pairs([c[:at] for c in columns])
             held = [c[at:] for c in columns]
         if held:
-            yield from pairs(*held)
+            yield from pairs(held)
+
+    dealt = rows.select(*keys, "node", *names).repartition(*keys).sortWithinPartitions(*keys, "node")
+    return dealt.mapInArrow(task, "u long, v long")
+
+
+def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
+    """Pairs (u, v) of distinct fingerprints (``fingerprint``, 64 bits) within the radius, as many as their components need.
+
+    Of ``blocks`` equal parts of the 64 bits, at least ``blocks - radius`` are the same in such a pair. So each fingerprint goes
+    to one bucket for each choice of that many parts, and pairs are compared within buckets. A bucket's fingerprints differ
+    in the other parts only, so with 8 parts and a radius of 2 it never holds more than 2**16 of them, whatever the data.
+    """
+    size = 64 // blocks
+    masks = [sum(((1 << size) - 1) << (size * i) for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+    choices = F.array(*[
+        F.struct(F.lit(i).cast("byte").alias("choice"), F.col("fingerprint").bitwiseAND(F.lit(signed(m))).alias("key"))
+        for i, m in enumerate(masks)
+    ])
+    rows = values.select(F.col("fingerprint").alias("node"), F.explode(choices).alias("c"))
+    rows = rows.select("c.choice", "c.key", "node", F.col("node").alias("w0"))
+    return bucket_links(rows, ["choice", "key"], 1, radius)
 
-    return (
-        rows.repartition("choice", "key").sortWithinPartitions("choice", "key", "fingerprint").mapInArrow(task, "u long, v long")
-    )
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def near_duplicates(
@@ -202,7 +240,7 @@ def near_duplicates(
 
     Only distinct fingerprints are compared, so any number of copies costs no more than one.
     """
-    prints = cut(fingerprints(documents(docs, doc_id, text), words))
+    prints = cut(fingerprints(documents(docs, doc_id, text), words).withColumnRenamed("w0", "fingerprint"))
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     groups = connected_components(linked(distinct.select("fingerprint"), radius))
     groups = groups.withColumnRenamed("node", "fingerprint")
@@ -210,3 +248,87 @@ def near_duplicates(
     ids = least.groupBy("component").agg(F.min("first").alias("component_id"))
     named = cut(least.join(ids, "component").select("fingerprint", "component_id"))
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def similar_documents(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    width: int = 4,
+    miss: float = 0.005,
+    block: int = 2_048,
+    seed: int = 13,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, key (XXH64 of doc_id and text), component_id (smallest doc_id reachable), kept. Repeated
+    rows, equal in both, have one row.
+
+    Documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least ``similarity``. Texts
+    with the same set are linked; texts without words are linked to nothing and kept. ``kept`` is true for one row of
+    each component: that of the smallest doc_id, null first, and of its rows the one with the least key.
+
+    Candidates are pairs whose fingerprints of 64 * ``width`` bits are near each other. At the least similarity a bit differs with
+    probability p, the angle between the sets over pi. Each table keys fingerprints by a few random bits, as many as make
+    buckets of about 64, and there are enough tables that a pair at the least similarity shares no bucket with probability
+    ``miss``. Buckets are compared in bit slices within a radius two deviations beyond the mean, and larger ones block
+    against block. The pairs of their shortest spanning forests are then checked on the shingles themselves.
+    """
+    rows = documents(docs, doc_id, text).withColumn("key", F.xxhash64("doc_id", "text"))
+    bits = 64 * width
+    names = [f"w{i}" for i in range(width)]
+    prints = fingerprints(rows, words, width, repeats=False, ids=("doc_id", "key"))
+    some = F.greatest(*[F.col(w) != 0 for w in names])
+    prints = cut(prints.withColumn("node", F.when(some, F.xxhash64(*names))).dropDuplicates(["key"]))
+    distinct = cut(prints.where("node IS NOT NULL").groupBy("node", *names).agg(F.min("key").alias("key")))
+    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    radius = int(bits * angle + 2 * math.sqrt(bits * angle * (1 - angle)))
+    key_bits = max(4, math.ceil(math.log2(max(distinct.count(), 1) / 64 + 1)))
+    tables = math.ceil(math.log(1 / miss) / (1 - angle) ** key_bits)
+    rng = np.random.default_rng(seed)
+    masks = np.zeros((tables, width), np.uint64)
+    for t in range(tables):
+        for bit in rng.choice(bits, key_bits, replace=False).tolist():
+            masks[t, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+    mask_rows = F.array(*[F.array(*[F.lit(signed(int(m))) for m in row]) for row in masks])
+    keyed = distinct.select("node", *names, F.posexplode(mask_rows).alias("table", "mask")).withColumn(
+        "bits", F.xxhash64(*[F.col(w).bitwiseAND(F.col("mask")[i]) for i, w in enumerate(names)])
+    ).drop("mask")
+    own = ["table", "bits"]
+    large = keyed.groupBy(*own, F.pmod("bits", F.lit(SALTS))).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    large = large.select(*own, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    part = F.pmod(F.xxhash64(F.lit(1), "node"), "blocks").cast("int")
+    against = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least(j, part).alias("a"), F.greatest(j, part).alias("b")),
+    )
+    dealt = keyed.join(large, own, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("c", F.explode(against)).select(*own, "c.a", "c.b", "node", *names)
+    pairs = bucket_links(dealt, [*own, "a", "b"], width, radius)
+    pairs = cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+
+    # The sets of what is in a pair, from one document of each fingerprint.
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(distinct.select("node", "key"), "node")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch):
+                found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in some.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "set"])
+
+    known = rows.select("key", "text").join(nodes, "key").select("node", "text").dropDuplicates(["node"])
+    known = cut(known.mapInArrow(sets, "node long, set array<long>"))
+    both = F.size(F.array_intersect("u_set", "v_set"))
+    links = (
+        pairs.join(known.select(F.col("node").alias("u"), F.col("set").alias("u_set")), "u")
+        .join(known.select(F.col("node").alias("v"), F.col("set").alias("v_set")), "v")
+        .where(both >= F.lit(similarity) * (F.size("u_set") + F.size("v_set") - both))
+        .select("u", "v")
+    )
+    groups = connected_components(links).withColumnRenamed("component", "group")
+    named = prints.select("doc_id", "key", "node").join(groups, "node", "left")
+    named = named.withColumn("group", F.coalesce("group", "node", "key"))
+    best = named.groupBy("group", F.pmod("group", F.lit(SALTS))).agg(F.min(F.struct("doc_id", "key")).alias("best"))
+    return named.join(best.select("group", "best"), "group").select(
+        "doc_id", "key", F.col("best.doc_id").alias("component_id"), (F.col("key") == F.col("best.key")).alias("kept")
+    )
