@@ -63,14 +63,15 @@ def best_fit_decreasing(sizes: list[int], width: int) -> list[list[int]]:
     """Indexes of the pieces in each row: the largest piece first, each into the fullest row it fits."""
     tree, rows = CapacityTree(width), []
     for piece in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        found = tree.take(sizes[piece])
+        size = sizes[piece]
+        found = None if size == width else tree.take(size)
         if found is None:
             found = width, len(rows)
             rows.append([])
         capacity, row = found
         rows[row].append(piece)
-        if capacity > sizes[piece]:
-            tree.add(capacity - sizes[piece], row)
+        if capacity > size:
+            tree.add(capacity - size, row)
     return rows
 
 
@@ -101,41 +102,54 @@ def token_matrices(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         kind = np.dtype("<u2" if max(own.vocabulary - 1, end_id, pad_id) < 1 << 16 else "<u4")
+        end, padding = (np.array(i, "<u4").tobytes() for i in ([end_id], [pad_id] * width))
         first = TaskContext.get().partitionId() << 40
         count = 0
-        count_up = np.arange(width, dtype="<u4")
-        pieces: list[tuple[int, int, np.ndarray]] = []
+        pieces: list[tuple[int, int, bytes]] = []  # document, its ids before the piece, ids
 
         def packed() -> Iterator[pa.RecordBatch]:
             nonlocal count
-            rows = best_fit_decreasing([len(ids) for _, _, ids in pieces], width)
+            rows = best_fit_decreasing([len(ids) // 4 for _, _, ids in pieces], width)
             for begin in range(0, len(rows), 1024):
-                columns: list[list] = [[] for _ in ARROW]
-                for row in rows[begin : begin + 1024]:
-                    bounds = np.cumsum([0, *(len(pieces[i][2]) for i in row)])
-                    ids, places = np.full(width, pad_id, kind), count_up.copy()
-                    for a, b, i in zip(bounds, bounds[1:], row, strict=False):
-                        ids[a:b] = pieces[i][2]
-                        places[a:b] = count_up[: b - a]
-                    places[bounds[-1] :] = count_up[: width - bounds[-1]]
-                    values = (first + count, bounds[-1], [pieces[i][0] for i in row], [pieces[i][1] for i in row],
-                              bounds, ids.tobytes(), places.tobytes())
-                    count += 1
-                    for held, value in zip(columns, values, strict=True):
-                        held.append(value)
+                some = rows[begin : begin + 1024]
+                parts = [[pieces[i] for i in row] for row in some]
+                bounds = [np.cumsum([0, *[len(p[2]) // 4 for p in row]]).astype(np.int32) for row in parts]
+                used = np.array([b[-1] for b in bounds])
+                raw = b"".join([
+                    x for row, n in zip(parts, used.tolist(), strict=True) for x in (*[p[2] for p in row], padding[n * 4 :])
+                ])
+                ids = np.frombuffer(raw, "<u4").astype(kind)
+                # Positions count up from the last start before them: of a segment, or of the padding.
+                starts = np.concatenate([b[b < width] + i * width for i, b in enumerate(bounds)])
+                lengths = np.diff(np.append(starts, len(ids)))
+                positions = np.arange(len(ids), dtype="<u4") - np.repeat(starts.astype("<u4"), lengths)
+                lists = lambda values, kind: pa.array(values, pa.list_(kind))
+                fixed = lambda values: pa.FixedSizeBinaryArray.from_buffers(
+                    pa.binary(values.itemsize * width), len(some), [None, pa.py_buffer(values.tobytes())]
+                ).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, ARROW, strict=True)], schema=ARROW
+                    [
+                        pa.array(np.arange(first + count, first + count + len(some))),
+                        pa.array(used.astype(np.int32)),
+                        lists([[p[0] for p in row] for row in parts], pa.int64()),
+                        lists([[p[1] for p in row] for row in parts], pa.int64()),
+                        lists(bounds, pa.int32()),
+                        fixed(ids),
+                        fixed(positions),
+                    ],
+                    schema=ARROW,
                 )
+                count += len(some)
             pieces.clear()
 
         held = 0
         for batch in batches:
             for part in slices(batch):
                 keys = part.column("doc_id").to_pylist()
-                for key, raw in zip(keys, own.encode(part.column("text").to_pylist()), strict=True):
-                    ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id)).astype(kind)
-                    pieces += [(key, at, ids[at : at + width]) for at in range(0, len(ids), width)]
-                    held += len(ids)
+                for key, ids in zip(keys, own.encode(part.column("text").to_pylist()), strict=True):
+                    ids += end
+                    pieces += [(key, at // 4, ids[at : at + 4 * width]) for at in range(0, len(ids), 4 * width)]
+                    held += len(ids) // 4
                 if held >= batch_tokens:
                     yield from packed()
                     held = 0

@@ -13,7 +13,7 @@ UNSAFE = re.compile(r"\A\s|\s\Z|\A\Z")
 BEGINNINGS = {" ": "Ġ", "\n": "Ċ"}
 #: Letters, and then marks that no word or number is merged with. What follows the letters is encoded apart.
 CORE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
-MOST_KEPT = 700_000
+MOST_KEPT = 1_400_000
 
 
 class Encoder:
@@ -89,11 +89,12 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; those of null are empty."""
         parts = [t.split(" ") if t else [] for t in texts]
-        missing = {p for some in parts for p, ids in zip(some, map(self.known.get, some), strict=True) if ids is None}
-        unsafe = {p for p in missing if UNSAFE.search(p)}
+        wanted = set().union(*parts)
+        missing = wanted.difference(self.known)
+        unsafe = {p for p in missing if UNSAFE.search(p)}  # never known, so always missing
         if len(self.known) + len(missing) > MOST_KEPT:
             self.known.clear()
-            missing = {p for some in parts for p in some}
+            missing = wanted
         self.learn(list(missing - unsafe))
         out, known = [], self.known
         for t, some in zip(texts, parts, strict=True):
