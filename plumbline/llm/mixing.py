@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, cut, documents
+from plumbline.llm.common import WORD, cut, documents, slices
 
 MOST_SOURCES = 10_000
 MOST_SHARDS = 4_096
@@ -107,6 +107,7 @@ def mix_sources(
     text: str = "text",
     source: str = "source",
     keep_text: bool = False,
+    **more: str,
 ) -> Mix:
     """Draws as many words from each source as its weight asks for.
 
@@ -124,13 +125,14 @@ def mix_sources(
     the documents is spread like the others.
     """
     spark = docs.sparkSession
-    rows = documents(docs, doc_id, text, source=source)
+    rows = documents(docs, doc_id, text, source=source, **more)
     rows = rows.withColumns({
+        "tie": F.xxhash64("text"),
         "source": F.col("source").cast("string"),
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
     })
     if not keep_text:
-        rows = cut(rows.drop("text"))  # texts are read once
+        rows = cut(rows.drop("text", *more))  # texts are read once
     found = rows.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -155,7 +157,7 @@ def mix_sources(
     in_order = Window.partitionBy("place").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     begins = rows.groupBy("place", "chunk").agg(F.sum("size").alias("n"))
     begins = begins.select("place", "chunk", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("begin"))
-    own = Window.partitionBy("place", "chunk").orderBy("doc_id", "size", *(["text"] if keep_text else []))
+    own = Window.partitionBy("place", "chunk").orderBy("doc_id", "tie")
     up_to = own.rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumns({"row": F.row_number().over(own), "end": F.sum("size").over(up_to)})
     placed = placed.join(begins, ["place", "chunk"]).withColumn("first", F.col("begin") + F.col("end") - F.col("size"))
@@ -165,7 +167,7 @@ def mix_sources(
     blocks = slots.groupBy("place", "block").agg(F.count("*").alias("uses"))
     last = F.col("first") + F.col("size") - 1
     block = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("first") / block_words), F.floor(last / block_words)))
-    pieces = placed.drop("text").withColumn("block", F.explode_outer(block))
+    pieces = placed.drop("text", *more).withColumn("block", F.explode_outer(block))
     begin = F.greatest("first", F.col("block") * block_words)
     pieces = pieces.withColumns({
         "word": begin - F.col("first"),
@@ -213,52 +215,49 @@ def taken_words(mix: Mix) -> DataFrame:
 
 
 def mixed_texts(mix: Mix) -> DataFrame:
-    """The documents that the mix consists of: doc_id, source, text. A document comes as often as its blocks are used. Where
-    they are not all used the same number of times, the text is cut at the edges of blocks, white space within kept. Documents
-    without words are not in it. Needs ``keep_text``."""
+    """The documents that the mix consists of: doc_id, source, text and what else ``mix_sources`` was to keep. A document comes
+    as often as its blocks are used. Where they are not all used the same number of times, the text is cut at the edges of
+    blocks, white space within kept. Documents without words are not in it. Needs ``keep_text``."""
     keys = ["place", "chunk", "row"]
+    own = [*keys, "size", "source_size", "target", "tie", "first"]
     parts = mix.pieces.where("uses > 0").groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("word", "n_words", "uses"))).alias("parts")
-    )
+    )
 
-    def runs(parts: list, n_words: int) -> Iterator[tuple[int, int]]:
+    def runs(parts: list[dict]) -> Iterator[tuple[int, int]]:
         for epoch in range(max(p["uses"] for p in parts)):
             begin = end = None
             for p in parts:
-                if p["uses"] <= epoch:
-                    continue
-                if end != p["word"]:
-                    if end:
-                        yield begin, end
-                    begin = p["word"]
-                end = p["word"] + p["n_words"]
+                if p["uses"] > epoch:
+                    if end != p["word"]:
+                        if end is not None:
+                            yield begin, end
+                        begin = p["word"]
+                    end = p["word"] + p["n_words"]
             yield begin, end
 
+    joined = mix.documents.join(parts, keys)
+    kept = [name for name in mix.documents.columns if name not in own]
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = re.compile(WORD)
         for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for row in batch.to_pylist():
-                spans = None
-                for begin, end in runs(row["parts"], row["size"]):
-                    text = row["text"]
-                    if (begin, end) != (0, row["size"]):
-                        spans = spans or [m.span() for m in words.finditer(text)]
-                        text = text[spans[begin][0] : spans[end - 1][1]]
-                    rows.append((row["doc_id"], row["source"], text))
-                    size += len(text)
-                if size > 8 << 20:
-                    yield as_batch(rows)
-                    rows, size = [], 0
-            if rows:
-                yield as_batch(rows)
-
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        ids, sources, texts = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sources, pa.string()), pa.array(texts, pa.string())], ["doc_id", "source", "text"]
-        )
-
-    joined = mix.documents.select(*keys, "doc_id", "source", "text", "size").join(parts, keys)
-    return joined.drop(*keys).mapInArrow(task, "doc_id long, source string, text string")
+            for part in slices(batch):
+                rows, texts = [], []
+                columns = [part.column(name).to_pylist() for name in ("text", "size", "parts")]
+                for i, (text, size, pieces) in enumerate(zip(*columns, strict=True)):
+                    spans = None
+                    for begin, end in runs(pieces):
+                        if (begin, end) == (0, size):
+                            cut_out = text
+                        else:
+                            spans = spans or [m.span() for m in words.finditer(text)]
+                            cut_out = text[spans[begin][0] : spans[end - 1][1]]
+                        rows.append(i)
+                        texts.append(cut_out)
+                take = pa.array(rows, pa.int64())
+                data = [pa.array(texts, pa.string()) if name == "text" else part.column(name).take(take) for name in kept]
+                yield pa.RecordBatch.from_arrays(data, kept)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mix.documents.select(*kept).schema)
+    return joined.select(*kept, "size", "parts").mapInArrow(task, schema)

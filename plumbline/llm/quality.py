@@ -65,18 +65,19 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, and the counts of each text."""
-    names = [*COUNTS, *MORE]
+    """doc_id, key (XXH64 of doc_id and text), lang, source, and the counts of each text."""
+    names, ids = [*COUNTS, *MORE], ["doc_id", "key", "lang", "source"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 rows = np.array([text_counts(t) for t in part.column("text").to_pylist()], np.int64)
-                own = [part.column(name) for name in ("doc_id", "lang", "source")]
-                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rows.T.copy())], ["doc_id", "lang", "source", *names])
+                columns = [*[part.column(name) for name in ids], *map(pa.array, rows.T.copy())]
+                yield pa.RecordBatch.from_arrays(columns, [*ids, *names])
 
-    schema = "doc_id long, lang string, source string, " + ", ".join(f"{name} long" for name in names)
-    return docs.select("doc_id", "lang", "source", "text").mapInArrow(task, schema)
+    schema = "doc_id long, key long, lang string, source string, " + ", ".join(f"{name} long" for name in names)
+    rows = docs.withColumn("key", F.xxhash64("doc_id", "text")).select(*ids, "text")
+    return rows.mapInArrow(task, schema)
 
 
 def features() -> list[tuple[Column, float]]:
@@ -190,7 +191,7 @@ def judge_quality(
     lang: str = "lang",
     source: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, ``COUNTS``, base_failed, kept, distance.
+    """One row per document: doc_id, key, ``COUNTS``, base_failed, kept, distance.
 
     Documents with fewer than ``least_words`` words, or over ``most_repeated`` percent of words in repeated 8-word windows, fail the
     base rules. Of the others, transformed statistics (``features``) are held against robust estimates of their language
@@ -199,7 +200,9 @@ def judge_quality(
     language, and languages that are still smaller one in all; null languages and sources are groups of their own.
     Null and empty texts have 0 words and fail; their ``distance`` is null. Repeated rows each get their row.
     """
-    found = cut(statistics(documents(docs, doc_id, text, lang=lang, source=source)))
+    found = documents(docs, doc_id, text, lang=lang, source=source)
+    found = found.withColumns({name: F.col(name).cast("string") for name in ("lang", "source")})
+    found = cut(statistics(found))
     found = found.withColumn(
         "base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     )
@@ -207,7 +210,7 @@ def judge_quality(
     d = len(columns)
     named = lambda *names: F.to_json(F.struct(*[F.col(n) for n in names]))
     rows = found.where(~F.col("base_failed")).select(
-        "doc_id", "lang", "source", *COUNTS, "base_failed",
+        "doc_id", "key", "lang", "source", *COUNTS, "base_failed",
         named("lang", "source").alias("pair"), *[x.alias(f"x{i}") for i, (x, _) in enumerate(columns)],
     )
     sizes = rows.groupBy("pair", "lang").agg(F.count("*").alias("n"))
@@ -223,6 +226,6 @@ def judge_quality(
     estimates = robust_estimates(rows, [scale for _, scale in columns], share, steps)
     most = chi_square_quantile(confidence, d)
     judged = with_distance(rows, estimates, d).withColumn("kept", F.col("distance") <= most)
-    names = ["doc_id", *COUNTS, "base_failed", "kept", "distance"]
+    names = ["doc_id", "key", *COUNTS, "base_failed", "kept", "distance"]
     failed = found.where("base_failed").withColumns({"kept": F.lit(False), "distance": F.lit(None).cast("double")})
     return judged.select(*names).unionByName(failed.select(*names))

@@ -81,7 +81,7 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge_quality(table(spark, folder, "documents"))
+    return quality.judge_quality(table(spark, folder, "documents")).drop("key")
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -269,14 +269,21 @@ def window_hashes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
 
 
 def remove_repeats(
-    docs: DataFrame, least: int = 200, keep_first: bool = True, doc_id: str = "doc_id", text: str = "text", **more: str
+    docs: DataFrame,
+    least: int = 200,
+    keep_first: bool = True,
+    whole_characters: bool = False,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    **more: str,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (array of begin and end, in bytes, maximal and in order), kept (binary: the
     remaining bytes), and the columns named in ``more``.
 
     Texts are UTF-8 bytes; a null text is empty. Removed is each byte that lies in a string of ``least`` bytes which also starts
     elsewhere, in another document or the same one, overlaps included: at an earlier place if ``keep_first`` (so the first copy
-    stays; documents are in order of doc_id, null first), else at any other. Matches never cross documents, and are judged on the
+    stays; documents are in order of doc_id, null first), else at any other. With ``whole_characters`` spans shrink to whole
+    characters, so that what is left is UTF-8. Matches never cross documents, and are judged on the
     input. Rows that agree in doc_id and text count as copies of each other, but where the first copy stays, it stays in all
     of them. An empty table gives no rows.
 
@@ -298,6 +305,8 @@ def remove_repeats(
                 texts, found = part.column("text").cast(pa.binary()).to_pylist(), part.column("found")
                 for i, raw in enumerate(texts):
                     pairs = merged(found[i])
+                    if whole_characters:
+                        pairs = [pair for pair in (characters(raw, *pair) for pair in pairs) if pair[0] < pair[1]]
                     sizes.append(len(raw))
                     spans.append([{"begin": a, "end": b} for a, b in pairs])
                     edges = [0, *[x for pair in pairs for x in pair], len(raw)]
@@ -314,6 +323,15 @@ def remove_repeats(
     return joined.select(*names, "text", "found").mapInArrow(task, schema)
 
 
+def characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:
+    """The part of a span that is whole characters."""
+    while begin < end and raw[begin] & 0xC0 == 0x80:
+        begin += 1
+    while begin < end < len(raw) and raw[end] & 0xC0 == 0x80:
+        end -= 1
+    return begin, end
+
+
 def merged(found: pa.ListScalar) -> list[tuple[int, int]]:
     """Spans that touch or overlap, as one."""
     if not found.is_valid:
