@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,6 +45,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as Parquet below the shared folder: smaller, for tables with many rows. The files stay until the folder
+    is cleaned up."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with at most so many bytes of text, but a row at least: what a task
     holds at a time does not depend on the number of rows in an Arrow batch."""

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import documents, slices
+from plumbline.llm.common import cut, documents, slices, written
 from plumbline.llm.components import SALTS
 
 GRAM = 64  # bytes of an anchor
@@ -125,25 +125,28 @@ def repeated_spans(docs: DataFrame, least: int, keep_first: bool) -> DataFrame:
     the others of its anchor: these are the edges of repeated passages.
     """
     found = text_zones(docs, least)
-    shared = found.groupBy("h", F.pmod("h", F.lit(SALTS))).agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = found.join(shared, "h")
+    # Written before they are joined, the smaller sides are dealt out right below the join, where a frequent key can be split.
+    shared = cut(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    found = written(found.join(shared, "h"))
     first = F.min(F.struct("doc_id", "key", "place")).alias("first")
-    kinds = found.groupBy("h", "z", F.pmod("z", F.lit(SALTS))).agg(F.count("*").alias("n"), first).select("h", "z", "n", "first")
+    kinds = written(found.groupBy("h", "z").agg(F.count("*").alias("n"), first))
     again = F.col("n") > 1
     if keep_first:
         again &= F.struct("doc_id", "key", "place") != F.col("first")
-    whole = found.join(kinds, ["h", "z"]).where(again).select(
+    whole = found.join(kinds.where("n > 1"), ["h", "z"]).where(again).select(
         "key",
         F.shiftright("place", 20).alias("begin"),
         (F.shiftright("place", 20) + F.col("place").bitwiseAND(1023) + (least - 1)).alias("end"),
     )
 
-    several = kinds.groupBy("h", F.pmod("h", F.lit(SALTS))).agg(F.count("*").alias("kinds")).where("kinds > 1")
-    edges = kinds.join(several.select("h", "kinds"), "h").select("h", "kinds", "first.key", "first.place")
+    several = cut(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    edges = kinds.join(several, "h").select("h", "kinds", "first.key", "first.place")
     few = edge_windows(docs, edges.where(F.col("kinds") <= MOST_IN_A_TASK), least)
     few = few.repartition("h").sortWithinPartitions("h").mapInArrow(
         lambda batches: resolve(batches, least, keep_first), "key long, begin long, end long"
     )
+    if several.where(F.col("kinds") > MOST_IN_A_TASK).isEmpty():
+        return whole.union(few)
     many = edge_windows(docs, edges.where(F.col("kinds") > MOST_IN_A_TASK), least)
     many = many.mapInArrow(
         lambda batches: window_hashes(batches, least), "h long, offset int, a long, doc_id long, key long, begin long"
@@ -181,7 +184,8 @@ def edge_windows(docs: DataFrame, edges: DataFrame, least: int) -> DataFrame:
                 )
 
     schema = "h long, doc_id long, key long, start long, offset int, n int, zone binary"
-    return docs.join(wanted, "key").select("key", "doc_id", "text", "edges").mapInArrow(task, schema)
+    # With all columns of docs, so that dealing them out is the same step as for the removal, and done once.
+    return docs.join(wanted, "key").mapInArrow(task, schema)
 
 
 def spread(batch: pa.RecordBatch, least: int) -> tuple[np.ndarray, ...]:
@@ -293,8 +297,13 @@ def remove_repeats(
     if not GRAM < least <= 1000:
         raise ValueError(f"repeats are of {GRAM + 1} to 1000 bytes")
     rows = documents(docs, doc_id, text, **more)
-    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(rows.select("doc_id", "key", "text"), least, keep_first)
+    ids = rows.groupBy("doc_id").count()
+    if ids.where("count > 1 OR doc_id IS NULL").isEmpty():
+        key = F.coalesce("doc_id", F.lit(0))  # never null, and says so
+    else:
+        key = F.xxhash64("doc_id", "text")
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", key)
+    spans = repeated_spans(rows, least, keep_first)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("found"))
     names = ["doc_id", *more]
 
@@ -319,8 +328,7 @@ def remove_repeats(
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
     schema = f"{fields}, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary"
-    joined = rows.select("key", "doc_id", "text", *more).join(spans, "key", "left")
-    return joined.select(*names, "text", "found").mapInArrow(task, schema)
+    return rows.join(spans, "key", "left").mapInArrow(task, schema)
 
 
 def characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:
