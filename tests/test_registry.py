@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DATA
+from plumbline import registry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
@@ -31,3 +32,8 @@ def test_same_as_sql(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_has_all_queries():
+    assert set(entry.queries()) >= set(QUERIES)
+    assert set(entry.oracle_sql()) >= set(ORACLES)
