@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -30,12 +29,12 @@ def documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **mor
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is
-    named (tests on one machine). Also makes it the checkpoint folder of the session."""
+    """The folder that the cluster names in spark.checkpoint.dir; where none is named, one below the warehouse,
+    which executors share too. Also makes it the checkpoint folder of the session."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-"))
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/plumbline-scratch")
     return context.getCheckpointDir()
 
 
