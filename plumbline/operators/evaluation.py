@@ -31,8 +31,9 @@ FLAGS = (
 
 def control_thresholds(control: DataFrame, level: str) -> DataFrame:
     """Long form of the ``<check>Threshold`` and ``<check>Notes`` columns of a control table: one
-    row per check and table, field, concept and unit. Where control rows repeat a key, the
-    strictest threshold counts."""
+    row per check and table, field, concept and unit, with table and field in lower case. Where
+    control rows repeat a key, the strictest threshold counts: a blank one, which lets no violated
+    row pass, before any number."""
     suffix = "Threshold"
     there = {name.lower(): f"`{name}`" for name in control.columns}
     names = [name[: -len(suffix)] for name in control.columns if name.endswith(suffix)] or [""]
@@ -51,15 +52,17 @@ def control_thresholds(control: DataFrame, level: str) -> DataFrame:
     return (
         control.selectExpr(
             f"'{level}' AS check_level",
-            "CAST(cdmTableName AS STRING) AS cdm_table_name",
-            f"{filled('cdmFieldName')} AS cdm_field_name",
+            "lower(cdmTableName) AS cdm_table_name",
+            f"lower({filled('cdmFieldName')}) AS cdm_field_name",
             f"{filled('conceptId')} AS concept_id",
             f"{filled('unitConceptId')} AS unit_concept_id",
             f"inline(array({cells}))",
         )
         .groupBy(*keys, "unit_concept_id")
         .agg(
-            F.min("threshold_value").alias("threshold_value"),
+            F.when(F.count("threshold_value") == F.count("*"), F.min("threshold_value")).alias(
+                "threshold_value"
+            ),
             F.min("notes_value").alias("notes_value"),
         )
     )
@@ -74,10 +77,11 @@ def threshold_lookup(results: DataFrame, controls: Controls | DataFrame) -> Data
         known = known.unionByName(control_thresholds(controls.concepts, "CONCEPT"))
     else:
         known = controls
-    keys = ["check_level", "check_name", "cdm_table_name"]
-    optional = ["cdm_field_name", "concept_id", "unit_concept_id"]
-    same = [f"result.{key} = known.{key}" for key in keys]
-    same += [f"CAST(result.{key} AS STRING) <=> known.{key}" for key in optional]
+    same = [f"result.{key} = known.{key}" for key in ("check_level", "check_name")]
+    same.append("lower(result.cdm_table_name) = known.cdm_table_name")
+    same.append("lower(result.cdm_field_name) <=> known.cdm_field_name")
+    ids = ("concept_id", "unit_concept_id")
+    same += [f"CAST(result.{key} AS STRING) <=> known.{key}" for key in ids]
     rows = results.drop("threshold_value", "notes_value").alias("result")
     return rows.join(known.alias("known"), F.expr(" AND ".join(same)), "left").select(
         "result.*", "known.threshold_value", "known.notes_value"
@@ -99,8 +103,9 @@ def threshold_eval(results: DataFrame) -> DataFrame:
 
 
 def _known_absences(results: DataFrame, run: Sequence[str]) -> DataFrame:
-    """Per run, table and field: is the table or field missing or empty?"""
+    """Per run, table and field (in lower case): is the table or field missing or empty?"""
     table = [*run, "cdm_table_name"]
+    results = results.withColumns({name: F.lower(name) for name in ("cdm_table_name", "cdm_field_name")})
     filled = f"check_name = '{FILLED_CHECK}'"
     found = {
         "no_table": f"check_name = '{TABLE_CHECK}' AND failed = 1",
@@ -141,8 +146,9 @@ NO_CONCEPT_ROWS = f"check_level = 'CONCEPT' AND {DENOMINATOR} = 0 AND is_error =
 def _with_absences(results: DataFrame, run: Sequence[str], *columns: str) -> DataFrame:
     """Results joined with what is known about their table and field, plus ``columns`` (SQL)."""
     known = _known_absences(results, run)
-    keys = [*run, "cdm_table_name", "cdm_field_name"]
-    same = " AND ".join(f"result.{key} <=> known.{key}" for key in keys)
+    keys = {key: f"result.{key}" for key in run}
+    keys |= {key: f"lower(result.{key})" for key in ("cdm_table_name", "cdm_field_name")}
+    same = " AND ".join(f"{mine} <=> known.{key}" for key, mine in keys.items())
     joined = results.alias("result").join(known.alias("known"), F.expr(same), "left")
     return joined.selectExpr("result.*", *columns)
 
@@ -193,6 +199,9 @@ MESSAGES = (
 )
 
 
+NOT_RUN = "The check was not run."
+
+
 def _reason(flag: str) -> Column:
     """Message of the flag whose place is given by the SQL expression ``flag``. One template is
     picked and filled, which is far less generated code than six concatenations; long methods are
@@ -212,9 +221,13 @@ def not_applicable_reason(results: DataFrame) -> DataFrame:
 
 def final_status(results: DataFrame) -> DataFrame:
     """From ``first_flag``: ``not_applicable`` with its reason, and the final ``failed`` and
-    ``passed``. A check that does not apply has neither failed nor passed."""
+    ``passed``. A check that does not apply has neither failed nor passed. One that has no counts,
+    though it applies and reports no error, did not run, which is an error."""
+    unrun = F.expr(f"first_flag IS NULL AND error IS NULL AND {VIOLATED} IS NULL")
     return (
-        results.withColumns(
+        results.withColumn("error", F.when(unrun, NOT_RUN).otherwise(F.col("error")))
+        .withColumn("is_error", F.expr("IF(error IS NOT NULL, 1, is_error)"))
+        .withColumns(
             {
                 "not_applicable": F.expr("CAST(first_flag IS NOT NULL AS INT)"),
                 "not_applicable_reason": _reason("first_flag"),

@@ -28,14 +28,15 @@ OFFSET_FIELD = "offset"
 def select_tables(
     control: DataFrame, include: Iterable[str] = (), exclude: Iterable[str] = VOCABULARY_TABLES
 ) -> DataFrame:
-    """Control rows of the included tables (none given: all) that are not excluded. The lists may
-    be in any case; control tables name tables in upper case."""
+    """Control rows of the included tables (none given: all) that are not excluded. Names may be in
+    any case, in the lists and in the control tables."""
     wanted = [name.upper() for name in include]
     unwanted = [name.upper() for name in exclude]
+    name = F.upper("cdmTableName")
     if wanted:
-        control = control.where(F.col("cdmTableName").isin(wanted))
+        control = control.where(name.isin(wanted))
     if unwanted:
-        control = control.where(~F.col("cdmTableName").isin(unwanted))
+        control = control.where(~name.isin(unwanted))
     return control
 
 

@@ -17,7 +17,7 @@ from plumbline.functions.counting import col
 from plumbline.functions.values import as_date, split_list
 from plumbline.operators import lookup, rowwise, temporal
 from plumbline.operators.concepts import FEMALE_CONCEPT, MALE, MALE_CONCEPT, NO_UNITS
-from plumbline.sources.cdm import Cdm, Cohort
+from plumbline.sources.cdm import Cdm, Cohort, spread
 
 OTHER = "__partner_key"
 
@@ -104,7 +104,8 @@ def is_primary_key(cdm: Cdm, table: str, field: str, cohort: Cohort | None = Non
     repeated = (
         cdm[table]
         .where(col(field).isNotNull())
-        .groupBy(col(field).alias(OTHER))
+        .select(col(field).alias(OTHER))
+        .groupBy(OTHER, spread(OTHER))
         .agg(F.count(F.lit(1)).alias("__found"))
         .where(F.col("__found") > 1)
     )

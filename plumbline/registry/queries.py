@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -51,10 +50,10 @@ RUN = ("run_id",)
 
 
 def output_folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write: below the shared folder that the cluster names,
-    or a temporary one where none is named (local tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/') if shared else tempfile.mkdtemp()}/plumbline-{uuid.uuid4().hex}"
+    """A new folder where all executors can write: below the shared folder that the cluster names, or
+    else below the warehouse, which they share too."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}"
 
 
 def on_cdm(count: Callable[[Cdm], DataFrame]) -> Query:

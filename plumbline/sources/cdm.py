@@ -28,8 +28,17 @@ class Cohort:
         ).select(F.col("subject_id").alias("__subject"))
 
     def weights(self) -> DataFrame:
-        """One row per subject with the number of its memberships."""
-        return self.subjects().groupBy("__subject").agg(F.count(F.lit(1)).alias(WEIGHT))
+        """One row per subject with the number of its memberships.
+
+        The second, redundant key makes Spark deal the rows out again right below a join on the
+        subject; only then can adaptive execution split the rows of a subject who dominates."""
+        subjects = self.subjects().groupBy("__subject", spread("__subject"))
+        return subjects.agg(F.count(F.lit(1)).alias(WEIGHT)).select("__subject", WEIGHT)
+
+
+def spread(key: str) -> Column:
+    """A second grouping key that follows from the key, and so changes no group."""
+    return F.pmod(F.xxhash64(key), F.lit(1024))
 
 
 @dataclass(frozen=True)
@@ -227,4 +236,5 @@ __all__ = [
     "cdm_from_files",
     "cdm_from_jdbc",
     "row_counts",
+    "spread",
 ]

@@ -121,10 +121,12 @@ def read_cdm_source(
     cdm: Cdm, version_key: str = "ENGINE_VERSION", table: str = "cdm_source"
 ) -> DataFrame | None:
     """The metadata record of a report: the source table's description of itself, NULL for what it
-    does not say. None if there is no such table."""
+    does not say. None if there is no such table; an error if there is more than one row."""
     if table not in cdm:
         return None
     source = cdm[table]
+    if source.limit(2).count() > 1:
+        raise ValueError(f"{table} has more than one row")
     there = {name.lower(): name for name in source.columns}
     cells = [
         (F.col(f"`{there[key.lower()]}`") if key.lower() in there else F.lit(None))

@@ -200,7 +200,9 @@ def standard_descriptions(spark: SparkSession, extra: bool = False) -> DataFrame
 
 
 def standard_table_control(spark: SparkSession, cdm_version: str = "5.3") -> DataFrame:
-    """Table-level control of a version of the data model."""
+    """Table-level control of a version of the data model: 5.2, 5.3 or 5.4."""
+    if cdm_version not in ("5.2", "5.3", "5.4"):
+        raise ValueError(f"there is no table control for version {cdm_version}")
     rows = [
         (
             table,
