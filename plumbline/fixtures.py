@@ -102,6 +102,10 @@ VIEWS = {
         c_custkey AS subject_id
         FROM customer
         WHERE c_mktsegment = 'BUILDING'
+        UNION ALL SELECT 1 AS cohort_definition_id,
+        c_custkey AS subject_id
+        FROM customer
+        WHERE c_mktsegment = 'BUILDING' AND c_custkey % 5 < 2
         UNION ALL SELECT 2 AS cohort_definition_id,
         c_custkey AS subject_id
         FROM customer

@@ -211,6 +211,18 @@ COHORT_PAIRS = {
         ("within_visit_dates", "within_visit_dates", "measurement"),
         ("plausible_during_life", "plausible_during_life", "measurement"),
         ("concept_plausible_gender", "concept_plausible_gender", "measurement"),
+        ("measure_value_completeness", "measure_value_completeness", "measurement"),
+        ("concept_record_completeness", "concept_record_completeness", "measurement"),
+        ("table_concept_completeness", "table_concept_completeness", "measurement"),
+        ("is_foreign_key", "is_foreign_key", "person"),
+        ("fk_class", "fk_class", "measurement"),
+        ("is_standard_valid_concept", "is_standard_valid_concept", "measurement"),
+        ("plausible_value_low", "plausible_value_low", "person"),
+        ("plausible_value_high", "plausible_value_high", "measurement"),
+        ("plausible_temporal_after", "plausible_temporal_after_birth", "measurement"),
+        ("concept_plausible_unit_concept_ids", "concept_plausible_unit_concept_ids", "measurement"),
+        ("concept_plausible_value_low", "concept_plausible_value_low", "measurement"),
+        ("concept_plausible_value_high", "concept_plausible_value_high", "measurement"),
     )
 }
 

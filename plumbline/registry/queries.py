@@ -510,6 +510,40 @@ COHORT: dict[str, Query] = {
     "cohort_concept_plausible_gender": with_cohort(
         lambda c, g: concepts.concept_plausible_gender(c, M, MC, 7, "Male", g)
     ),
+    "cohort_measure_value_completeness": with_cohort(
+        lambda c, g: rowwise.measure_value_completeness(c, M, "value_as_number", g)
+    ),
+    "cohort_concept_record_completeness": with_cohort(
+        lambda c, g: rowwise.concept_record_completeness(c, M, MC, g)
+    ),
+    "cohort_table_concept_completeness": with_cohort(
+        lambda c, g: rowwise.table_concept_completeness(c, M, MC, "measurement_source_concept_id", g)
+    ),
+    "cohort_is_foreign_key": with_cohort(
+        lambda c, g: lookup.is_foreign_key(c, "person", "location_id", "location", "location_id", g)
+    ),
+    "cohort_fk_class": with_cohort(lambda c, g: lookup.fk_class(c, M, MC, "Brand#12", g)),
+    "cohort_is_standard_valid_concept": with_cohort(
+        lambda c, g: lookup.is_standard_valid_concept(c, M, MC, g)
+    ),
+    "cohort_plausible_value_low": with_cohort(
+        lambda c, g: rowwise.plausible_value_low(c, "person", "year_of_birth", 1950, cohort=g)
+    ),
+    "cohort_plausible_value_high": with_cohort(
+        lambda c, g: rowwise.plausible_value_high(c, M, "value_as_number", 45, cohort=g)
+    ),
+    "cohort_plausible_temporal_after": with_cohort(
+        lambda c, g: temporal.plausible_temporal_after(c, M, MD, "person", "birth_datetime", g)
+    ),
+    "cohort_concept_plausible_unit_concept_ids": with_cohort(
+        lambda c, g: concepts.concept_plausible_unit_concept_ids(c, M, MC, 7, "2,3,4", g)
+    ),
+    "cohort_concept_plausible_value_low": with_cohort(
+        lambda c, g: concepts.concept_plausible_value_low(c, M, MC, 7, 2, 10, g)
+    ),
+    "cohort_concept_plausible_value_high": with_cohort(
+        lambda c, g: concepts.concept_plausible_value_high(c, M, MC, 7, 2, 25, g)
+    ),
 }
 ROWS: dict[str, Query] = {
     "violated_rows_is_required": on_cdm(
