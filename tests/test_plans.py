@@ -8,7 +8,7 @@ from plumbline.fixtures import CDM_VIEWS, fixture_controls, view
 from plumbline.functions.values import bound
 from plumbline.operators import concepts, keyed, lookup, rowwise, temporal, violations
 from plumbline.plans.runner import group_checks, prepare, split_missing
-from plumbline.sources.cdm import cdm_from_files
+from plumbline.sources.cdm import Cdm, Cohort, cdm_from_files
 from conftest import DATA
 
 M, MC, MD = "measurement", "measurement_concept_id", "measurement_date"
@@ -137,3 +137,39 @@ def test_a_run_scans_a_table_once_per_kind_of_check(spark, cdm):
         ("dates", M, "visit", False): 1,
         ("concepts", M, MC, False): 8,
     }
+
+
+HOT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+}
+
+
+@pytest.mark.parametrize("check", ["is_required", "is_primary_key", "is_foreign_key", "rows of is_primary_key"])
+def test_a_hot_key_is_split(spark, check):
+    """One person, and one duplicated key, with a third of the rows, and as many rows without a person."""
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS person_id",
+        "IF(id % 3 = 0, 7, id) AS measurement_id", "id % 50 AS concept", "IF(id % 5 = 0, NULL, md5(CAST(id AS STRING))) AS filler",
+    )
+    members = spark.range(40_000).selectExpr("1 AS cohort_definition_id", "id AS subject_id")
+    cdm = Cdm({M: rows.repartition(8), "concept": spark.range(40).selectExpr("id AS concept_id")})
+    cohort = Cohort(members, 1)
+    before = {name: spark.conf.get(name, None) for name in HOT}
+    for name, value in HOT.items():
+        spark.conf.set(name, value)
+    try:
+        df = {
+            "is_required": lambda: rowwise.is_required(cdm, M, "filler", cohort),
+            "is_primary_key": lambda: keyed.is_primary_key(cdm, M, "measurement_id", cohort),
+            "is_foreign_key": lambda: lookup.is_foreign_key(cdm, M, "concept", "concept", "concept_id", cohort),
+            "rows of is_primary_key": lambda: violations.is_primary_key(cdm, M, "measurement_id"),
+        }[check]()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

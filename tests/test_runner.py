@@ -1,6 +1,7 @@
 """Whole runs: selection, grouping, isolation of errors, cohorts, reports."""
 
 import json
+import math
 from dataclasses import replace
 
 import pytest
@@ -10,7 +11,16 @@ from conftest import DATA
 from plumbline import operators
 from plumbline.fixtures import fixture_cdm, fixture_controls, view
 from plumbline.operators import concepts, keyed, lookup, rowwise, temporal
-from plumbline.plans.runner import count_checks, count_isolated, prepare, run_checks
+from plumbline.plans.runner import (
+    ROW_RULES,
+    Checks,
+    Group,
+    count_checks,
+    count_isolated,
+    group_checks,
+    prepare,
+    run_checks,
+)
 from plumbline.sources.cdm import Cdm, Cohort
 from plumbline.sources.sinks import RESULT_COLUMNS, write_report_json
 
@@ -191,3 +201,64 @@ def test_view(run):
 def test_public_names():
     for name in ("is_required", "fk_domain", "within_visit_dates", "concept_plausible_gender"):
         assert callable(getattr(operators, name))
+
+
+def executions(monkeypatch):
+    """Keys of the checks of every group that is counted."""
+    done, count = [], Group.counts
+
+    def counted(self, *rest):
+        done.append([check["check_key"] for check in self.checks])
+        return count(self, *rest)
+
+    monkeypatch.setattr(Group, "counts", counted)
+    return done
+
+
+def concept_rows(frame, n, bad):
+    names = "cdmTableName cdmFieldName conceptId unitConceptId plausibleUnitConceptIds plausibleUnitConceptIdsThreshold"
+    rows = [("MEASUREMENT", "MEASUREMENT_CONCEPT_ID", str(i), None, "2;3" if i == bad else "2,3", "5") for i in range(n)]
+    return frame(", ".join(f"{name} string" for name in names.split()), rows)
+
+
+def test_an_unreadable_cell_costs_no_job(spark, frame, cdm, monkeypatch):
+    done = executions(monkeypatch)
+    controls = replace(fixture_controls(spark), concepts=concept_rows(frame, 1000, 77))
+    run = run_checks(spark, cdm, controls, names=["plausibleUnitConceptIds"])
+    found = {row["concept_id"]: row for row in run.results.where("check_level = 'CONCEPT'").collect()}
+    assert len(done) == 1 and len(done[0]) == 999
+    assert len(found) == 1000 and "plausibleUnitConceptIds is not readable: 2;3" in found["77"]["error"]
+    assert all(row["error"] is None for key, row in found.items() if key != "77")
+
+
+def test_a_failing_group_is_halved(spark, cdm, monkeypatch):
+    checks = prepare(spark, fixture_controls(spark))
+    rows = [c for c in checks.rows if c["check_name"] in ROW_RULES and c["table"] == "measurement"]
+    done, count = [], Group.counts
+
+    def failing(self, *rest):
+        done.append(len(self.checks))
+        if rows[2] in self.checks:
+            raise RuntimeError("this check alone")
+        return count(self, *rest)
+
+    monkeypatch.setattr(Group, "counts", failing)
+    found = {r["check_key"]: r["error"] for r in count_isolated(cdm, Checks(checks.df, rows), parallel=1).collect()}
+    groups = group_checks(rows)
+    most = max(len(g.checks) for g in groups)
+    assert [key for key, error in found.items() if error] == [rows[2]["check_key"]] and len(found) == len(rows)
+    assert len(done) <= len(groups) + 2 * math.ceil(math.log2(most))
+
+
+def test_control_names_in_any_case(spark, frame, cdm):
+    """A table that is absent, and spelled in three ways, fails once; its other checks do not apply, and none passes."""
+    controls = fixture_controls(spark)
+    fields = controls.fields.where("cdmTableName = 'NOTE'").withColumn("cdmTableName", F.lit("note"))
+    more = controls.fields.where("cdmTableName = 'NOTE'").withColumn("cdmTableName", F.lit("Note"))
+    concept = controls.fields.where("cdmTableName = 'NOTE'").withColumn("cdmTableName", F.lit("concept"))
+    run = run_checks(spark, cdm, replace(controls, fields=fields.union(more).union(concept)))
+    rows = run.results.where("lower(cdm_table_name) IN ('note', 'concept')").collect()
+    assert {r["cdm_table_name"] for r in rows} == {"NOTE", "note", "Note"}
+    assert all(r["passed"] == 0 for r in rows)
+    assert {(r["check_name"], r["failed"]) for r in rows if r["failed"]} == {("cdmTable", 1)}
+    assert all(r["not_applicable"] == 1 for r in rows if r["check_name"] != "cdmTable")
