@@ -55,15 +55,16 @@ def percent_text(share: str) -> Column:
     rounded to a double and ``error`` the part lost by that rounding, so a value that only appears
     to end in 5 (12.345 is stored as 12.3450000000000006) goes to the side it really lies on.
     """
-    percentage = f"({share} * 100.0D)"
-    big = f"({percentage} * 134217729.0D)"
-    high = f"({big} - ({big} - {percentage}))"
-    scaled = f"({percentage} * 100.0D)"
-    error = f"(({high} * 100.0D - {scaled}) + ({percentage} - {high}) * 100.0D)"
-    rest = f"({scaled} - floor({scaled}))"
-    up = f"IF({rest} > 0.5D OR ({rest} = 0.5D AND {error} >= 0), 1, 0)"
-    hundredths = f"(floor({scaled}) + {up})"
+    hundredths = """floor(x.scaled) + IF(x.scaled - floor(x.scaled) > 0.5D
+        OR (x.scaled - floor(x.scaled) = 0.5D
+            AND (x.high * 100.0D - x.scaled) + (x.percentage - x.high) * 100.0D >= 0), 1, 0)"""
+    parts = """named_struct('percentage', p, 'scaled', p * 100.0D,
+        'high', p * 134217729.0D - (p * 134217729.0D - p))"""
+    # Each step is bound to a name by a lambda. Written out, the steps repeat one another so often
+    # that the generated method is too long for the JVM to compile.
     return F.expr(
         f"""CASE WHEN {share} IS NULL OR {share} = 0 THEN '0%' ELSE
-        concat({hundredths} DIV 100, '.', lpad({hundredths} % 100, 2, '0'), '%') END"""
+        transform(array({share} * 100.0D), p -> transform(array({parts}), x ->
+            transform(array({hundredths}),
+                n -> concat(n DIV 100, '.', lpad(n % 100, 2, '0'), '%'))[0])[0])[0] END"""
     )
