@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import partial
@@ -200,12 +201,15 @@ def cdm_from_jdbc(
     **options: object,
 ) -> Cdm:
     """Tables of a database. ``partitioning[name]`` gives the options of a parallel read:
-    ``partitionColumn``, ``lowerBound``, ``upperBound``, ``numPartitions``. Unlike the other
-    readers it lets errors of the database through, because they differ between drivers."""
+    ``partitionColumn``, ``lowerBound``, ``upperBound``, ``numPartitions``; a table without them is
+    read through one connection, with a warning. Unlike the other readers it lets errors of the
+    database through, because they differ between drivers."""
     prefix = f"{schema}." if schema else ""
     parallel = {name.lower(): spec for name, spec in (partitioning or {}).items()}
 
     def read(name: str) -> DataFrame:
+        if name.lower() not in parallel:
+            warnings.warn(f"{name} is read through one connection: no partitioning is given", stacklevel=2)
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"{prefix}{name}")
         return reader.options(**options, **parallel.get(name.lower(), {})).load()
 
