@@ -18,6 +18,7 @@ from plumbline.llm.mixing import scramble
 
 SEED = 42
 AT_ONCE = 1 << 16
+PAIRS_AT_ONCE = 1 << 22
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -143,6 +144,37 @@ def near_in_runs(keys: np.ndarray, values: np.ndarray, radius: int) -> Iterator[
         query = query[block[query] <= last[query]]
 
 
+def forest(bucket: np.ndarray, value: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
+    """Pairs (as two lists of places) of a shortest spanning forest of each bucket's pairs within the radius."""
+    found = []
+    for i, j in near_in_runs(bucket, value, radius):
+        distance = np.bitwise_count(value[i] ^ value[j]).sum(1).astype(np.uint16)
+        found.append((distance, i.astype(np.int32), j.astype(np.int32)))
+    us: list[int] = []
+    vs: list[int] = []
+    if not found:
+        return us, vs
+    distance, i, j = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(distance, kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := parent.get(x, x)) != x:
+            parent[x] = parent.get(p, p)
+            x = p
+        return x
+
+    for start in range(0, len(order), AT_ONCE):
+        some = order[start : start + AT_ONCE]
+        for a, b in zip(i[some].tolist(), j[some].tolist(), strict=True):
+            a_root, b_root = root(a), root(b)
+            if a_root != b_root:
+                parent[b_root] = a_root
+                us.append(a)
+                vs.append(b)
+    return us, vs
+
+
 def bucket_links(rows: DataFrame, keys: list[str], width: int, radius: int) -> DataFrame:
     """Pairs (u, v) of nodes within the radius in some bucket, as many as the components of each bucket need.
 
@@ -162,30 +194,17 @@ def bucket_links(rows: DataFrame, keys: list[str], width: int, radius: int) -> D
             for c in own:
                 new[1:] |= c[1:] != c[:-1]
             bucket = np.cumsum(new)
-            several = np.bincount(bucket)[bucket] > 1
+            sizes = np.bincount(bucket)
+            several = sizes[bucket] > 1
             bucket, node, value = bucket[several], node[several], value[several]
-            found = list(near_in_runs(bucket, value, radius))
-            if not found:
-                return
-            i, j = (np.concatenate(c) for c in zip(*found, strict=True))
-            distance = np.bitwise_count(value[i] ^ value[j]).sum(1)
-            order = np.argsort(distance, kind="stable")
-            parent: dict[int, int] = {}
-            us, vs = [], []
-
-            def root(x: int) -> int:
-                while (p := parent.get(x, x)) != x:
-                    parent[x] = parent.get(p, p)
-                    x = p
-                return x
-
-            for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
-                a_root, b_root = root(a), root(b)
-                if a_root != b_root:
-                    parent[b_root] = a_root
-                    us.append(a)
-                    vs.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(node[us]), pa.array(node[vs])], ["u", "v"])
+            # Whole buckets, with about PAIRS_AT_ONCE pairs at a time.
+            squares = np.cumsum(np.where(sizes > 1, sizes.astype(np.int64) ** 2, 0))[bucket]
+            cuts = np.flatnonzero(np.diff(squares // PAIRS_AT_ONCE, prepend=-1, append=np.iinfo(np.int64).max)).tolist()
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                us, vs = forest(bucket[start:end], value[start:end], radius)
+                if us:
+                    us, vs = np.array(us) + start, np.array(vs) + start
+                    yield pa.RecordBatch.from_arrays([pa.array(node[us]), pa.array(node[vs])], ["u", "v"])
 
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -256,7 +275,7 @@ def similar_documents(
     similarity: float = 0.8,
     width: int = 4,
     miss: float = 0.005,
-    block: int = 2_048,
+    block: int = 1_024,
     seed: int = 13,
     doc_id: str = "doc_id",
     text: str = "text",

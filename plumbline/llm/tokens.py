@@ -13,7 +13,8 @@ UNSAFE = re.compile(r"\A\s|\s\Z|\A\Z")
 BEGINNINGS = {" ": "Ġ", "\n": "Ċ"}
 #: Letters, and then marks that no word or number is merged with. What follows the letters is encoded apart.
 CORE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
-MOST_KEPT = 1_400_000
+MOST_KEPT = 1_200_000
+CORES_KEPT = 400_000
 
 
 class Encoder:
@@ -63,7 +64,7 @@ class Encoder:
             several.append((part, plan))
         wanted = {core for _, core, _ in simple}
         wanted.update(core for _, plan in several for core, _ in plan)
-        if len(self.cores) + len(wanted) > MOST_KEPT:
+        if len(self.cores) + len(wanted) > CORES_KEPT:
             self.cores.clear()
         missing = wanted.difference(self.cores)
         for space in BEGINNINGS:
