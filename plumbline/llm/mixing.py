@@ -113,7 +113,8 @@ def mix_sources(
 
     A document's size is its number of words (null: 0). Sources, in the order of their code points with null last, weigh
     ``weights(place)`` and share the sum of all sizes; no target is above ``most`` times its source's size. The words of a
-    source, document after document in an order by hash, are cut into blocks of ``block_words``. The output has shards of
+    source, document after document in an order by hash, are cut into as few blocks of at most ``block_words`` as hold them, equal
+    to within a word; as many are drawn as come nearest the target, one at least if it is positive. The output has shards of
     ``shard_slots`` blocks (of more, if that made over ``MOST_SHARDS``), whose counts per source are drawn (``draw_shards``).
     The slots of a source are numbered through all shards; slot j of a source with n blocks takes block perm(j mod n), with
     another permutation for each round of n. So each block is used ``j // n`` times or once more, and none over ``most``
@@ -141,12 +142,16 @@ def mix_sources(
     targets = fill_up(sizes, [weights(i) for i in range(len(found))], most)
     n_blocks = np.array([-(-n // block_words) for n in sizes], np.int64)
     totals = np.array(
-        [min(round(t / block_words), int(most * n)) if n else 0 for t, n in zip(targets, n_blocks.tolist(), strict=True)], np.int64
+        [min(max(round(t * b / n), 1), int(most * b)) if t > 0 else 0 for t, n, b in zip(targets, sizes, n_blocks.tolist(), strict=True)],
+        np.int64,
     )
     sources = F.broadcast(spark.createDataFrame(
         pa.table({
             "of": pa.array([r["source"] for r in found], pa.string()), "place": pa.array(range(len(found)), pa.int32()),
             "source_size": pa.array(sizes, pa.int64()), "target": pa.array(targets, pa.float64()),
+            # The first ``longer`` blocks of a source have a word more than the others.
+            "least": pa.array([n // b if b else 0 for n, b in zip(sizes, n_blocks.tolist(), strict=True)], pa.int64()),
+            "longer": pa.array([n % b if b else 0 for n, b in zip(sizes, n_blocks.tolist(), strict=True)], pa.int64()),
             "chunks": pa.array([-(-r["rows"] // ROWS_A_CHUNK) for r in found], pa.int64()),
         })
     ))
@@ -166,14 +171,19 @@ def mix_sources(
     slots = shard_table(spark, totals, n_blocks, shard_slots, seed)
     blocks = slots.groupBy("place", "block").agg(F.count("*").alias("uses"))
     last = F.col("first") + F.col("size") - 1
-    block = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("first") / block_words), F.floor(last / block_words)))
+    more_words = F.col("longer") * (F.col("least") + 1)
+    of_word = lambda w: F.when(w < more_words, F.floor(w / (F.col("least") + 1))).otherwise(
+        F.col("longer") + F.floor((w - more_words) / F.col("least"))
+    )
+    start = lambda b: b * F.col("least") + F.least(b, F.col("longer"))
+    block = F.when(F.col("size") > 0, F.sequence(of_word(F.col("first")), of_word(last)))
     pieces = placed.drop("text", *more).withColumn("block", F.explode_outer(block))
-    begin = F.greatest("first", F.col("block") * block_words)
+    begin = F.greatest("first", start(F.col("block")))
     pieces = pieces.withColumns({
         "word": begin - F.col("first"),
-        "n_words": F.coalesce(F.least(last + 1, (F.col("block") + 1) * block_words) - begin, F.lit(0)),
+        "n_words": F.coalesce(F.least(last + 1, start(F.col("block") + 1)) - begin, F.lit(0)),
     }).join(blocks.hint("merge"), ["place", "block"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
-    return Mix(placed, slots, blocks, pieces)
+    return Mix(placed.drop("least", "longer"), slots, blocks, pieces.drop("least", "longer"))
 
 
 def shard_table(spark, totals: np.ndarray, n_blocks: np.ndarray, shard_slots: int, seed: int) -> DataFrame:

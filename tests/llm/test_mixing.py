@@ -70,6 +70,23 @@ def test_words_come_near_their_targets(documents):
     assert all(max(x) - min(x) <= 1 for x in spread.values())
 
 
+def test_small_sources_come_near_their_targets(documents):
+    sizes = {"a": 1, "b": 20, "c": 130, "d": 300, "e": 50_000}
+    rows = [(i, " ".join(["w"] * n), None, s) for i, (s, n) in enumerate(sizes.items())]
+    for weights in (mixing.cycling_weights, lambda i: [500.0, 1.0, 2.0, 1.0, 200.0][i]):
+        mix = mixing.mix_sources(documents(rows), weights)
+        targets = mixing.fill_up(list(sizes.values()), [weights(i) for i in range(5)], 3)
+        found = {r.source: r.taken for r in mixing.taken_words(mix).collect()}
+        for (s, n), target in zip(sizes.items(), targets, strict=True):
+            blocks = -(-n // 128)
+            assert abs(found[s] - target) <= n / blocks / 2 + 3 and 0 < found[s] <= 3 * n
+            if target == 3 * n:
+                assert found[s] == target
+        assert max(r.uses for r in mix.blocks.collect()) <= 3
+        words = mix.pieces.groupBy("source", "block").sum("n_words").collect()
+        assert all(sizes[r[0]] // -(-sizes[r[0]] // 128) <= r[2] <= 128 for r in words)
+
+
 def test_reruns_agree_for_any_partitions(documents):
     runs = []
     for n in (1, 7):
