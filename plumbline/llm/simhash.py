@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, documents, slices
-from plumbline.llm.components import SALTS, connected_components
+from plumbline.llm.components import SALTS, components, connected_components
 from plumbline.llm.mixing import scramble
 
 SEED = 42
 AT_ONCE = 1 << 16
 PAIRS_AT_ONCE = 1 << 22
+SHINGLES_AT_ONCE = 1 << 20
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -244,6 +245,121 @@ def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
     return bucket_links(rows, ["choice", "key"], 1, radius)
 
 
+def in_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows in runs with the same first ``keys`` columns, which are in order; runs of one row are left out."""
+    held: list[pa.Table] = []  # the last, possibly unfinished run
+    for batch in chain(batches, [None]):
+        held += [pa.Table.from_batches([batch])] if batch is not None else []
+        rows = pa.concat_tables(held).combine_chunks() if held else None
+        if rows is None or not rows.num_rows:
+            continue
+        new = np.zeros(rows.num_rows, bool)
+        for i in range(keys):
+            c = rows.column(i).to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(new).tolist(), *([rows.num_rows] if batch is None else [])]
+        for start, end in zip(edges, edges[1:], strict=False):
+            if end - start > 1:
+                yield rows.slice(start, end - start)
+        held = [rows.slice(edges[-1])]
+
+
+def true_links(
+    group: np.ndarray, part: np.ndarray, value: np.ndarray, sizes: np.ndarray, sets: np.ndarray, similarity: float, radius: int
+) -> list[tuple[int, int]]:
+    """Links (pairs of groups) that join all groups with members of at least that Jaccard similarity, among those within the
+    radius. sets: the members' sets, one after another. If there are several parts, only members of different ones meet."""
+    if (group == group[0]).all():
+        return []
+    kinds, sets = np.unique(sets, return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    own, found, root = np.zeros(len(kinds), bool), [], group.copy()
+    apart = not (part == part[0]).all()
+    for i in range(len(group) - 1):
+        size = sizes[i]
+        open_ = (root[i + 1 :] != root[i]) & (np.minimum(size, sizes[i + 1 :]) >= similarity * np.maximum(size, sizes[i + 1 :]))
+        if apart:
+            open_ &= part[i + 1 :] != part[i]
+        other = i + 1 + np.flatnonzero(open_)
+        other = other[np.bitwise_count(value[other] ^ value[i]).sum(1, dtype=np.int64) <= radius]
+        if not len(other):
+            continue
+        own[sets[starts[i] : starts[i] + size]] = True
+        begin = np.cumsum(sizes[other]) - sizes[other]
+        at = np.arange(sizes[other].sum()) + np.repeat(starts[other] - begin, sizes[other])
+        both = np.add.reduceat(own[sets[at]].astype(np.int64), begin)
+        own[sets[starts[i] : starts[i] + size]] = False
+        for j in other[both >= similarity * (size + sizes[other] - both)].tolist():
+            if root[j] != root[i]:
+                found.append((int(group[i]), int(group[j])))
+                root[root == root[j]] = root[i]
+    return found
+
+
+def checked_links(rows: DataFrame, keys: list[str], width: int, similarity: float, radius: int) -> DataFrame:
+    """``true_links`` (u, v) of all rows with the same keys. rows: the key columns, node, part, group, w0, w1, ..., set."""
+    names = [f"w{i}" for i in range(width)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in in_runs(batches, len(keys)):
+            group, part = run.column("group").to_numpy(), run.column("part").to_numpy()
+            value = np.stack([run.column(name).to_numpy() for name in names], axis=1).view(np.uint64)
+            sets = run.column("set").combine_chunks()
+            found = true_links(
+                group, part, value, sets.value_lengths().to_numpy().astype(np.int64), sets.flatten().to_numpy(), similarity, radius
+            )
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["u", "v"])
+
+    dealt = rows.select(*keys, "node", "part", "group", *names, "set").repartition(*keys).sortWithinPartitions(*keys, "node")
+    return dealt.mapInArrow(task, "u long, v long")
+
+
+def family_links(
+    known: DataFrame, groups: DataFrame, refuted: DataFrame, width: int, similarity: float, radius: int, block: int
+) -> DataFrame:
+    """Links (u, v) between groups that the checked forests left apart: one row per group that they join to others, node and
+    component.
+
+    A refuted edge may have taken the place of true ones between what it joins. So groups that refuted edges connect are a
+    family, and all pairs of a family that are within the radius and in different groups are checked on the sets, until they are
+    joined. The largest group of a family meets the rest, not itself; both are dealt out in blocks of about ``block`` rows (and
+    at most about ``SHINGLES_AT_ONCE`` shingles), each against each, so refuted pairs are rows nowhere.
+    """
+    names = [f"w{i}" for i in range(width)]
+    named = known.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    of = named.select("node", "group")
+    cross = (
+        refuted.join(of.select(F.col("node").alias("u"), F.col("group").alias("x")), "u")
+        .join(of.select(F.col("node").alias("v"), F.col("group").alias("y")), "v")
+        .where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
+    )
+    families = components(cross).select(F.col("node").alias("group"), F.col("component").alias("family"))
+    members = cut(named.join(families, "group").withColumn("n", F.size("set").cast("long")).drop("key"))
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
+    sizes = members.groupBy("family", "group", salt).agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    sizes = sizes.groupBy("family", "group").agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+    parts = lambda rows, n: F.ceil(F.greatest(rows / block, n / SHINGLES_AT_ONCE)).cast("int")
+    sizes = sizes.groupBy("family").agg(
+        F.max_by("group", F.struct("rows", "group")).alias("main"), F.max(F.struct("rows", "group", "n")).alias("top"),
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"),
+    ).select(
+        "family", "main", parts(F.col("top.rows"), F.col("top.n")).alias("main_parts"),
+        parts(F.col("rows") - F.col("top.rows"), F.col("n") - F.col("top.n")).alias("rest_parts"),
+    )
+    draw = F.xxhash64(F.lit(1), "node")
+    main = F.col("group") == F.col("main")
+    dealt = members.join(sizes, "family").withColumn(
+        "part", F.when(main, F.col("rest_parts") + F.pmod(draw, "main_parts")).otherwise(F.pmod(draw, "rest_parts")).cast("int")
+    )
+    last = F.when(main, F.col("rest_parts")).otherwise(F.col("rest_parts") + F.col("main_parts")) - 1
+    against = F.transform(
+        F.sequence(F.lit(0), last), lambda j: F.struct(F.least(j, "part").alias("a"), F.greatest(j, "part").alias("b"))
+    )
+    dealt = dealt.withColumn("c", F.explode(against)).select("family", "c.a", "c.b", "node", "part", "group", *names, "set")
+    return components(checked_links(dealt, ["family", "a", "b"], width, similarity, radius))
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -291,7 +407,8 @@ def similar_documents(
     probability p, the angle between the sets over pi. Each table keys fingerprints by a few random bits, as many as make
     buckets of about 64, and there are enough tables that a pair at the least similarity shares no bucket with probability
     ``miss``. Buckets are compared in bit slices within a radius two deviations beyond the mean, and larger ones block
-    against block. The pairs of their shortest spanning forests are then checked on the shingles themselves.
+    against block. The pairs of their shortest spanning forests are then checked on the shingles themselves. Only true ones
+    join; where others had taken the place of true ones, all pairs within the radius are checked (``family_links``).
     """
     rows = documents(docs, doc_id, text).withColumn("key", F.xxhash64("doc_id", "text"))
     bits = 64 * width
@@ -327,7 +444,7 @@ def similar_documents(
     pairs = cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
     # The sets of what is in a pair, from one document of each fingerprint.
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(distinct.select("node", "key"), "node")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(distinct, "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,16 +452,20 @@ def similar_documents(
                 found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in some.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "set"])
 
-    known = rows.select("key", "text").join(nodes, "key").select("node", "text").dropDuplicates(["node"])
+    known = rows.select("key", "text").join(nodes.select("node", "key"), "key").select("node", "text").dropDuplicates(["node"])
     known = cut(known.mapInArrow(sets, "node long, set array<long>"))
     both = F.size(F.array_intersect("u_set", "v_set"))
-    links = (
+    checked = cut(
         pairs.join(known.select(F.col("node").alias("u"), F.col("set").alias("u_set")), "u")
         .join(known.select(F.col("node").alias("v"), F.col("set").alias("v_set")), "v")
-        .where(both >= F.lit(similarity) * (F.size("u_set") + F.size("v_set") - both))
-        .select("u", "v")
+        .select("u", "v", (both >= F.lit(similarity) * (F.size("u_set") + F.size("v_set") - both)).alias("holds"))
     )
-    groups = connected_components(links).withColumnRenamed("component", "group")
+    groups = components(checked.where("holds").select("u", "v")).withColumnRenamed("component", "group")
+    joined = family_links(known.join(nodes, "node"), groups, checked.where("NOT holds"), width, similarity, radius, block)
+    joined = joined.withColumnRenamed("node", "group").withColumnRenamed("component", "wider")
+    # A document alone so far is a group of its own; the node of each is its least one.
+    every = nodes.select("node").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    groups = every.join(joined, "group", "left").select("node", F.coalesce("wider", "group").alias("group"))
     named = prints.select("doc_id", "key", "node").join(groups, "node", "left")
     named = named.withColumn("group", F.coalesce("group", "node", "key"))
     best = named.groupBy("group", F.pmod("group", F.lit(SALTS))).agg(F.min(F.struct("doc_id", "key")).alias("best"))

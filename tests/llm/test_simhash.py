@@ -108,6 +108,30 @@ def test_similar_documents_by_brute_force(documents):
     assert {r.doc_id for r in found if r.kept} == set(got.values())
 
 
+def family(rng, size, n_words=200, most=9):
+    """Texts of one template with up to ``most`` changed words: similarities from 0.6 to 0.9, most below 0.8."""
+    base = [f"t{x}" for x in rng.integers(0, 1 << 40, n_words)]
+    texts = []
+    for i in range(size):
+        edited = list(base)
+        for at in rng.choice(n_words, int(rng.integers(2, most)), replace=False):
+            edited[at] = f"e{rng.integers(0, 1 << 40)}"
+        texts.append(" ".join(edited))
+    return texts
+
+
+def test_refuted_candidates_hide_no_true_pairs(documents):
+    rng = np.random.default_rng(21)
+    texts = dict(enumerate(family(rng, 300, most=7) + family(rng, 100, most=9) + family(rng, 60, 20)))
+    sets = {i: shingles(t) for i, t in texts.items()}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in texts for b in texts if a < b}
+    want = groups(texts, [p for p, x in share.items() if x >= 0.8])
+    assert sum(0.7 <= x < 0.8 for x in share.values()) > 10_000 and 2 < len(set(want.values())) < len(texts)
+    for block in (1024, 32):
+        found = {r.doc_id: r.component_id for r in simhash.similar_documents(documents(list(texts.items())), block=block).collect()}
+        assert found == want
+
+
 def test_similar_documents_in_blocks(documents):
     base = [f"w{i}" for i in range(200)]
     texts = {i: " ".join([*base[: i * 3], "x", *base[i * 3 + 1 :]]) for i in range(40)}
