@@ -19,6 +19,7 @@ from plumbline.llm.mixing import scramble
 SEED = 42
 AT_ONCE = 1 << 16
 PAIRS_AT_ONCE = 1 << 22
+FEW = 16  # of so few shingles, fingerprints may differ by more bits than the angle between the sets says
 SHINGLES_AT_ONCE = 1 << 20
 
 
@@ -48,19 +49,21 @@ def fingerprint(hashes: np.ndarray, width: int = 1) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame, words: int = 3, width: int = 1, repeats: bool = True, ids: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, words: int = 3, width: int = 1, repeats: bool = True, ids: tuple[str, ...] = ("doc_id",), counted: bool = False
 ) -> DataFrame:
     """One row per document: the ``ids``, w0, w1, ... (the fingerprint's numbers, as signed longs). Texts without words have zeros.
-    Without ``repeats`` a shingle counts once, however often it occurs."""
-    names = [f"w{i}" for i in range(width)]
+    Without ``repeats`` a shingle counts once, however often it occurs. If ``counted``, also their number, ``shingles``."""
+    names = [*[f"w{i}" for i in range(width)], *["shingles"] * counted]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = np.empty((part.num_rows, width), np.uint64)
+                found = np.empty((part.num_rows, width + counted), np.uint64)
                 for i, text in enumerate(part.column("text").to_pylist()):
                     hashes = shingle_hashes(text, words)
-                    found[i] = fingerprint(hashes if repeats else np.unique(hashes), width)
+                    hashes = hashes if repeats else np.unique(hashes)
+                    found[i, :width] = fingerprint(hashes, width)
+                    found[i, width:] = len(hashes)
                 columns = [pa.array(c) for c in found.view(np.int64).T.copy()]
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in ids], *columns], [*ids, *names])
 
@@ -385,6 +388,41 @@ def near_duplicates(
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def enough_tables(bits: int, angle: float, key_bits: int, radius: int, miss: float) -> int:
+    """The least number of tables with which a pair whose bits differ with the probability ``angle`` lies beyond the radius
+    or shares no bucket with probability ``miss``, over all distances that it can have."""
+    ways = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    distance = range(min(radius, bits - key_bits) + 1)
+    chance = np.exp([ways(bits, d) + d * math.log(angle) + (bits - d) * math.log1p(-angle) for d in distance])
+    alone = 1 - np.exp([ways(bits - d, key_bits) - ways(bits, key_bits) for d in distance])
+    tables = 1
+    while 1 - chance.sum() + (chance * alone**tables).sum() > miss and tables < 1_000:
+        tables += 1
+    return tables
+
+
+def in_blocks(rows: DataFrame, own: list[str], block: int) -> DataFrame:
+    """The rows with a, b and part: each two rows with the same ``own`` meet under some a and b, with few over ``2 * block`` rows."""
+    large = rows.groupBy(*own, F.pmod(own[-1], F.lit(SALTS))).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    large = large.select(*own, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    part = F.pmod(F.xxhash64(F.lit(1), "node"), "blocks").cast("int")
+    against = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least(j, "part").alias("a"), F.greatest(j, "part").alias("b")),
+    )
+    dealt = rows.join(large, own, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("part", part)
+    return dealt.withColumn("c", F.explode(against)).select("*", "c.a", "c.b").drop("c", "blocks")
+
+
+def few_links(known: DataFrame, width: int, similarity: float, block: int) -> DataFrame:
+    """All links (u, v) of sets with at most FEW / ``similarity`` shingles, exactly: of n shingles in order, two linked sets
+    share one of the first n - ceil(n * similarity) + 1, and meet there."""
+    n = F.size("set")
+    first = F.slice("set", F.lit(1), n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
+    rows = known.where(n <= FEW / similarity).withColumn("shingle", F.explode(first)).withColumn("group", F.col("node"))
+    return checked_links(in_blocks(rows, ["shingle"], block), ["shingle", "a", "b"], width, similarity, 64 * width)
+
+
 def similar_documents(
     docs: DataFrame,
     words: int = 5,
@@ -405,22 +443,25 @@ def similar_documents(
 
     Candidates are pairs whose fingerprints of 64 * ``width`` bits are near each other. At the least similarity a bit differs with
     probability p, the angle between the sets over pi. Each table keys fingerprints by a few random bits, as many as make
-    buckets of about 64, and there are enough tables that a pair at the least similarity shares no bucket with probability
-    ``miss``. Buckets are compared in bit slices within a radius two deviations beyond the mean, and larger ones block
-    against block. The pairs of their shortest spanning forests are then checked on the shingles themselves. Only true ones
+    buckets of about 64. Buckets are compared in bit slices within a radius four deviations beyond the mean, and larger ones
+    block against block. There are enough tables that a pair at the least similarity is beyond the radius or shares no
+    bucket with probability ``miss``. Sets of few shingles are also compared exactly (``few_links``). The pairs of their shortest spanning forests are then checked on the shingles themselves. Only true ones
     join; where others had taken the place of true ones, all pairs within the radius are checked (``family_links``).
     """
     rows = documents(docs, doc_id, text).withColumn("key", F.xxhash64("doc_id", "text"))
     bits = 64 * width
     names = [f"w{i}" for i in range(width)]
-    prints = fingerprints(rows, words, width, repeats=False, ids=("doc_id", "key"))
+    prints = fingerprints(rows, words, width, repeats=False, ids=("doc_id", "key"), counted=True)
     some = F.greatest(*[F.col(w) != 0 for w in names])
     prints = cut(prints.withColumn("node", F.when(some, F.xxhash64(*names))).dropDuplicates(["key"]))
-    distinct = cut(prints.where("node IS NOT NULL").groupBy("node", *names).agg(F.min("key").alias("key")))
+    distinct = cut(
+        prints.where("node IS NOT NULL").groupBy("node", *names)
+        .agg(F.min("key").alias("key"), F.min_by("shingles", "key").alias("shingles"))
+    )
     angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = int(bits * angle + 2 * math.sqrt(bits * angle * (1 - angle)))
+    radius = int(bits * angle + 4 * math.sqrt(bits * angle * (1 - angle)))
     key_bits = max(4, math.ceil(math.log2(max(distinct.count(), 1) / 64 + 1)))
-    tables = math.ceil(math.log(1 / miss) / (1 - angle) ** key_bits)
+    tables = enough_tables(bits, angle, key_bits, radius, miss)
     rng = np.random.default_rng(seed)
     masks = np.zeros((tables, width), np.uint64)
     for t in range(tables):
@@ -431,20 +472,14 @@ def similar_documents(
         "bits", F.xxhash64(*[F.col(w).bitwiseAND(F.col("mask")[i]) for i, w in enumerate(names)])
     ).drop("mask")
     own = ["table", "bits"]
-    large = keyed.groupBy(*own, F.pmod("bits", F.lit(SALTS))).agg(F.count("*").alias("n")).where(F.col("n") > block)
-    large = large.select(*own, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    part = F.pmod(F.xxhash64(F.lit(1), "node"), "blocks").cast("int")
-    against = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.struct(F.least(j, part).alias("a"), F.greatest(j, part).alias("b")),
-    )
-    dealt = keyed.join(large, own, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("c", F.explode(against)).select(*own, "c.a", "c.b", "node", *names)
+    dealt = in_blocks(keyed, own, block)
     pairs = bucket_links(dealt, [*own, "a", "b"], width, radius)
     pairs = cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
-    # The sets of what is in a pair, from one document of each fingerprint.
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(distinct, "node")
+    # The sets of what is in a pair or has few shingles, from one document of each fingerprint.
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node"))
+    nodes = nodes.union(distinct.where(F.col("shingles") <= FEW / similarity).select("node")).distinct()
+    nodes = nodes.join(distinct.drop("shingles"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -460,7 +495,8 @@ def similar_documents(
         .join(known.select(F.col("node").alias("v"), F.col("set").alias("v_set")), "v")
         .select("u", "v", (both >= F.lit(similarity) * (F.size("u_set") + F.size("v_set") - both)).alias("holds"))
     )
-    groups = components(checked.where("holds").select("u", "v")).withColumnRenamed("component", "group")
+    few = few_links(known.join(nodes, "node"), width, similarity, block)
+    groups = components(checked.where("holds").select("u", "v").union(few)).withColumnRenamed("component", "group")
     joined = family_links(known.join(nodes, "node"), groups, checked.where("NOT holds"), width, similarity, radius, block)
     joined = joined.withColumnRenamed("node", "group").withColumnRenamed("component", "wider")
     # A document alone so far is a group of its own; the node of each is its least one.
