@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import embeddings, language, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters
+from plumbline.llm import (
+    embeddings, language, licenses, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +119,41 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Templates of license notices: label, phrase, exact. The first three are the base phrases; fixed values.
+LICENSE_TEMPLATES = [
+    ("mit", "mit license", True),
+    ("apache", "apache license", True),
+    ("gpl", "general public license", True),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction", False),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", False),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is "
+     "distributed on an as is basis without warranties or conditions of any kind either express or implied", False),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+     "public license as published by the free software foundation", False),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", False),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+     "the following conditions are met", False),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", False),
+    ("unlicense", "this is free and unencumbered software released into the public domain", False),
+    ("cc-by-nc", "licensed under cc by nc 4 0", False),
+    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", False),
+    ("cc-by-sa", "licensed under cc by sa 4 0", False),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", False),
+    ("cc-by", "licensed under cc by 4 0", False),
+    ("cc-by", "licensed under a creative commons attribution 4 0 international license", False),
+]
+
+
+def license_templates(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"('{label}', '{phrase}', {exact})" for label, phrase, exact in LICENSE_TEMPLATES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(label, phrase, exact)")
+
+
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.label_documents(table(spark, folder, "documents"), license_templates(spark))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
@@ -129,6 +166,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
         "op10_repeats": op10_repeats,
+        "op12_licenses": op12_licenses,
     }
 
 
@@ -186,6 +224,45 @@ SELECT record_id, canonical_url, captured_at, CASE WHEN outcome = 'resolved' THE
        || ';etag=' || written
        || coalesce(';server=' || CASE WHEN outcome = 'resolved' THEN old_server ELSE server END, '') AS headers
 FROM judged
+""",
+    "op12_licenses": f"""
+WITH templates(label, phrase, exact) AS (VALUES
+    {", ".join(f"('{label}', '{phrase}', {exact})" for label, phrase, exact in LICENSE_TEMPLATES)}),
+places AS (
+    SELECT label, exact, phrase, string_split(phrase, ' ') AS t, len(t) AS length, least(len(t), 3) AS width,
+           unnest(range(len(t) - least(len(t), 3) + 1)) AS spot FROM templates),
+texts AS (
+    SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+grams AS (
+    SELECT n, unnest(words) AS w0, unnest(words[2:] || [NULL]) AS w1, unnest(words[3:] || [NULL, NULL]) AS w2,
+           unnest(range(len(words))) AS place FROM texts),
+votes AS (
+    SELECT n, label, exact, phrase, length, width, spot, place - spot AS diagonal FROM grams JOIN places
+      ON w0 = t[spot + 1] AND w1 = t[spot + 2] AND (width = 2 OR w2 = t[spot + 3])),
+islands AS (
+    SELECT *, sum(starts) OVER (PARTITION BY n, label, phrase ORDER BY diagonal, spot) AS span FROM (
+        SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY n, label, phrase ORDER BY diagonal, spot)
+                          <= CASE WHEN exact THEN 0 ELSE length // 10 END THEN 0 ELSE 1 END AS starts FROM votes)),
+spans AS (
+    SELECT n, label, exact, length, sum(covers) AS covered, min(diagonal + spot) AS first, max(diagonal + spot + width) AS final
+    FROM (SELECT *, least(width, coalesce(lead(spot) OVER (PARTITION BY n, label, phrase, span ORDER BY spot, diagonal) - spot, width))
+              AS covers FROM islands)
+    GROUP BY n, label, exact, phrase, length, span),
+judged AS (
+    SELECT *, covered >= CASE WHEN exact THEN length ELSE ceil(length * 0.8) END
+              AND final - first <= length + CASE WHEN exact THEN 0 ELSE length // 10 * 2 END AS found FROM spans),
+named AS (
+    SELECT n, count(*) FILTER (found AND exact) AS n_base, min(first) FILTER (found AND exact) AS first_word,
+           max(first) FILTER (found AND exact) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found AND exact) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found) AS labels,
+           max(least(1.0, covered::DOUBLE / length::DOUBLE)) AS score
+    FROM judged GROUP BY n)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN named USING (n)
 """,
 }
 
