@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    embeddings, language, licenses, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters,
+    conversations, digests, embeddings, language, licenses, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,36 @@ def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.label_documents(table(spark, folder, "documents"), license_templates(spark))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults, chosen by a checksum of conversation and turn: rows dropped, emptied, without the marks that end a
+    sentence, repeated, or said by the user. Nulls are written as one space."""
+    space = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    times = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(space("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    summary, turns = conversations.repair_conversations(damaged(rows))
+    key = lambda: F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    turns = turns.where("size(turns) > 0").select(key().alias("key"), F.col("piece").alias("place"), "last", lines.alias("text"))
+    one = turns.where("last").select("key", F.sha2("text", 256).alias("sha256"))
+    hashes = one.unionByName(digests.joined_digests(turns.where("NOT last"), "\n"))
+    sums = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    ids = rows.select("conv_id").distinct().select("conv_id", key().alias("key"))
+    found = ids.join(summary.select(key().alias("key"), *sums, "audit"), "key", "left").join(hashes, "key", "left")
+    return found.select(
+        "conv_id", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in sums],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.lit(digests.EMPTY)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
@@ -166,6 +196,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_revisits": op9_revisits,
         "op10_repeats": op10_repeats,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_licenses": op12_licenses,
     }
 
