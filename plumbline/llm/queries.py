@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    conversations, digests, embeddings, language, licenses, mixing, packing, quality, repeats, revisits, simhash, token_output, url_filters,
+    conversations, digests, embeddings, language, licenses, mixing, packing, prefix_tree, quality, repeats, revisits, simhash, token_output, url_filters,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,20 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_tree.numbered_turns(table(spark, folder, "conversations"))
+    borrowed = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).alias("wanted")
+    source = F.col("conv_id") - F.col("conv_id") % 20
+    nodes, ends = prefix_tree.prefix_tree(*prefix_tree.with_beginnings(turns, borrowed, source, most=3))
+    key = F.concat_ws(":", *prefix_tree.KEY).alias("key")
+    ids = ends.select(key, F.col("conv_id").alias("place"), F.col("conv_id").cast("string").alias("text"))
+    hashes = digests.joined_digests(digests.joined_runs(ids, ","), ",")
+    return nodes.withColumn("key", key).join(hashes, "key", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("sha256", F.lit(digests.EMPTY)).alias("ends_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": op1_token_output,
@@ -198,6 +212,7 @@ def queries() -> dict[str, Query]:
         "op10_repeats": op10_repeats,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_licenses": op12_licenses,
+        "op13_prefix_tree": op13_prefix_tree,
     }
 
 

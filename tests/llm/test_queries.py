@@ -9,7 +9,7 @@ SQL = queries.oracle_sql()
 @pytest.mark.parametrize("name", list(SQL))
 def test_same_as_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df = queries.queries()[name](spark, DATA)
     names = sorted(df.columns)
@@ -23,7 +23,11 @@ def test_same_as_sql(spark, name):
 @pytest.mark.parametrize("name", list(queries.queries()))
 def test_all_rows_come_back(spark, name):
     df = queries.queries()[name](spark, DATA)
-    table = {"op2": "pages", "op6": "embeddings", "op9": "pages"}.get(name.split("_")[0], "documents")
-    rows = spark.read.parquet(f"{DATA}/{table}.parquet").count()
-    found = df.count()
+    tables = {"op2": "pages", "op6": "embeddings", "op9": "pages", "op11": "conversations", "op13": "conversations"}
+    table = spark.read.parquet(f"{DATA}/{tables.get(name.split('_')[0], 'documents')}.parquet")
+    rows = table.select("conv_id").distinct().count() if "conv_id" in table.columns else table.count()
+    found = df.where("n_children = 0" if name == "op13_prefix_tree" else "true").count()
+    if name == "op13_prefix_tree":  # copies end in one node
+        assert 0 < found <= rows
+        return
     assert found == {"op9": 2 * rows}.get(name.split("_")[0], rows) or name in ("op1_token_output", "op8_packing") and found > 0
