@@ -1,11 +1,13 @@
 """Checks that compare a date with dates of another table: birth, death, visits.
 
 SQL joins the tables and compares every pair. Only the number of violating pairs is wanted, so no
-pair is built here. Per key (person or visit) the dates of the checked rows and the limits of the
-partner rows are put on one time line and counted per place; running sums along the line then say
-how many dates, or limits, lie before each place. Both sides are counted per key and place before
-they are sorted: a person who owns a third of all rows leaves one row per calendar day, however
-many duplicates either table has. All date fields and all partners of a table share one pass.
+pair is built here. The partner is reduced to one row per key (person or visit): its limits in
+order, each with the number of limits up to it. A checked row meets that one row and looks up how
+many limits lie before its date, by binary search where the date lies between the first and the
+last limit. So the checked rows move once, with nothing but key and dates, and the join has one row
+on its other side: adaptive execution can split a key that dominates. Places on the time line are
+bounded by the calendar, and so is the list of a key, however many rows the partner has. All date
+fields and all partners of a table share one pass.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from plumbline.operators.rowwise import (
     count_rules,
     own_date_order_rule,
 )
-from plumbline.sources.cdm import Cdm, Cohort, Rows
+from plumbline.sources.cdm import Cdm, Cohort, spread
 
 KEY, AT = "key", "at"
 PERSON_KEY, VISIT_KEY = "person_id", "visit_occurrence_id"
@@ -33,9 +35,8 @@ DEATH_TABLE, DEATH_FIELD = "death", "death_date"
 VISIT_TABLE, VISIT_START, VISIT_END = "visit_occurrence", "visit_start_date", "visit_end_date"
 DAYS_AFTER_DEATH = 60
 DAYS_AROUND_VISIT = 7
-# Places before and after every date: limits that are never, or always, passed lie at the ends, and
-# so do rows without a date.
-FIRST, LAST = -(2**62), 2**62
+# Place before every date, for limits that are always passed.
+FIRST = -(2**62)
 
 
 def day_position(date: Column) -> Column:
@@ -57,52 +58,77 @@ def moment_position(cdm: Cdm, table: str, field: str) -> Column:
 
 @dataclass(frozen=True)
 class Limits:
-    """Partner rows on the time line: key, place, and measures to be summed."""
+    """Limits of the partner on the time line: key, place, and measures to be summed."""
 
     df: DataFrame
     measures: tuple[str, ...]
 
 
-def upto(measure: str) -> Column:
-    """Sum of a measure over the places up to this one."""
-    return F.col(f"upto_{measure}")
+def _searched(limits: Column, place: Column) -> Column:
+    """Number of limits before the place, of sorted (at, upto) pairs of which the first is before it.
+    Halves the list as often as its length has binary digits."""
+    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(limits).cast("bigint"))))
+
+    def halve(found: Column, _: Column) -> Column:
+        low, high = found["low"], found["high"]
+        middle = F.shiftright(low + high, 1)
+        is_before = F.get(limits, middle)["at"] < place
+        return F.when(low >= high, found).otherwise(
+            F.struct(
+                F.when(is_before, middle + 1).otherwise(low).alias("low"),
+                F.when(is_before, high).otherwise(middle).alias("high"),
+            )
+        )
 
+    start = F.struct(F.lit(0).alias("low"), F.size(limits).alias("high"))
+    last = F.aggregate(halvings, start, halve, lambda found: found["low"] - 1)
+    return F.get(limits, last)["upto"]
 
-def before(measure: str) -> Column:
-    """Sum of a measure over the places before this one."""
-    return F.col(f"upto_{measure}") - F.col(measure)
 
+def before(measure: str, place: Column) -> Column:
+    """Number of limits before a place that is not NULL. Most keys have one limit, and most dates
+    lie outside of several: then nothing is searched."""
+    first, last = F.col(f"first_{measure}"), F.col(f"last_{measure}")
+    return (
+        F.when(first.isNull() | (place <= first), F.lit(0).cast("bigint"))
+        .when(place > last, F.col(f"n_{measure}"))
+        .otherwise(_searched(F.col(f"all_{measure}"), place))
+    )
 
-def build_timeline(
-    rows: Rows, key: Column, points: Mapping[str, Column], limits: Sequence[Limits]
-) -> DataFrame:
-    """Per key and place: how many checked rows have that date (one column per entry of
-    ``points``), the partners' measures there, and the running sums of all of them."""
-    places = {slot: F.coalesce(place, F.lit(LAST)) for slot, place in points.items()}
-    if len(places) == 1:
-        ((slot, place),) = places.items()
-        stacked = rows.df.select(key.alias(KEY), place.alias(AT), rows.times.alias(slot))
-    else:
-        cells = [cell for slot, place in places.items() for cell in (F.lit(slot), place)]
-        stacked = rows.df.select(
-            key.alias(KEY),
-            F.stack(F.lit(len(places)), *cells).alias("slot", AT),
-            rows.times.alias("times"),
-        ).select(
-            KEY, AT, *[F.when(F.col("slot") == slot, F.col("times")).alias(slot) for slot in points]
-        )
-    for part in limits:
+
+def total(measure: str) -> Column:
+    """Number of limits of the key."""
+    return F.coalesce(F.col(f"n_{measure}"), F.lit(0).cast("bigint"))
+
+
+def partner_rows(limits: Sequence[Limits]) -> DataFrame:
+    """One row per key with the limits of all partners: per measure its number, first and last place
+    and, where there are several places, the sorted list of (at, upto).
+
+    The second, redundant key makes Spark deal the rows out again right below the join, without
+    which adaptive execution does not split a key that dominates the checked rows."""
+    measures = [m for part in limits for m in part.measures]
+    stacked = limits[0].df
+    for part in limits[1:]:
         stacked = stacked.unionByName(part.df, allowMissingColumns=True)
-    measures = [*points, *[m for part in limits for m in part.measures]]
-    by_place = stacked.groupBy(KEY, AT).agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
-    )
-    so_far = (
-        Window.partitionBy(KEY)
-        .orderBy(AT)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return by_place.select("*", *[F.sum(m).over(so_far).alias(f"upto_{m}") for m in measures])
+    keys = [KEY, "spread"]
+    by_place = stacked.groupBy(KEY, spread(KEY).alias("spread"), AT).agg(*[F.sum(m).alias(m) for m in measures])
+    so_far = Window.partitionBy(*keys).orderBy(AT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_place = by_place.select("*", *[F.sum(m).over(so_far).alias(f"upto_{m}") for m in measures])
+    summary, lists = [], []
+    for m in measures:
+        there = F.when(F.col(m) > 0, F.col(AT))
+        pair = F.when(F.col(m) > 0, F.struct(F.col(AT).alias("at"), F.col(f"upto_{m}").alias("upto")))
+        summary += [
+            F.sum(m).alias(f"n_{m}"),
+            F.min(there).alias(f"first_{m}"),
+            F.max(there).alias(f"last_{m}"),
+            F.collect_list(pair).alias(f"all_{m}"),
+        ]
+        several = F.col(f"first_{m}") < F.col(f"last_{m}")
+        lists.append(F.when(several, F.sort_array(f"all_{m}")).alias(f"all_{m}"))
+    kept = [f"{kind}_{m}" for m in measures for kind in ("n", "first", "last")]
+    return by_place.groupBy(*keys).agg(*summary).select(KEY, *kept, *lists)
 
 
 def _one() -> Column:
@@ -127,8 +153,8 @@ def person_limits(
 
 
 def _two_events(rows: DataFrame, first: dict[str, Column], second: dict[str, Column]) -> DataFrame:
-    """Two rows on the time line for each row; measures that one of them lacks are NULL, and an
-    event without a place does not happen."""
+    """Two limits for each row; measures that one of them lacks are NULL, and a limit without a
+    place does not exist."""
     names = list(dict.fromkeys([*first, *second]))
 
     def event(values: dict[str, Column]) -> Column:
@@ -149,7 +175,7 @@ def death_limits(
     field: str = DEATH_FIELD,
     person_key: str = PERSON_KEY,
 ) -> Limits:
-    """Last plausible day after each death, and a mark at the start of a dead person's line."""
+    """Last plausible day after each death, and a mark of the dead person."""
     last = day_position(F.date_add(as_date(col(field)), days))
     deaths = cdm[table].select(col(person_key).cast(as_type).alias(KEY), last.alias("last"))
     df = _two_events(
@@ -171,9 +197,9 @@ def visit_limits(
     end: str = VISIT_END,
 ) -> Limits:
     """First and last plausible day of each visit; exactly one first day, so that these count the
-    visits. Without a start nothing is too early: the first day is the beginning of the line. Where
-    the last day comes before the first, no date fits: both are put at the beginning, so that every
-    date is too late and none is too early as well, and the two counts can be added."""
+    visits. Without a start nothing is too early: the first day is before every date. Where the
+    last day comes before the first, no date fits: both are put before every date, so that each is
+    too late and none is too early as well, and the two counts can be added."""
     visits = cdm[table].select(
         col(visit_key).cast(as_type).alias(KEY),
         day_position(F.date_sub(as_date(col(start)), days)).alias("first"),
@@ -244,30 +270,32 @@ def count_date_checks(
                 limits[ident] = visit_limits(cdm, prefix, as_type)
         return prefix_of[ident]
 
-    dated = F.col(AT) < LAST
-    pairs = {}
-    for name, check in checks.items():
-        prefix, slot = partner(check), slot_of[check.field.lower()]
-        since, until, times = f"{prefix}_from", f"{prefix}_until", F.col(slot)
+    rows, key = cdm.rows(table, cohort), "__key"
+    facts = rows.df.select(
+        col(key_name).cast(as_type).alias(key),
+        *[place.alias(slot) for slot, place in points.items()],
+        rows.times.alias("times"),
+    )
+    prefixes = [partner(check) for check in checks.values()]
+    partners = partner_rows(list(limits.values()))
+    met = facts.join(partners, F.col(key) == F.col(KEY), "left")
+    times, cells, pairs = F.col("times"), {}, {}
+    for (name, check), prefix in zip(checks.items(), prefixes):
+        place = F.col(slot_of[check.field.lower()])
+        since, until = f"{prefix}_from", f"{prefix}_until"
+        # Limits after a date are those that are not before the next place.
+        too_early = lambda: times * (total(since) - before(since, place + 1))  # noqa: B023, E731
+        too_late = lambda: times * before(until, place)  # noqa: B023, E731
         if check.kind == "after":
-            too_early = F.col(since) * before(slot)
-            pairs[name] = (tally(None, too_early), tally(None, times))
+            violated, judged = too_early(), times
         elif check.kind == "life":
-            too_late = F.when(dated, times * before(until))
-            pairs[name] = (tally(None, too_late), tally(upto(f"{prefix}_dead") > 0, times))
+            violated, judged = too_late(), F.when(total(f"{prefix}_dead") > 0, times)
         else:
-            too_early = F.col(since) * before(slot)
-            too_late = F.when(dated, times * before(until)).otherwise(0)
-            # A pair of a date and a visit is met where the later of the two lies on the line.
-            met = times * upto(since) + F.col(since) * before(slot)
-            pairs[name] = (tally(None, too_early + too_late), tally(None, met))
-    timeline = build_timeline(
-        cdm.rows(table, cohort),
-        col(key_name).cast(as_type),
-        points,
-        list(limits.values()),
-    )
-    return to_long(timeline, pairs)
+            violated, judged = too_early() + too_late(), times * total(since)
+        cells[f"v{len(pairs)}"] = F.when(place.isNotNull(), violated)
+        cells[f"d{len(pairs)}"] = judged
+        pairs[name] = tuple(tally(None, F.col(f"{kind}{len(pairs)}")) for kind in "vd")
+    return to_long(met.select([cell.alias(name) for name, cell in cells.items()]), pairs)
 
 
 def plausible_temporal_after(

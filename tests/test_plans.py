@@ -80,12 +80,25 @@ def test_persons_without_rows_need_no_join(cdm):
     assert "Join" not in text and shuffles(text) == ["hashpartitioning"]
 
 
-def test_date_checks_build_no_pairs(cdm):
-    """Rows are counted per key and day before they are brought together by key."""
-    text = plan(temporal.within_visit_dates(cdm, M, MD))
-    assert "Join" not in text and "Cartesian" not in text
-    assert shuffles(text) == ["hashpartitioning", "hashpartitioning"]
-    assert re.search(r"partial_sum\(slot0", text)
+def test_date_checks_move_the_checked_rows_once(cdm, spark):
+    """The only join has one row per key on its other side, and the checked rows, reduced to key and
+    place, are dealt out for it once."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        text = plan(temporal.within_visit_dates(cdm, M, MD))
+        two = plan(temporal.count_date_checks(cdm, M, {
+            "birth": temporal.DateCheck(MD, "after", "person", "birth_datetime"),
+            "life": temporal.DateCheck(MD, "life"),
+        }))
+    finally:
+        spark.conf.set(limit, before)
+    for found in (text, two):
+        assert found.count("SortMergeJoin") == 1 and "Cartesian" not in found and "NestedLoop" not in found
+        left, right = re.split(r"\n.*:- Sort", found)[1].split("+- Sort [key", 1)
+        assert left.count("Exchange") == 1 and "measurement_date" in left and "measurement_date" not in right
+    assert columns(text)[0] == f"visit_occurrence_id,{MD}"
 
 
 def test_a_single_concept_is_filtered_in_the_scan(cdm):
@@ -148,15 +161,21 @@ HOT = {
 }
 
 
-@pytest.mark.parametrize("check", ["is_required", "is_primary_key", "is_foreign_key", "rows of is_primary_key"])
+@pytest.mark.parametrize("check", ["is_required", "is_primary_key", "is_foreign_key", "rows of is_primary_key", "within_visit_dates"])
 def test_a_hot_key_is_split(spark, check):
     """One person, and one duplicated key, with a third of the rows, and as many rows without a person."""
     rows = spark.range(60_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS person_id",
-        "IF(id % 3 = 0, 7, id) AS measurement_id", "id % 50 AS concept", "IF(id % 5 = 0, NULL, md5(CAST(id AS STRING))) AS filler",
+        "IF(id % 3 = 0, 7, id) AS measurement_id", "IF(id % 3 = 0, 7, id) AS visit_occurrence_id",
+        "date_add(DATE '2020-01-05', CAST(pmod(xxhash64(id), 20000) AS INT)) AS d", "id % 50 AS concept", "IF(id % 5 = 0, NULL, md5(CAST(id AS STRING))) AS filler",
     )
     members = spark.range(40_000).selectExpr("1 AS cohort_definition_id", "id AS subject_id")
-    cdm = Cdm({M: rows.repartition(8), "concept": spark.range(40).selectExpr("id AS concept_id")})
+    visits = spark.range(50_000).selectExpr(
+        "id AS visit_occurrence_id", "DATE '2020-01-01' AS visit_start_date", "DATE '2020-01-02' AS visit_end_date"
+    )
+    cdm = Cdm({
+        M: rows.repartition(8), "concept": spark.range(40).selectExpr("id AS concept_id"), "visit_occurrence": visits,
+    })
     cohort = Cohort(members, 1)
     before = {name: spark.conf.get(name, None) for name in HOT}
     for name, value in HOT.items():
@@ -166,6 +185,7 @@ def test_a_hot_key_is_split(spark, check):
             "is_required": lambda: rowwise.is_required(cdm, M, "filler", cohort),
             "is_primary_key": lambda: keyed.is_primary_key(cdm, M, "measurement_id", cohort),
             "is_foreign_key": lambda: lookup.is_foreign_key(cdm, M, "concept", "concept", "concept_id", cohort),
+            "within_visit_dates": lambda: temporal.within_visit_dates(cdm, M, "d"),
             "rows of is_primary_key": lambda: violations.is_primary_key(cdm, M, "measurement_id"),
         }[check]()
         df.collect()
