@@ -6,9 +6,9 @@ from plumbline.sources.cdm import (
     Cohort,
     cdm_from_catalog,
     cdm_from_files,
-    cdm_from_jdbc,
 )
 from plumbline.sources.control import Controls, read_control, read_controls
+from plumbline.sources.database import Database, cdm_from_database, cdm_from_jdbc
 from plumbline.sources.sinks import (
     write_report_json,
     write_results_csv,
@@ -20,8 +20,10 @@ __all__ = [
     "Cdm",
     "Cohort",
     "Controls",
+    "Database",
     "Run",
     "cdm_from_catalog",
+    "cdm_from_database",
     "cdm_from_files",
     "cdm_from_jdbc",
     "read_control",

@@ -169,6 +169,25 @@ VIEWS |= {
         CASE WHEN p_size % 7 = 0 THEN CAST(p_retailprice AS STRING) ELSE '' END AS plausibleValueLow
         FROM part
     """,
+    "table_control": """
+        SELECT CONCAT('Table_', CAST(CASE WHEN p_partkey % 10 = 0 THEN p_partkey - 1
+            ELSE p_partkey END AS STRING)) AS cdmTableName,
+        CASE WHEN p_size % 5 = 0 THEN '' WHEN p_size % 5 = 1 THEN CONCAT(CAST(p_size AS STRING), '%')
+            ELSE CAST(p_size AS STRING) END AS measurePersonCompletenessThreshold,
+        CASE WHEN p_size % 6 = 0 THEN p_name END AS measurePersonCompletenessNotes
+        FROM part
+    """,
+    "concept_control": """
+        SELECT 'MEASUREMENT' AS cdmTableName,
+        'measurement_concept_id' AS cdmFieldName,
+        CAST(l_partkey AS STRING) AS conceptId,
+        CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE CAST(l_suppkey % 4 AS STRING) END AS unitConceptId,
+        CASE WHEN CAST(l_quantity AS INT) % 10 = 0 THEN '' WHEN CAST(l_quantity AS INT) = 13 THEN '13%'
+            ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS plausibleGenderThreshold,
+        CASE WHEN l_linenumber = 2 THEN l_linestatus END AS plausibleGenderNotes
+        FROM lineitem
+        WHERE l_partkey % 4 <> 0
+    """,
 }
 
 
@@ -221,6 +240,7 @@ FIELD_RULES = (
     {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_concept_id",
      "isForeignKey": "Yes", "fkTableName": "CONCEPT", "fkFieldName": "CONCEPT_ID",
      "fkDomain": "PROMO", "fkClass": "Brand#12", "isStandardValidConcept": "Yes",
+     "cdmSourceFieldName": "measurement_source_concept_id",
      "standardConceptRecordCompleteness": "Yes",
      "standardConceptRecordCompletenessThreshold": "5"},
     {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_date", "cdmDatatype": "date",
@@ -235,6 +255,14 @@ FIELD_RULES = (
     {"cdmTableName": "MEASUREMENT", "cdmFieldName": "unit_concept_id",
      "standardConceptRecordCompleteness": "Yes"},
     {"cdmTableName": "MEASUREMENT", "cdmFieldName": "provider_text", "cdmDatatype": "integer"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "measurement_source_concept_id",
+     "sourceConceptRecordCompleteness": "Yes", "sourceConceptRecordCompletenessThreshold": "20"},
+    {"cdmTableName": "MEASUREMENT", "cdmFieldName": "unit_source_value",
+     "sourceValueCompleteness": "Yes", "sourceValueCompletenessThreshold": "30",
+     "standardConceptFieldName": "UNIT_CONCEPT_ID"},
+    {"cdmTableName": "CONDITION_OCCURRENCE", "cdmFieldName": "condition_start_date",
+     "plausibleTemporalAfter": "Yes", "plausibleTemporalAfterTableName": "VISIT_OCCURRENCE",
+     "plausibleTemporalAfterFieldName": "VISIT_START_DATE", "plausibleTemporalAfterThreshold": "90"},
     {"cdmTableName": "VISIT_OCCURRENCE", "cdmFieldName": "visit_end_date",
      "plausibleTemporalAfter": "Yes", "plausibleTemporalAfterTableName": "VISIT_OCCURRENCE",
      "plausibleTemporalAfterFieldName": "VISIT_START_DATE"},
@@ -253,7 +281,8 @@ FIELD_COLUMNS = (
     "plausibleTemporalAfterTableName", "plausibleTemporalAfterFieldName", "plausibleDuringLife",
     "withinVisitDates", "runForCohort", "cdmFieldThreshold", "isRequiredThreshold",
     "isPrimaryKeyThreshold", "isForeignKeyThreshold", "measureValueCompletenessThreshold",
-    "standardConceptRecordCompletenessThreshold", "sourceValueCompletenessThreshold",
+    "standardConceptRecordCompletenessThreshold", "sourceConceptRecordCompletenessThreshold",
+    "sourceValueCompletenessThreshold",
     "plausibleValueLowThreshold", "plausibleValueHighThreshold",
     "plausibleTemporalAfterThreshold", "plausibleDuringLifeThreshold",
     "withinVisitDatesThreshold",
@@ -282,8 +311,9 @@ RUN_TABLES = ("PERSON", "VISIT_OCCURRENCE", "CONDITION_OCCURRENCE", "MEASUREMENT
               "LOCATION", "CONDITION_ERA")
 
 
-def fixture_controls(spark: SparkSession) -> Controls:
-    """Controls for the views, with the checks that belong to no standard set too."""
+def fixture_controls(spark: SparkSession, cohort: bool = False) -> Controls:
+    """Controls for the views, with the checks that belong to no standard set too. With ``cohort``, all
+    field checks that can be are restricted to a cohort."""
 
     def frame(columns: tuple[str, ...], rules: tuple[dict, ...], **same: str) -> DataFrame:
         rows = [tuple((same | rule).get(name) for name in columns) for rule in rules]
@@ -292,7 +322,7 @@ def fixture_controls(spark: SparkSession) -> Controls:
     return Controls(
         standard_descriptions(spark, extra=True),
         select_tables(standard_table_control(spark), include=RUN_TABLES),
-        frame(FIELD_COLUMNS, FIELD_RULES),
+        frame(FIELD_COLUMNS, FIELD_RULES, runForCohort="Yes" if cohort else None),
         frame(
             CONCEPT_COLUMNS,
             CONCEPT_RULES,

@@ -29,11 +29,22 @@ FLAGS = (
 )
 
 
+KNOWN_KEYS = ("check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id")
+THRESHOLD_CELLS = ("threshold_value", "notes_value", "threshold_error")
+
+
+def strictest() -> list[Column]:
+    """One set of threshold cells for control rows that repeat a key. The strictest threshold counts: a
+    blank one, which lets no violated row pass, before any number. ``threshold_error`` is about a
+    cell that holds no number."""
+    value = F.when(F.count("threshold_value") == F.count("*"), F.min("threshold_value"))
+    return [value.alias("threshold_value"), *[F.min(name).alias(name) for name in THRESHOLD_CELLS[1:]]]
+
+
 def control_thresholds(control: DataFrame, level: str) -> DataFrame:
     """Long form of the ``<check>Threshold`` and ``<check>Notes`` columns of a control table: one
-    row per check and table, field, concept and unit, with table and field in lower case. Where
-    control rows repeat a key, the strictest threshold counts: a blank one, which lets no violated
-    row pass, before any number."""
+    row per check and table, field, concept and unit, with table and field in lower case; see
+    ``strictest`` for repeated keys."""
     suffix = "Threshold"
     there = {name.lower(): f"`{name}`" for name in control.columns}
     names = [name[: -len(suffix)] for name in control.columns if name.endswith(suffix)] or [""]
@@ -43,12 +54,10 @@ def control_thresholds(control: DataFrame, level: str) -> DataFrame:
         return f"CASE WHEN trim({found}) != '' THEN CAST({found} AS STRING) END"
 
     cells = ", ".join(
-        f"named_struct('check_name', '{name}', "
-        f"'threshold_value', try_cast({filled(name + suffix)} AS DOUBLE), "
+        f"named_struct('check_name', '{name}', 'cell', {filled(name + suffix)}, "
         f"'notes_value', {filled(name + 'Notes')})"
         for name in names
     )
-    keys = ["check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id"]
     return (
         control.selectExpr(
             f"'{level}' AS check_level",
@@ -58,34 +67,57 @@ def control_thresholds(control: DataFrame, level: str) -> DataFrame:
             f"{filled('unitConceptId')} AS unit_concept_id",
             f"inline(array({cells}))",
         )
-        .groupBy(*keys, "unit_concept_id")
-        .agg(
-            F.when(F.count("threshold_value") == F.count("*"), F.min("threshold_value")).alias(
-                "threshold_value"
-            ),
-            F.min("notes_value").alias("notes_value"),
+        .selectExpr(
+            "*",
+            "try_cast(cell AS DOUBLE) AS threshold_value",
+            f"CASE WHEN try_cast(cell AS DOUBLE) IS NULL THEN {threshold_error('cell')} END AS threshold_error",
         )
+        .groupBy(*KNOWN_KEYS, "unit_concept_id")
+        .agg(*strictest())
     )
 
 
+def threshold_error(cell: str) -> str:
+    """What is said about a threshold cell (an SQL expression) that holds no number."""
+    return f"concat('threshold is not readable: ', {cell})"
+
+
 def threshold_lookup(results: DataFrame, controls: Controls | DataFrame) -> DataFrame:
     """Results with ``threshold_value`` and ``notes_value`` of their control row; both NULL where
-    the control tables say nothing. ``controls`` may be the long form already."""
+    the control tables say nothing. ``controls`` may be the long form already.
+
+    The most specific control row counts. For a result with a unit, that is the row of its concept
+    and unit, or else the row of its concept without a unit; for one without a unit, the row without
+    a unit, or else the strictest of all rows of its concept. Rows of a concept are gathered first, by
+    unit, so that there is one join and no result is multiplied. If the results have a column
+    ``error``, a threshold that holds no number becomes the error of those without another.
+    """
     if isinstance(controls, Controls):
         known = control_thresholds(controls.tables, "TABLE")
         known = known.unionByName(control_thresholds(controls.fields, "FIELD"))
         known = known.unionByName(control_thresholds(controls.concepts, "CONCEPT"))
     else:
         known = controls
+    unit, row = F.col("unit_concept_id"), F.struct(*THRESHOLD_CELLS)
+    by_concept = known.groupBy(*KNOWN_KEYS).agg(
+        F.map_from_entries(F.collect_list(F.when(unit.isNotNull(), F.struct(unit, row)))).alias("by_unit"),
+        F.max(F.when(unit.isNull(), row)).alias("without_unit"),
+        F.struct(*strictest()).alias("of_any"),
+    )
     same = [f"result.{key} = known.{key}" for key in ("check_level", "check_name")]
     same.append("lower(result.cdm_table_name) = known.cdm_table_name")
     same.append("lower(result.cdm_field_name) <=> known.cdm_field_name")
-    ids = ("concept_id", "unit_concept_id")
-    same += [f"CAST(result.{key} AS STRING) <=> known.{key}" for key in ids]
-    rows = results.drop("threshold_value", "notes_value").alias("result")
-    return rows.join(known.alias("known"), F.expr(" AND ".join(same)), "left").select(
-        "result.*", "known.threshold_value", "known.notes_value"
+    same.append("CAST(result.concept_id AS STRING) <=> known.concept_id")
+    rows = results.drop("threshold_value", "notes_value")
+    own_unit = F.col("result.unit_concept_id").cast("string")
+    found = F.when(own_unit.isNull(), F.coalesce("known.without_unit", "known.of_any")).otherwise(
+        F.coalesce(F.try_element_at("known.by_unit", own_unit), "known.without_unit")
     )
+    met = rows.alias("result").join(by_concept.alias("known"), F.expr(" AND ".join(same)), "left")
+    met = met.select("result.*", found.alias("__found"))
+    if "error" in rows.columns:
+        met = met.withColumn("error", F.coalesce("error", "__found.threshold_error"))
+    return met.select(*rows.columns, "__found.threshold_value", "__found.notes_value")
 
 
 def threshold_eval(results: DataFrame) -> DataFrame:

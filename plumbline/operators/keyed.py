@@ -1,74 +1,80 @@
-"""Checks decided per value of one field: duplicate keys and unmapped source values.
+"""Checks decided per value of a field: duplicate keys and unmapped source values.
 
-One shuffle on the value, with partial counts before it, so a value that fills a third of the
-table arrives as one row per task.
+All such checks of a table share one scan and one shuffle: the fields are stacked as (slot, value),
+with one value column per datatype, and counted per slot and value before they move. So a value that
+fills a third of the table arrives as one row per task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.counting import (
-    CHECK_KEY,
-    DENOMINATOR,
-    VIOLATED,
-    check_counts,
-    col,
-    tally,
-)
+from plumbline.functions.counting import check_counts, col, tally, to_long
 from plumbline.sources.cdm import WEIGHT, Cdm, Cohort
 
 
-def _result(groups: DataFrame, key: str, violated, denominator) -> DataFrame:
-    return groups.agg(
-        violated.cast("bigint").alias(VIOLATED), denominator.cast("bigint").alias(DENOMINATOR)
-    ).select(F.lit(key).alias(CHECK_KEY), VIOLATED, DENOMINATOR)
+@dataclass(frozen=True)
+class ValueCheck:
+    """Check of the values of a field: are they unique or, with a field of standard concepts, mapped?"""
+
+    field: str
+    standard_field: str | None = None
 
 
-def count_duplicates(
-    cdm: Cdm, table: str, field: str, cohort: Cohort | None = None, key: str = ""
+def count_value_checks(
+    cdm: Cdm, table: str, checks: Mapping[str, ValueCheck], cohort: Cohort | None = None
 ) -> DataFrame:
-    """Rows whose key occurs more than once. Duplicates are searched in the whole table, also when
-    a cohort restricts the rows that are judged."""
+    """Checks of values of one table, one row per check.
+
+    Duplicates: rows whose value occurs more than once, of all rows; searched in the whole table,
+    also when a cohort restricts the rows that are judged, and NULL is no duplicate. Source values:
+    distinct values with a row mapped to concept 0, of all distinct values of the judged rows; NULL
+    is one value. Repeated cohort memberships count rows several times and values once.
+    """
     rows, times = cdm[table], F.lit(1).cast("bigint")
     if cohort is not None:
         rows = rows.join(cohort.weights(), F.col("person_id") == F.col("__subject"), "left")
-        times = F.coalesce(F.col(WEIGHT), F.lit(0))
-    groups = (
-        rows.select(col(field).alias("value"), times.alias("times"))
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("found"), F.sum("times").alias("judged"))
-    )
-    repeated = F.col("value").isNotNull() & (F.col("found") > 1)
-    return _result(groups, key, tally(repeated, F.col("judged")), tally(None, F.col("judged")))
+        times = F.coalesce(F.col(WEIGHT), F.lit(0).cast("bigint"))
+    slots = list(dict.fromkeys(checks.values()))
+    types = {slot: cdm.datatype(table, slot.field) for slot in slots}
+    values = {kind: f"value{i}" for i, kind in enumerate(dict.fromkeys(types.values()))}
 
+    def entry(slot: ValueCheck):
+        cells = [
+            (col(slot.field) if types[slot] == kind else F.lit(None)).cast(kind).alias(name)
+            for kind, name in values.items()
+        ]
+        unmapped = F.lit(False) if slot.standard_field is None else F.coalesce(col(slot.standard_field) == 0, F.lit(False))
+        return F.struct(F.lit(slots.index(slot)).alias("slot"), *cells, unmapped.alias("unmapped"))
 
-def count_source_values(
-    cdm: Cdm,
-    table: str,
-    field: str,
-    standard_field: str,
-    cohort: Cohort | None = None,
-    key: str = "",
-) -> DataFrame:
-    """Distinct source values with a row mapped to concept 0, of all distinct source values. NULL
-    is one value. Repeated cohort memberships change nothing, since values are counted once."""
-    groups = (
-        cdm.rows(table, cohort)
-        .df.groupBy(col(field).alias("value"))
-        .agg(F.max(col(standard_field) == 0).alias("unmapped"))
+    stacked = rows.select(times.alias("times"), F.inline(F.array(*map(entry, slots))))
+    groups = stacked.groupBy("slot", *values.values()).agg(
+        F.count(F.lit(1)).alias("found"),
+        F.sum("times").alias("judged"),
+        F.max(F.col("unmapped") & (F.col("times") > 0)).alias("unmapped"),
     )
-    return _result(groups, key, F.count_if("unmapped"), F.count(F.lit(1)))
+    filled = F.coalesce(*[F.col(name).cast("string") for name in values.values()]).isNotNull()
+    pairs = {}
+    for key, slot in checks.items():
+        own, judged = F.col("slot") == slots.index(slot), F.col("judged")
+        if slot.standard_field is None:
+            pairs[key] = (tally(own & filled & (F.col("found") > 1), judged), tally(own, judged))
+        else:
+            pairs[key] = (tally(own & F.col("unmapped")), tally(own & (judged > 0)))
+    return to_long(groups, pairs)
 
 
 def is_primary_key(cdm: Cdm, table: str, field: str, cohort: Cohort | None = None) -> DataFrame:
     """Rows whose key is not unique, of all rows."""
-    return check_counts(count_duplicates(cdm, table, field, cohort))
+    return check_counts(count_value_checks(cdm, table, {"": ValueCheck(field)}, cohort))
 
 
 def source_value_completeness(
     cdm: Cdm, table: str, field: str, standard_field: str, cohort: Cohort | None = None
 ) -> DataFrame:
     """Distinct source values mapped to concept 0, of all distinct source values."""
-    return check_counts(count_source_values(cdm, table, field, standard_field, cohort))
+    return check_counts(count_value_checks(cdm, table, {"": ValueCheck(field, standard_field)}, cohort))

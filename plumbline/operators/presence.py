@@ -12,9 +12,11 @@ from plumbline.functions.counting import DENOMINATOR, VIOLATED
 from plumbline.sources.cdm import Cdm
 
 
-def actual_fields(spark: SparkSession, cdm: Cdm) -> DataFrame:
-    """(table_name, field_name) of everything that is there, in lower case."""
-    pairs = [(name, field.lower()) for name, df in cdm.items() for field in df.columns]
+def actual_fields(spark: SparkSession, cdm: Cdm, tables: Iterable[str]) -> DataFrame:
+    """(table_name, field_name) of what is there of these tables, in lower case; no other table is
+    opened."""
+    names = dict.fromkeys(name.lower() for name in tables)
+    pairs = [(name, field.lower()) for name in names if name in cdm for field in cdm[name].columns]
     return spark.createDataFrame(
         pa.table(
             {
@@ -25,6 +27,11 @@ def actual_fields(spark: SparkSession, cdm: Cdm) -> DataFrame:
     )
 
 
+def asked_for(expected: DataFrame) -> list[str]:
+    """The tables named by control rows."""
+    return [row["table_name"] for row in expected.select("table_name").distinct().collect() if row["table_name"]]
+
+
 def _presence(expected: DataFrame, actual: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Expected rows with 1 of 1 violated where nothing of that name is there, in any case."""
     lower = {f"__{key}": key for key in keys}
@@ -40,12 +47,14 @@ def _presence(expected: DataFrame, actual: DataFrame, keys: Iterable[str]) -> Da
     )
 
 
-def cdm_table(expected: DataFrame, cdm: Cdm) -> DataFrame:
-    """1 of 1 violated for each expected ``table_name`` that does not exist, else 0 of 1."""
-    return _presence(expected, actual_fields(expected.sparkSession, cdm), ["table_name"])
+def cdm_table(expected: DataFrame, cdm: Cdm, tables: Iterable[str] | None = None) -> DataFrame:
+    """1 of 1 violated for each expected ``table_name`` that does not exist, else 0 of 1. ``tables``
+    may say which tables are expected, if that is known without asking the control rows."""
+    fields = actual_fields(expected.sparkSession, cdm, asked_for(expected) if tables is None else tables)
+    return _presence(expected, fields, ["table_name"])
 
 
-def cdm_field(expected: DataFrame, cdm: Cdm) -> DataFrame:
+def cdm_field(expected: DataFrame, cdm: Cdm, tables: Iterable[str] | None = None) -> DataFrame:
     """1 of 1 violated for each expected (``table_name``, ``field_name``) that does not exist."""
-    fields = actual_fields(expected.sparkSession, cdm)
+    fields = actual_fields(expected.sparkSession, cdm, asked_for(expected) if tables is None else tables)
     return _presence(expected, fields, ["table_name", "field_name"])

@@ -65,6 +65,7 @@ def level_checks(descriptions: DataFrame, control: DataFrame, level: str) -> Dat
             "*",
             f"'{row['checkName']}' AS check_name",
             f"try_cast({filled(row['checkName'] + 'Threshold')} AS DOUBLE) AS threshold_value",
+            f"{filled(row['checkName'] + 'Threshold')} AS threshold_cell",
             f"{filled(row['checkName'] + 'Notes')} AS notes_value",
         )
         for row in chosen
@@ -90,6 +91,7 @@ def level_checks(descriptions: DataFrame, control: DataFrame, level: str) -> Dat
         "kahnSubcategory AS subcategory",
         "kahnContext AS context",
         "threshold_value",
+        "threshold_cell",
         "notes_value",
         *[f"CAST({there.get(p.lower(), 'NULL')} AS STRING) AS {p}" for p in PARAMETERS],
     )

@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.counting import CHECK_KEY, DENOMINATOR, VIOLATED
 from plumbline.operators import concepts, keyed, lookup, presence, rowwise, temporal
-from plumbline.operators.evaluation import evaluate
+from plumbline.operators.evaluation import evaluate, threshold_error
 from plumbline.operators.report import overview, report_view
 from plumbline.operators.selection import VOCABULARY_TABLES, select_controls
 from plumbline.plans.checks import checks_to_run, record_result, union_results
 from plumbline.sources.cdm import Cdm, Cohort
 from plumbline.sources.control import Controls
-from plumbline.sources.sinks import read_cdm_source, report_document, result_table
+from plumbline.sources.sinks import CDM_SOURCE, read_cdm_source, report_document, result_table
 
 log = logging.getLogger(__name__)
 
@@ -199,10 +199,8 @@ def shape(check: dict, cohort: Cohort | None) -> tuple:
         return ("dates", table, "person", restricted)
     if name in ROW_RULES:
         return ("rows", table, restricted)
-    if name == "isPrimaryKey":
-        return ("duplicates", table, field, restricted)
-    if name == "sourceValueCompleteness":
-        return ("values", table, field, restricted)
+    if name in ("isPrimaryKey", "sourceValueCompleteness"):
+        return ("values", table, restricted)
     if name == "measureConditionEraCompleteness":
         return ("era", table, restricted)
     if name == "plausibleDuringLife":
@@ -246,19 +244,19 @@ class Group:
                 F.col("cdm_field_name").alias("field_name"),
             )
             found = presence.cdm_table if rest[0] == "cdmTable" else presence.cdm_field
-            return found(expected, cdm).select(CHECK_KEY, VIOLATED, DENOMINATOR)
+            tables = [check["table"] for check in self.checks]
+            return found(expected, cdm, tables).select(CHECK_KEY, VIOLATED, DENOMINATOR)
         if kind == "rows":
             rules = {key: ROW_RULES[c["check_name"]](cdm, c) for key, c in members.items()}
             return rowwise.count_rules(cdm.rows(table, restricted(rest[1])), rules)
-        if kind == "duplicates":
-            return keyed.count_duplicates(
-                cdm, table, field, restricted(rest[2]), first[CHECK_KEY]
-            )
         if kind == "values":
-            standard = first["standardConceptFieldName"]
-            return keyed.count_source_values(
-                cdm, table, field, standard, restricted(rest[2]), first[CHECK_KEY]
-            )
+            values = {
+                key: keyed.ValueCheck(
+                    c["field"], c["standardConceptFieldName"] if c["check_name"] != "isPrimaryKey" else None
+                )
+                for key, c in members.items()
+            }
+            return keyed.count_value_checks(cdm, table, values, restricted(rest[1]))
         if kind == "era":
             return lookup.count_era_persons(
                 cdm, table, cohort=restricted(rest[1]), key=first[CHECK_KEY]
@@ -322,16 +320,13 @@ def group_checks(rows: Sequence[dict], cohort: Cohort | None = None) -> list[Gro
     the columns of its own rules."""
     by_shape: dict[tuple, list[dict]] = {}
     for check in rows:
-        key = shape(check, cohort)
-        if key[0] == "values":  # the same field may be judged by two standard fields
-            key = (*key, check["standardConceptFieldName"])
-        by_shape.setdefault(key, []).append(check)
+        by_shape.setdefault(shape(check, cohort), []).append(check)
     groups = []
     for key, members in by_shape.items():
         size = len(members)
-        if key[0] == "rows":
+        if key[0] in ("rows", "values"):
             members, size = sorted(members, key=lambda c: c["field"]), RULES_PER_SCAN
-        elif key[0] in ("duplicates", "values", "era"):
+        elif key[0] == "era":
             size = 1
         for start in range(0, len(members), size):
             groups.append(Group(key, tuple(members[start : start + size])))
@@ -341,14 +336,17 @@ def group_checks(rows: Sequence[dict], cohort: Cohort | None = None) -> list[Gro
 def split_missing(rows: Sequence[dict], cdm: Cdm) -> tuple[list[dict], dict[str, str]]:
     """Checks that can run, and errors of those that cannot. A check on a table or field that does
     not exist is left without counts if the run reports the absence by itself (it is then judged
-    as not applicable); otherwise it is an error."""
+    as not applicable); otherwise it is an error, as is every check of a table that cannot be opened."""
     reported = {
         (c["table"], c["field"]) for c in rows if c["check_name"] in ("cdmTable", "cdmField")
     }
     ready, errors = [], {}
     for check in rows:
         table, field = check["table"], check["field"]
-        if check["check_name"] == "cdmTable":
+        failure = cdm.failure(table)
+        if failure is not None:  # only the checks of this table, and of those that need it, fail
+            errors[check[CHECK_KEY]] = str(failure) or type(failure).__name__
+        elif check["check_name"] == "cdmTable":
             ready.append(check)
         elif table not in cdm:
             if (table, None) not in reported:
@@ -362,7 +360,8 @@ def split_missing(rows: Sequence[dict], cdm: Cdm) -> tuple[list[dict], dict[str,
 
 
 def unreadable_cells(checks: Checks) -> dict[str, str]:
-    """Errors of concept checks whose control cells should hold numbers and hold something else."""
+    """Errors of checks whose control cells should hold numbers and hold something else: thresholds, and
+    the cells of concept checks."""
     kinds = {"concept_id": "BIGINT", "unit_concept_id": "BIGINT"}
     bad = [
         (name, f"trim({name}) != '' AND try_cast(trim({name}) AS {kind}) IS NULL")
@@ -379,8 +378,11 @@ def unreadable_cells(checks: Checks) -> dict[str, str]:
         f"check_name = '{units}' AND trim({units}) NOT IN ({nothing}) "
         f"AND exists(split({units}, ','), x -> try_cast(trim(x) AS BIGINT) IS NULL)",
     ))
-    texts = " ".join(f"WHEN {sql} THEN concat('{name} is not readable: ', {name})" for name, sql in bad)
-    found = checks.df.where("check_level = 'CONCEPT'").selectExpr(CHECK_KEY, f"CASE {texts} END AS error")
+    texts = " ".join(
+        f"WHEN check_level = 'CONCEPT' AND {sql} THEN concat('{name} is not readable: ', {name})" for name, sql in bad
+    )
+    texts += f" WHEN threshold_cell IS NOT NULL AND threshold_value IS NULL THEN {threshold_error('threshold_cell')}"
+    found = checks.df.selectExpr(CHECK_KEY, f"CASE {texts} END AS error")
     return {row[CHECK_KEY]: row["error"] for row in found.where("error IS NOT NULL").collect()}
 
 
@@ -481,4 +483,8 @@ def run_checks(
     checks = prepare(spark, controls, include, exclude, names)
     counts = count_isolated(cdm, checks, cohort, parallel)
     results = result_table(evaluate(record_result(checks.df, counts)))
-    return Run(results, started, datetime.now(timezone.utc), read_cdm_source(cdm))
+    failure = cdm.failure(CDM_SOURCE)
+    if failure is not None:  # the report then has no metadata
+        log.error("%s: %s", CDM_SOURCE, failure)
+    metadata = read_cdm_source(cdm) if failure is None else None
+    return Run(results, started, datetime.now(timezone.utc), metadata)

@@ -37,6 +37,15 @@ def statement(sql: str, **tables: str) -> str:
     return f"WITH {ctes}\n{sql}"
 
 
+def _strictest(check: str) -> str:
+    """Threshold cells of control rows with one key: a blank threshold before any number."""
+    number = f"TRY_CAST(NULLIF({check}Threshold, '') AS DOUBLE)"
+    unreadable = f"{number} IS NULL AND {check}Threshold <> ''"
+    return f"""CASE WHEN COUNT({number}) = COUNT(*) THEN MIN({number}) END AS threshold_value,
+        MIN({check}Notes) AS notes_value,
+        MIN(CASE WHEN {unreadable} THEN 'threshold is not readable: ' || {check}Threshold END) AS bad"""
+
+
 def counts(violated: str, denominator: str) -> str:
     return statement(
         f"""SELECT CAST(v.n AS BIGINT) AS num_violated_rows,
@@ -186,7 +195,7 @@ PAIRS = {
 MEMBERS = {
     name: f"SELECT x.* FROM {name} x JOIN cohort c ON x.person_id = c.subject_id "
     "AND c.cohort_definition_id = 1"
-    for name in ("measurement", "person", "condition_occurrence")
+    for name in ("measurement", "person", "condition_occurrence", "visit_occurrence")
 }
 
 
@@ -254,6 +263,14 @@ VIOLATED_ROWS = {
         "measurement.unit_concept_id",
         "t.* FROM measurement t WHERE unit_concept_id = 0 AND value_as_number IS NOT NULL",
     ),
+    "cohort_is_required": labelled(
+        "measurement.value_as_number", f"t.* FROM ({MEMBERS['measurement']}) t WHERE value_as_number IS NULL"
+    ),
+    "cohort_fk_domain": labelled(
+        "measurement.measurement_concept_id",
+        f"t.* FROM ({MEMBERS['measurement']}) t JOIN concept co ON t.measurement_concept_id = co.concept_id "
+        "WHERE co.concept_id <> 0 AND co.domain_id NOT IN ('PROMO')",
+    ),
     "table_concept_completeness": statement(f"SELECT * FROM measurement WHERE {BOTH_UNMAPPED}"),
     "plausible_value_low": labelled(
         "measurement.measurement_date",
@@ -647,17 +664,43 @@ def _control() -> dict[str, str]:
             AS text FROM field_control"""
         ),
         "threshold_lookup": statement(
-            """SELECT r.check_name, r.cdmTableName AS cdm_table_name,
+            f"""SELECT r.check_name, r.cdmTableName AS cdm_table_name,
             r.cdmFieldName AS cdm_field_name, k.threshold_value, k.notes_value
             FROM (SELECT CASE WHEN isForeignKey = 'Yes' THEN 'fkDomain' ELSE 'fkClass' END
                 AS check_name, cdmTableName, cdmFieldName FROM field_control) r
             LEFT JOIN (SELECT 'fkDomain' AS check_name, cdmTableName, cdmFieldName,
-                MIN(TRY_CAST(NULLIF(fkDomainThreshold, '') AS DOUBLE)) AS threshold_value,
-                MIN(fkDomainNotes) AS notes_value FROM field_control
+                {_strictest("fkDomain")} FROM field_control
                 GROUP BY cdmTableName, cdmFieldName) k
             ON r.check_name = k.check_name AND r.cdmTableName = k.cdmTableName
             AND r.cdmFieldName = k.cdmFieldName"""
         ),
+        "threshold_lookup_table": statement(
+            f"""SELECT CASE WHEN p_size % 7 = 0 THEN 'cdmTable' ELSE 'measurePersonCompleteness' END
+                AS check_name, 'TABLE_' || p_partkey AS cdm_table_name,
+            CAST(NULL AS VARCHAR) AS cdm_field_name, threshold_value, notes_value, bad AS error
+            FROM part LEFT JOIN (SELECT cdmTableName, {_strictest("measurePersonCompleteness")}
+                FROM table_control GROUP BY cdmTableName) k
+            ON cdmTableName = 'Table_' || p_partkey AND p_size % 7 <> 0"""
+        ),
+        "threshold_lookup_concept": statement(
+            """SELECT r.result_id, r.concept_id, r.unit_concept_id,
+            CASE WHEN e.c IS NOT NULL THEN e.threshold_value WHEN g.c IS NOT NULL THEN g.threshold_value
+                WHEN r.unit_concept_id IS NULL THEN w.threshold_value END AS threshold_value,
+            CASE WHEN e.c IS NOT NULL THEN e.notes_value WHEN g.c IS NOT NULL THEN g.notes_value
+                WHEN r.unit_concept_id IS NULL THEN w.notes_value END AS notes_value,
+            coalesce(r.error, CASE WHEN e.c IS NOT NULL THEN e.bad WHEN g.c IS NOT NULL THEN g.bad
+                WHEN r.unit_concept_id IS NULL THEN w.bad END) AS error
+            FROM (SELECT l_orderkey * 10 + l_linenumber AS result_id, CAST(l_partkey AS VARCHAR) AS concept_id,
+                CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_orderkey % 6 AS VARCHAR) END AS unit_concept_id,
+                CASE WHEN l_linenumber = 5 THEN 'failed' END AS error FROM lineitem) r
+            LEFT JOIN unit_rows e ON e.c = r.concept_id AND e.u = r.unit_concept_id
+            LEFT JOIN unit_rows g ON g.c = r.concept_id AND g.u = ''
+            LEFT JOIN concept_rows w ON w.c = r.concept_id""",
+            unit_rows=f"""SELECT conceptId AS c, unitConceptId AS u, {_strictest("plausibleGender")}
+                FROM concept_control GROUP BY conceptId, unitConceptId""",
+            concept_rows=f"""SELECT conceptId AS c, {_strictest("plausibleGender")}
+                FROM concept_control GROUP BY conceptId""",
+        ),
         "record_result": statement(
             f"""SELECT c.v AS num_violated_rows, {PCT.format(v='c.v', d='c.d')}
             AS pct_violated_rows, c.d AS num_denominator_rows, 'fkDomain' AS check_name,
@@ -760,6 +803,18 @@ RUN_PAIRS = {
         "concept_record_completeness_unit"
     ],
     ("cdmDatatype", "MEASUREMENT", "provider_text"): PAIRS["cdm_datatype"],
+    ("sourceConceptRecordCompleteness", "MEASUREMENT", "measurement_source_concept_id"): (
+        number("measurement", "measurement_source_concept_id = 0"),
+        number("measurement"),
+    ),
+    ("sourceValueCompleteness", "MEASUREMENT", "unit_source_value"): (
+        "SELECT COUNT(*) FROM (SELECT DISTINCT unit_source_value FROM measurement WHERE unit_concept_id = 0) x",
+        SOURCE_VALUES.format(c="unit_source_value", t="measurement"),
+    ),
+    ("conceptCompleteness", "MEASUREMENT", "measurement_concept_id"): PAIRS["table_concept_completeness"],
+    ("plausibleTemporalAfter", "CONDITION_OCCURRENCE", "condition_start_date"): PAIRS[
+        "plausible_temporal_after_table"
+    ],
     ("plausibleTemporalAfter", "VISIT_OCCURRENCE", "visit_end_date"): PAIRS[
         "plausible_temporal_after_self"
     ],
@@ -775,7 +830,7 @@ CATEGORY = {
     "Completeness": (
         "measurePersonCompleteness", "measureConditionEraCompleteness",
         "measureValueCompleteness", "standardConceptRecordCompleteness",
-        "sourceValueCompleteness",
+        "sourceConceptRecordCompleteness", "sourceValueCompleteness", "conceptCompleteness",
     ),
     "Plausibility": (
         "plausibleValueLow", "plausibleValueHigh", "plausibleTemporalAfter",
@@ -784,7 +839,8 @@ CATEGORY = {
 }
 
 
-def _run() -> dict[str, str]:
+def _run(cohort: bool = False) -> dict[str, str]:
+    """The whole run; with ``cohort``, checks of fields and concepts are for its members."""
     category = {name: kind for kind, names in CATEGORY.items() for name in names}
     rows = []
 
@@ -795,6 +851,8 @@ def _run() -> dict[str, str]:
         parts = [level, name, table, field, concept, unit]
         ident = "_".join(p for p in parts if p).lower()
         v, d = pair if pair else ("NULL", "NULL")
+        if cohort and level != "TABLE" and name not in ("cdmField", "cdmDatatype"):
+            v, d = (_in_cohort(sql, table.lower()) if table.lower() in MEMBERS else sql for sql in (v, d))
         rows.append(
             f"""SELECT 1 AS run_id, '{ident}' AS checkid, '{level}' AS check_level,
             '{name}' AS check_name, '{table}' AS cdm_table_name, {text(field)} AS cdm_field_name,
@@ -863,7 +921,7 @@ def _run() -> dict[str, str]:
         CAST(NULL AS VARCHAR) AS error FROM counted c"""
     steps = {"counted": "\nUNION ALL\n".join(rows), **cascade(source)}
     return {
-        "run_checks": statement(
+        "run_checks_cohort" if cohort else "run_checks": statement(
             """SELECT checkid, check_level, check_name, cdm_table_name, cdm_field_name,
             concept_id, unit_concept_id, category, num_violated_rows, pct_violated_rows,
             num_denominator_rows, error, threshold_value, is_error, not_applicable, failed,
@@ -884,5 +942,6 @@ def oracle_sql() -> dict[str, str]:
         **_sources(),
         **_control(),
         **_results(),
+        **_run(cohort=True),
         **_run(),
     }

@@ -354,6 +354,9 @@ def blanks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("result_id", "subcategory", "error", "notes_value")
 
 
+THRESHOLD_COLUMNS = ("check_name", "cdm_table_name", "cdm_field_name", "threshold_value", "notes_value", "error")
+
+
 def thresholds(spark: SparkSession, folder: str) -> DataFrame:
     """Thresholds for stored results; half of the results ask for a check without thresholds."""
     control = view(spark, folder, "field_control")
@@ -366,8 +369,39 @@ def thresholds(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("unit_concept_id"),
     )
     known = evaluation.control_thresholds(control, "FIELD")
+    return evaluation.threshold_lookup(results, known).select(*THRESHOLD_COLUMNS[:-1])
+
+
+def table_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Thresholds of table checks: repeated control rows, and cells that hold no number."""
+    control = view(spark, folder, "table_control")
+    none = F.lit(None).cast("string")
+    results = spark.read.parquet(f"{folder.rstrip('/')}/part.parquet").select(
+        F.lit("TABLE").alias("check_level"),
+        F.when(F.col("p_size") % 7 == 0, "cdmTable").otherwise("measurePersonCompleteness").alias("check_name"),
+        F.concat(F.lit("TABLE_"), F.col("p_partkey").cast("string")).alias("cdm_table_name"),
+        *[none.alias(name) for name in ("cdm_field_name", "concept_id", "unit_concept_id", "error")],
+    )
+    known = evaluation.control_thresholds(control, "TABLE")
+    return evaluation.threshold_lookup(results, known).select(*THRESHOLD_COLUMNS)
+
+
+def concept_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Thresholds of concept checks with and without a unit, from control rows with and without one."""
+    control = view(spark, folder, "concept_control")
+    results = spark.read.parquet(f"{folder.rstrip('/')}/lineitem.parquet").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("result_id"),
+        F.lit("CONCEPT").alias("check_level"),
+        F.lit("plausibleGender").alias("check_name"),
+        F.lit("MEASUREMENT").alias("cdm_table_name"),
+        F.lit("MEASUREMENT_CONCEPT_ID").alias("cdm_field_name"),
+        F.col("l_partkey").cast("string").alias("concept_id"),
+        F.when(F.col("l_linenumber") % 2 == 1, (F.col("l_orderkey") % 6).cast("string")).alias("unit_concept_id"),
+        F.when(F.col("l_linenumber") == 5, "failed").alias("error"),
+    )
+    known = evaluation.control_thresholds(control, "CONCEPT")
     return evaluation.threshold_lookup(results, known).select(
-        "check_name", "cdm_table_name", "cdm_field_name", "threshold_value", "notes_value"
+        "result_id", "concept_id", "unit_concept_id", *THRESHOLD_COLUMNS[-3:]
     )
 
 
@@ -391,15 +425,24 @@ def flagged(add: Callable[[DataFrame], DataFrame], name: str) -> Query:
     )
 
 
+RUN_COLUMNS = (
+    "checkid", "check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id",
+    "unit_concept_id", "category", VIOLATED, PERCENT, DENOMINATOR, "error",
+    "threshold_value", "is_error", "not_applicable", "failed", "passed", "not_applicable_reason",
+)
+
+
 def run_all(spark: SparkSession, folder: str) -> DataFrame:
     """The whole run: select, count, judge."""
     run = run_checks(spark, fixture_cdm(spark, folder), fixture_controls(spark))
-    return run.results.select(
-        "checkid", "check_level", "check_name", "cdm_table_name", "cdm_field_name", "concept_id",
-        "unit_concept_id", "category", VIOLATED, PERCENT, DENOMINATOR, "error",
-        "threshold_value", "is_error", "not_applicable", "failed", "passed",
-        "not_applicable_reason",
-    )
+    return run.results.select(*RUN_COLUMNS)
+
+
+def run_cohort(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole run for the members of a cohort."""
+    members = Cohort(view(spark, folder, "cohort"), 1)
+    run = run_checks(spark, fixture_cdm(spark, folder), fixture_controls(spark, cohort=True), cohort=members)
+    return run.results.select(*RUN_COLUMNS)
 
 
 def run_overview(spark: SparkSession, folder: str) -> DataFrame:
@@ -546,6 +589,10 @@ COHORT: dict[str, Query] = {
     ),
 }
 ROWS: dict[str, Query] = {
+    "violated_rows_cohort_is_required": with_cohort(
+        lambda c, g: violations.is_required(c, M, "value_as_number", g)
+    ),
+    "violated_rows_cohort_fk_domain": with_cohort(lambda c, g: violations.fk_domain(c, M, MC, "PROMO", g)),
     "violated_rows_is_required": on_cdm(
         lambda c: violations.is_required(c, "person", "gender_concept_id")
     ),
@@ -631,6 +678,8 @@ RESULTS: dict[str, Query] = {
     "render_description": descriptions,
     "blank_to_null": blanks,
     "threshold_lookup": thresholds,
+    "threshold_lookup_table": table_thresholds,
+    "threshold_lookup_concept": concept_thresholds,
     "threshold_eval": on_history(
         lambda rows: evaluation.threshold_eval(rows).select(
             "run_id", "result_id", "is_error", "failed"
@@ -670,6 +719,7 @@ RESULTS: dict[str, Query] = {
         lambda rows: report.filter_values(evaluation.evaluate(rows, RUN), "subcategory")
     ),
     "run_checks": run_all,
+    "run_checks_cohort": run_cohort,
     "run_overview": run_overview,
 }
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,12 +66,14 @@ class Cdm(Mapping[str, DataFrame]):
     """Tables under test. Names are looked up case-insensitively; absent tables are simply absent.
 
     A table may be given as a function that opens it, or returns None if it does not exist. It is
-    called when the table is first asked for, so a run opens only the tables that it checks.
+    called when the table is first asked for, so a run opens only the tables that it checks. If it
+    fails, that is remembered: each use of the table raises the same error, and no other does.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame | Loader]):
         self._tables: dict[str, DataFrame | None] = {}
         self._closed: dict[str, Loader] = {}
+        self._failed: dict[str, Exception] = {}
         for name, table in tables.items():
             if isinstance(table, DataFrame):
                 self._tables[name.lower()] = table
@@ -82,8 +82,14 @@ class Cdm(Mapping[str, DataFrame]):
 
     def _open(self, name: str) -> DataFrame | None:
         key = name.lower()
+        if key in self._failed:
+            raise self._failed[key]
         if key not in self._tables and key in self._closed:
-            self._tables[key] = self._closed[key]()
+            try:
+                self._tables[key] = self._closed[key]()
+            except Exception as error:
+                self._failed[key] = error
+                raise
         return self._tables.get(key)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -102,6 +108,14 @@ class Cdm(Mapping[str, DataFrame]):
     def __contains__(self, name: object) -> bool:
         return isinstance(name, str) and self._open(name) is not None
 
+    def failure(self, name: str) -> Exception | None:
+        """The error of opening the table, if it cannot be opened."""
+        try:
+            self._open(name)
+        except Exception as error:
+            return error
+        return None
+
     def with_table(self, name: str, table: DataFrame) -> Cdm:
         """The same tables with one replaced."""
         return Cdm({**self._closed, **self._opened(), name.lower(): table})
@@ -192,30 +206,6 @@ def cdm_from_catalog(spark: SparkSession, names: Iterable[str], schema: str | No
     return _loaders(names, lambda name: spark.table(f"{prefix}{name}"))
 
 
-def cdm_from_jdbc(
-    spark: SparkSession,
-    url: str,
-    names: Iterable[str],
-    schema: str | None = None,
-    partitioning: Mapping[str, Mapping[str, object]] | None = None,
-    **options: object,
-) -> Cdm:
-    """Tables of a database. ``partitioning[name]`` gives the options of a parallel read:
-    ``partitionColumn``, ``lowerBound``, ``upperBound``, ``numPartitions``; a table without them is
-    read through one connection, with a warning. Unlike the other readers it lets errors of the
-    database through, because they differ between drivers."""
-    prefix = f"{schema}." if schema else ""
-    parallel = {name.lower(): spec for name, spec in (partitioning or {}).items()}
-
-    def read(name: str) -> DataFrame:
-        if name.lower() not in parallel:
-            warnings.warn(f"{name} is read through one connection: no partitioning is given", stacklevel=2)
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"{prefix}{name}")
-        return reader.options(**options, **parallel.get(name.lower(), {})).load()
-
-    return Cdm({name: partial(read, name) for name in names})
-
-
 def row_counts(cdm: Cdm) -> DataFrame:
     """(table_name, num_rows) of every table."""
     counts = [
@@ -238,7 +228,6 @@ __all__ = [
     "WEIGHT",
     "cdm_from_catalog",
     "cdm_from_files",
-    "cdm_from_jdbc",
     "row_counts",
     "spread",
 ]

@@ -46,6 +46,7 @@ LEVEL_WITHOUT = {
     "CONCEPT": ("warning",),
 }
 # Keys of the metadata record.
+CDM_SOURCE = "cdm_source"
 METADATA_KEYS = (
     "CDM_SOURCE_NAME",
     "CDM_SOURCE_ABBREVIATION",
@@ -118,7 +119,7 @@ def write_results_table(
 
 
 def read_cdm_source(
-    cdm: Cdm, version_key: str = "ENGINE_VERSION", table: str = "cdm_source"
+    cdm: Cdm, version_key: str = "ENGINE_VERSION", table: str = CDM_SOURCE
 ) -> DataFrame | None:
     """The metadata record of a report: the source table's description of itself, NULL for what it
     does not say. None if there is no such table; an error if there is more than one row."""

@@ -33,7 +33,7 @@ ANCHORS = {
     "concept_plausible_unit_any": (12, 14),
     "concept_plausible_value_low": (1, 2),
     "concept_plausible_value_high": (1, 2),
-    "cohort_is_required": (1700, 11930),
+    "cohort_is_required": (2445, 17054),
 }
 
 

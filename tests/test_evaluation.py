@@ -154,7 +154,8 @@ def test_threshold_lookup(frame):
     concepts = frame(
         "cdmTableName string, cdmFieldName string, conceptId string, unitConceptId string, "
         "plausibleGenderThreshold string",
-        [("M", "c", "7", None, "1"), ("M", "c", "7", "2", "5")],
+        [("M", "c", "7", None, "1"), ("M", "c", "7", "2", "5"), ("M", "c", "8", "2", "9"), ("M", "c", "8", "2", "6"),
+         ("M", "c", "8", "3", "7"), ("M", "c", "9", "2", "5"), ("M", "c", "9", "3", "")],
     )
     controls = Controls(None, tables, fields, concepts)
     results = frame(
@@ -168,6 +169,12 @@ def test_threshold_lookup(frame):
             ("FIELD", "fkDomain", "VISIT", "a", None, None),
             ("CONCEPT", "plausibleGender", "M", "c", "7", None),
             ("CONCEPT", "plausibleGender", "M", "c", "7", "2"),
+            # The row without a unit stands in for an unknown unit, and the strictest for a missing one.
+            ("CONCEPT", "plausibleGender", "M", "c", "7", "4"),
+            ("CONCEPT", "plausibleGender", "M", "c", "8", None),
+            ("CONCEPT", "plausibleGender", "M", "c", "8", "2"),
+            ("CONCEPT", "plausibleGender", "M", "c", "8", "4"),
+            ("CONCEPT", "plausibleGender", "M", "c", "9", None),
         ],
     )
     found = {
@@ -181,6 +188,11 @@ def test_threshold_lookup(frame):
         ("isRequired", "VISIT", "b", None, None): (None, None),
         ("fkDomain", "VISIT", "a", None, None): (None, None),
         ("plausibleGender", "M", "c", "7", None): (1.0, None),
+        ("plausibleGender", "M", "c", "7", "4"): (1.0, None),
+        ("plausibleGender", "M", "c", "8", None): (6.0, None),
+        ("plausibleGender", "M", "c", "8", "2"): (6.0, None),
+        ("plausibleGender", "M", "c", "8", "4"): (None, None),
+        ("plausibleGender", "M", "c", "9", None): (None, None),
         ("plausibleGender", "M", "c", "7", "2"): (5.0, None),
     }
 

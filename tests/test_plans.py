@@ -59,6 +59,22 @@ def test_duplicates_are_one_shuffle_with_partial_counts(cdm):
     assert "partial_count(1)" in text
 
 
+def test_checks_of_values_of_a_table_are_one_scan_and_one_shuffle(cdm):
+    """Three fields of different types, one of them judged by two standard fields."""
+    checks = {
+        "key": keyed.ValueCheck("measurement_id"),
+        "date": keyed.ValueCheck(MD),
+        "source": keyed.ValueCheck("unit_source_value", MC),
+        "other": keyed.ValueCheck("unit_source_value", "unit_concept_id"),
+    }
+    found = keyed.count_value_checks(cdm, M, checks)
+    text = plan(found)
+    assert columns(text) == [f"measurement_id,{MC},{MD},unit_concept_id,unit_source_value"]
+    assert shuffles(text) == ["hashpartitioning"] and "partial_count(1)" in text
+    alone = {key: keyed.count_value_checks(cdm, M, {key: check}).first()[1:] for key, check in checks.items()}
+    assert {row[0]: row[1:] for row in found.collect()} == alone
+
+
 def test_all_vocabulary_checks_are_one_shuffle_without_join(cdm):
     checks = {
         "known": lookup.KeyCheck(MC),
@@ -142,8 +158,8 @@ def test_a_run_scans_a_table_once_per_kind_of_check(spark, cdm):
         if group.shape[0] != "presence" and group.checks[0]["table"] == M:
             by_kind[group.shape] = len(group.checks)
     assert by_kind == {
-        ("rows", M, False): 7,
-        ("duplicates", M, "measurement_id", False): 1,
+        ("rows", M, False): 9,
+        ("values", M, False): 2,
         ("keys", M, "concept", "concept_id", False, False): 4,
         ("keys", M, "person", "person_id", False, False): 1,
         ("dates", M, "person", False): 2,

@@ -185,7 +185,7 @@ def test_report(spark, run, tmp_path):
         "startTimestamp", "endTimestamp", "executionTime", "CheckResults", "Overview",
         "Metadata", "outputFile",
     }
-    assert len(report["CheckResults"]) == report["Overview"]["countTotal"] == 57
+    assert len(report["CheckResults"]) == report["Overview"]["countTotal"] == 64
     assert set(report["CheckResults"][0]) == {
         "checkId" if name == "checkid" else name.upper() for name in RESULT_COLUMNS
     }
@@ -262,3 +262,52 @@ def test_control_names_in_any_case(spark, frame, cdm):
     assert all(r["passed"] == 0 for r in rows)
     assert {(r["check_name"], r["failed"]) for r in rows if r["failed"]} == {("cdmTable", 1)}
     assert all(r["not_applicable"] == 1 for r in rows if r["check_name"] != "cdmTable")
+
+
+@pytest.mark.parametrize("broken", ["measurement", "death", "cdm_source"])
+def test_a_failing_table_is_an_error_of_its_checks_alone(spark, controls, run, broken):
+    """Checked tables, partner tables and the source's description; the loader is called once."""
+    calls = []
+
+    def fail():
+        calls.append(broken)
+        raise OSError("disk on fire")
+
+    whole = fixture_cdm(spark, DATA)
+    cdm = Cdm({**{name: whole[name] for name in whole if name != broken}, broken: fail})
+    again = run_checks(spark, cdm, controls)
+    expected, found = by_id(run.results), by_id(again.results)
+    assert set(found) == set(expected) and calls == [broken]
+    needs = {
+        "measurement": lambda row: row["cdm_table_name"] == "MEASUREMENT",
+        "death": lambda row: row["check_name"] == "plausibleDuringLife",
+        "cdm_source": lambda row: False,
+    }[broken]
+    for key, row in found.items():
+        if needs(row):
+            assert row["is_error"] and "disk on fire" in row["error"]
+        else:
+            assert row["error"] == expected[key]["error"]
+            assert row["num_violated_rows"] == expected[key]["num_violated_rows"]
+
+
+def test_presence_opens_no_other_table(spark, frame):
+    from plumbline.operators import presence
+
+    def never():
+        raise AssertionError("opened")
+
+    cdm = Cdm({"person": frame("person_id long", [(1,)]), "death": never})
+    expected = frame("table_name string, field_name string", [("PERSON", "person_id"), ("NOTE", "x")])
+    for found in (presence.cdm_table(expected, cdm), presence.cdm_field(expected, cdm)):
+        assert sorted(row["num_violated_rows"] for row in found.collect()) == [0, 1]
+
+
+def test_unreadable_thresholds_are_errors(spark, cdm, controls):
+    fields = controls.fields.where("measureValueCompleteness = 'Yes'").withColumn(
+        "measureValueCompletenessThreshold", F.when(F.col("cdmTableName") == "PERSON", "5%").otherwise(" 20 ")
+    )
+    found = run_checks(spark, cdm, replace(controls, fields=fields), include=["PERSON", "MEASUREMENT"], names=["measureValueCompleteness"])
+    rows = {row["cdm_table_name"]: row for row in found.results.collect()}
+    assert rows["PERSON"]["error"] == "threshold is not readable: 5%" and rows["PERSON"]["is_error"] and not rows["PERSON"]["failed"]
+    assert rows["MEASUREMENT"]["error"] is None and rows["MEASUREMENT"]["threshold_value"] == 20
