@@ -34,13 +34,24 @@ def test_encoder_on_any_text(texts):
     assert [decoded(x) for x in tokens.encoder(PATH).encode(texts)] == [ids(t) for t in texts]
 
 
-def test_encoder_forgets(monkeypatch):
-    monkeypatch.setattr(tokens, "MOST_KEPT", 20)
-    own = tokens.Encoder(PATH)
-    texts = [f"word{chr(97 + i % 26)} and. more{chr(98 + i % 24)}, of\nthem" for i in range(60)]
-    for start in range(0, 60, 7):
-        some = texts[start : start + 7]
-        assert [decoded(x) for x in own.encode(some)] == [ids(t) for t in some]
+def test_encoder_on_letters_of_all_planes():
+    """Every 37th character, after, between and before what may be merged with it."""
+    letters = [chr(c) for c in range(1, 0x110000, 37) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}1{c}{c} {c}b. {c}\n{c}'s  {c}" for c in letters]
+    assert [decoded(x) for x in tokens.encoder(PATH).encode(texts)] == [ids(t) for t in texts]
+
+
+def test_long_runs_take_linear_time():
+    texts = ["x" * 300_000, " " * 300_000, "ab1" * 100_000, "é" * 100_000]
+    assert [decoded(x) for x in tokens.encoder(PATH).encode(texts)] == [ids(t) for t in texts]
+
+
+def test_other_vocabularies_are_encoded_as_they_are():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, reference = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert own.fast is None and tokens.encoder(PATH).fast is not None
+    texts = [t for t in EDGES if t]
+    assert [decoded(x) for x in own.encode(texts)] == [reference.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("texts", [EDGES, [], ["same text"] * 40])
