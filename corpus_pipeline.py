@@ -44,8 +44,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of copies and near copies: Jaccard similarity of 5-word shingles of 0.8 or more."""
-    return _kept(docs, simhash.similar_documents(docs)).dropDuplicates([KEY]).drop(KEY)
+    """One document of each group of copies and near copies: fingerprints of 3-word shingles that differ in 2 bits at most, or
+    are linked by others that do. See ``simhash.one_of_each`` for nulls, repeated rows and ties."""
+    return simhash.one_of_each(docs, words=3, radius=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -75,7 +76,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packed sequences", packed_sequences),
 ]
 
-#: Similarity of shingle sets, draws and token ids have no counterpart in SQL; see tests/llm/test_pipeline.py.
+#: Fingerprints of shingles, draws and token ids have no counterpart in SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 

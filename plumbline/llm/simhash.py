@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from itertools import chain, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -12,15 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, documents, slices
-from plumbline.llm.components import SALTS, components, connected_components
+from plumbline.llm.common import column, cut, documents, slices
+from plumbline.llm.components import connected_components
 from plumbline.llm.mixing import scramble
 
 SEED = 42
 AT_ONCE = 1 << 16
 PAIRS_AT_ONCE = 1 << 22
-FEW = 16  # of so few shingles, fingerprints may differ by more bits than the angle between the sets says
-SHINGLES_AT_ONCE = 1 << 20
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -48,22 +45,16 @@ def fingerprint(hashes: np.ndarray, width: int = 1) -> np.ndarray:
     return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
 
 
-def fingerprints(
-    docs: DataFrame, words: int = 3, width: int = 1, repeats: bool = True, ids: tuple[str, ...] = ("doc_id",), counted: bool = False
-) -> DataFrame:
-    """One row per document: the ``ids``, w0, w1, ... (the fingerprint's numbers, as signed longs). Texts without words have zeros.
-    Without ``repeats`` a shingle counts once, however often it occurs. If ``counted``, also their number, ``shingles``."""
-    names = [*[f"w{i}" for i in range(width)], *["shingles"] * counted]
+def fingerprints(docs: DataFrame, words: int = 3, width: int = 1, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: the ``ids``, w0, w1, ... (the fingerprint's numbers, as signed longs). Texts without words have zeros."""
+    names = [f"w{i}" for i in range(width)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = np.empty((part.num_rows, width + counted), np.uint64)
+                found = np.empty((part.num_rows, width), np.uint64)
                 for i, text in enumerate(part.column("text").to_pylist()):
-                    hashes = shingle_hashes(text, words)
-                    hashes = hashes if repeats else np.unique(hashes)
-                    found[i, :width] = fingerprint(hashes, width)
-                    found[i, width:] = len(hashes)
+                    found[i] = fingerprint(shingle_hashes(text, words), width)
                 columns = [pa.array(c) for c in found.view(np.int64).T.copy()]
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in ids], *columns], [*ids, *names])
 
@@ -248,263 +239,49 @@ def linked(values: DataFrame, radius: int = 2, blocks: int = 8) -> DataFrame:
     return bucket_links(rows, ["choice", "key"], 1, radius)
 
 
-def in_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The rows in runs with the same first ``keys`` columns, which are in order; runs of one row are left out."""
-    held: list[pa.Table] = []  # the last, possibly unfinished run
-    for batch in chain(batches, [None]):
-        held += [pa.Table.from_batches([batch])] if batch is not None else []
-        rows = pa.concat_tables(held).combine_chunks() if held else None
-        if rows is None or not rows.num_rows:
-            continue
-        new = np.zeros(rows.num_rows, bool)
-        for i in range(keys):
-            c = rows.column(i).to_numpy()
-            new[1:] |= c[1:] != c[:-1]
-        edges = [0, *np.flatnonzero(new).tolist(), *([rows.num_rows] if batch is None else [])]
-        for start, end in zip(edges, edges[1:], strict=False):
-            if end - start > 1:
-                yield rows.slice(start, end - start)
-        held = [rows.slice(edges[-1])]
-
-
-def true_links(
-    group: np.ndarray, part: np.ndarray, value: np.ndarray, sizes: np.ndarray, sets: np.ndarray, similarity: float, radius: int
-) -> list[tuple[int, int]]:
-    """Links (pairs of groups) that join all groups with members of at least that Jaccard similarity, among those within the
-    radius. sets: the members' sets, one after another. If there are several parts, only members of different ones meet."""
-    if (group == group[0]).all():
-        return []
-    kinds, sets = np.unique(sets, return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    own, found, root = np.zeros(len(kinds), bool), [], group.copy()
-    apart = not (part == part[0]).all()
-    for i in range(len(group) - 1):
-        size = sizes[i]
-        open_ = (root[i + 1 :] != root[i]) & (np.minimum(size, sizes[i + 1 :]) >= similarity * np.maximum(size, sizes[i + 1 :]))
-        if apart:
-            open_ &= part[i + 1 :] != part[i]
-        other = i + 1 + np.flatnonzero(open_)
-        other = other[np.bitwise_count(value[other] ^ value[i]).sum(1, dtype=np.int64) <= radius]
-        if not len(other):
-            continue
-        own[sets[starts[i] : starts[i] + size]] = True
-        begin = np.cumsum(sizes[other]) - sizes[other]
-        at = np.arange(sizes[other].sum()) + np.repeat(starts[other] - begin, sizes[other])
-        both = np.add.reduceat(own[sets[at]].astype(np.int64), begin)
-        own[sets[starts[i] : starts[i] + size]] = False
-        for j in other[both >= similarity * (size + sizes[other] - both)].tolist():
-            if root[j] != root[i]:
-                found.append((int(group[i]), int(group[j])))
-                root[root == root[j]] = root[i]
-    return found
-
-
-def checked_links(rows: DataFrame, keys: list[str], width: int, similarity: float, radius: int) -> DataFrame:
-    """``true_links`` (u, v) of all rows with the same keys. rows: the key columns, node, part, group, w0, w1, ..., set."""
-    names = [f"w{i}" for i in range(width)]
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in in_runs(batches, len(keys)):
-            group, part = run.column("group").to_numpy(), run.column("part").to_numpy()
-            value = np.stack([run.column(name).to_numpy() for name in names], axis=1).view(np.uint64)
-            sets = run.column("set").combine_chunks()
-            found = true_links(
-                group, part, value, sets.value_lengths().to_numpy().astype(np.int64), sets.flatten().to_numpy(), similarity, radius
-            )
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["u", "v"])
-
-    dealt = rows.select(*keys, "node", "part", "group", *names, "set").repartition(*keys).sortWithinPartitions(*keys, "node")
-    return dealt.mapInArrow(task, "u long, v long")
-
-
-def family_links(
-    known: DataFrame, groups: DataFrame, refuted: DataFrame, width: int, similarity: float, radius: int, block: int
-) -> DataFrame:
-    """Links (u, v) between groups that the checked forests left apart: one row per group that they join to others, node and
-    component.
-
-    A refuted edge may have taken the place of true ones between what it joins. So groups that refuted edges connect are a
-    family, and all pairs of a family that are within the radius and in different groups are checked on the sets, until they are
-    joined. The largest group of a family meets the rest, not itself; both are dealt out in blocks of about ``block`` rows (and
-    at most about ``SHINGLES_AT_ONCE`` shingles), each against each, so refuted pairs are rows nowhere.
-    """
-    names = [f"w{i}" for i in range(width)]
-    named = known.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    of = named.select("node", "group")
-    cross = (
-        refuted.join(of.select(F.col("node").alias("u"), F.col("group").alias("x")), "u")
-        .join(of.select(F.col("node").alias("v"), F.col("group").alias("y")), "v")
-        .where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
-    )
-    families = components(cross).select(F.col("node").alias("group"), F.col("component").alias("family"))
-    members = cut(named.join(families, "group").withColumn("n", F.size("set").cast("long")).drop("key"))
-    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
-    sizes = members.groupBy("family", "group", salt).agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
-    sizes = sizes.groupBy("family", "group").agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"))
-    parts = lambda rows, n: F.ceil(F.greatest(rows / block, n / SHINGLES_AT_ONCE)).cast("int")
-    sizes = sizes.groupBy("family").agg(
-        F.max_by("group", F.struct("rows", "group")).alias("main"), F.max(F.struct("rows", "group", "n")).alias("top"),
-        F.sum("rows").alias("rows"), F.sum("n").alias("n"),
-    ).select(
-        "family", "main", parts(F.col("top.rows"), F.col("top.n")).alias("main_parts"),
-        parts(F.col("rows") - F.col("top.rows"), F.col("n") - F.col("top.n")).alias("rest_parts"),
-    )
-    draw = F.xxhash64(F.lit(1), "node")
-    main = F.col("group") == F.col("main")
-    dealt = members.join(sizes, "family").withColumn(
-        "part", F.when(main, F.col("rest_parts") + F.pmod(draw, "main_parts")).otherwise(F.pmod(draw, "rest_parts")).cast("int")
-    )
-    last = F.when(main, F.col("rest_parts")).otherwise(F.col("rest_parts") + F.col("main_parts")) - 1
-    against = F.transform(
-        F.sequence(F.lit(0), last), lambda j: F.struct(F.least(j, "part").alias("a"), F.greatest(j, "part").alias("b"))
-    )
-    dealt = dealt.withColumn("c", F.explode(against)).select("family", "c.a", "c.b", "node", "part", "group", *names, "set")
-    return components(checked_links(dealt, ["family", "a", "b"], width, similarity, radius))
-
-
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 3, radius: int = 2, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, words: int = 3, radius: int = 2, doc_id: str = "doc_id", text: str = "text", ids: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (long), component_id.
+    """One row per document: doc_id, the ``ids`` (columns of longs that are passed on), fingerprint (long), component_id, component.
 
     Documents whose fingerprints differ in ``radius`` bits at most are linked; ``component_id`` is the smallest doc_id that
-    links reach. Null and empty texts have the fingerprint 0 and are linked like any other. Repeated rows each get
-    their row. A null doc_id takes part and is the smallest only where there is no other. An empty table gives no rows.
+    links reach, ``component`` the smallest fingerprint. Null and empty texts have the fingerprint 0 and are linked like any
+    other. Repeated rows each get their row. A null doc_id takes part and is the smallest only where there is no other. An
+    empty table gives no rows.
 
     Only distinct fingerprints are compared, so any number of copies costs no more than one.
     """
-    prints = cut(fingerprints(documents(docs, doc_id, text), words).withColumnRenamed("w0", "fingerprint"))
+    own = documents(docs, doc_id, text, **{f"id{i}": name for i, name in enumerate(ids)})
+    passed = tuple(f"id{i}" for i in range(len(ids)))
+    prints = cut(fingerprints(own, words, ids=("doc_id", *passed)).withColumnRenamed("w0", "fingerprint"))
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     groups = connected_components(linked(distinct.select("fingerprint"), radius))
     groups = groups.withColumnRenamed("node", "fingerprint")
     least = distinct.join(groups, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    ids = least.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = cut(least.join(ids, "component").select("fingerprint", "component_id"))
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-def enough_tables(bits: int, angle: float, key_bits: int, radius: int, miss: float) -> int:
-    """The least number of tables with which a pair whose bits differ with the probability ``angle`` lies beyond the radius
-    or shares no bucket with probability ``miss``, over all distances that it can have."""
-    ways = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-    distance = range(min(radius, bits - key_bits) + 1)
-    chance = np.exp([ways(bits, d) + d * math.log(angle) + (bits - d) * math.log1p(-angle) for d in distance])
-    alone = 1 - np.exp([ways(bits - d, key_bits) - ways(bits, key_bits) for d in distance])
-    tables = 1
-    while 1 - chance.sum() + (chance * alone**tables).sum() > miss and tables < 1_000:
-        tables += 1
-    return tables
-
-
-def in_blocks(rows: DataFrame, own: list[str], block: int) -> DataFrame:
-    """The rows with a, b and part: each two rows with the same ``own`` meet under some a and b, with few over ``2 * block`` rows."""
-    large = rows.groupBy(*own, F.pmod(own[-1], F.lit(SALTS))).agg(F.count("*").alias("n")).where(F.col("n") > block)
-    large = large.select(*own, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    part = F.pmod(F.xxhash64(F.lit(1), "node"), "blocks").cast("int")
-    against = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.struct(F.least(j, "part").alias("a"), F.greatest(j, "part").alias("b")),
+    first = least.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = cut(least.join(first, "component").select("fingerprint", "component_id", "component"))
+    return prints.join(named, "fingerprint").select(
+        "doc_id", *[F.col(p).alias(name) for p, name in zip(passed, ids, strict=True)], "fingerprint", "component_id", "component"
     )
-    dealt = rows.join(large, own, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("part", part)
-    return dealt.withColumn("c", F.explode(against)).select("*", "c.a", "c.b").drop("c", "blocks")
-
-
-def few_links(known: DataFrame, width: int, similarity: float, block: int) -> DataFrame:
-    """All links (u, v) of sets with at most FEW / ``similarity`` shingles, exactly: of n shingles in order, two linked sets
-    share one of the first n - ceil(n * similarity) + 1, and meet there."""
-    n = F.size("set")
-    first = F.slice("set", F.lit(1), n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
-    rows = known.where(n <= FEW / similarity).withColumn("shingle", F.explode(first)).withColumn("group", F.col("node"))
-    return checked_links(in_blocks(rows, ["shingle"], block), ["shingle", "a", "b"], width, similarity, 64 * width)
-
-
-def similar_documents(
-    docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    width: int = 4,
-    miss: float = 0.005,
-    block: int = 1_024,
-    seed: int = 13,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, key (XXH64 of doc_id and text), component_id (smallest doc_id reachable), kept. Repeated
-    rows, equal in both, have one row.
-
-    Documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least ``similarity``. Texts
-    with the same set are linked; texts without words are linked to nothing and kept. ``kept`` is true for one row of
-    each component: that of the smallest doc_id, null first, and of its rows the one with the least key.
-
-    Candidates are pairs whose fingerprints of 64 * ``width`` bits are near each other. At the least similarity a bit differs with
-    probability p, the angle between the sets over pi. Each table keys fingerprints by a few random bits, as many as make
-    buckets of about 64. Buckets are compared in bit slices within a radius four deviations beyond the mean, and larger ones
-    block against block. There are enough tables that a pair at the least similarity is beyond the radius or shares no
-    bucket with probability ``miss``. Sets of few shingles are also compared exactly (``few_links``). The pairs of their shortest spanning forests are then checked on the shingles themselves. Only true ones
-    join; where others had taken the place of true ones, all pairs within the radius are checked (``family_links``).
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """The documents without near duplicates: of each component of ``near_duplicates``, the row with the smallest doc_id (null
+    first; of several, the least by a hash of all columns) stays, with all its columns, whatever their names.
+
+    Rows that are equal in all columns are one. Null and empty texts are one component. An empty table gives no rows. Columns
+    must not be maps, which have no hash. A row is known by 128 bits of all its columns. Repeated rows are made one per task before
+    texts are shuffled, which happens once.
     """
-    rows = documents(docs, doc_id, text).withColumn("key", F.xxhash64("doc_id", "text"))
-    bits = 64 * width
-    names = [f"w{i}" for i in range(width)]
-    prints = fingerprints(rows, words, width, repeats=False, ids=("doc_id", "key"), counted=True)
-    some = F.greatest(*[F.col(w) != 0 for w in names])
-    prints = cut(prints.withColumn("node", F.when(some, F.xxhash64(*names))).dropDuplicates(["key"]))
-    distinct = cut(
-        prints.where("node IS NOT NULL").groupBy("node", *names)
-        .agg(F.min("key").alias("key"), F.min_by("shingles", "key").alias("shingles"))
-    )
-    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = int(bits * angle + 4 * math.sqrt(bits * angle * (1 - angle)))
-    key_bits = max(4, math.ceil(math.log2(max(distinct.count(), 1) / 64 + 1)))
-    tables = enough_tables(bits, angle, key_bits, radius, miss)
-    rng = np.random.default_rng(seed)
-    masks = np.zeros((tables, width), np.uint64)
-    for t in range(tables):
-        for bit in rng.choice(bits, key_bits, replace=False).tolist():
-            masks[t, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
-    mask_rows = F.array(*[F.array(*[F.lit(signed(int(m))) for m in row]) for row in masks])
-    keyed = distinct.select("node", *names, F.posexplode(mask_rows).alias("table", "mask")).withColumn(
-        "bits", F.xxhash64(*[F.col(w).bitwiseAND(F.col("mask")[i]) for i, w in enumerate(names)])
-    ).drop("mask")
-    own = ["table", "bits"]
-    dealt = in_blocks(keyed, own, block)
-    pairs = bucket_links(dealt, [*own, "a", "b"], width, radius)
-    pairs = cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-
-    # The sets of what is in a pair or has few shingles, from one document of each fingerprint.
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node"))
-    nodes = nodes.union(distinct.where(F.col("shingles") <= FEW / similarity).select("node")).distinct()
-    nodes = nodes.join(distinct.drop("shingles"), "node")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in slices(batch):
-                found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in some.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "set"])
-
-    known = rows.select("key", "text").join(nodes.select("node", "key"), "key").select("node", "text").dropDuplicates(["node"])
-    known = cut(known.mapInArrow(sets, "node long, set array<long>"))
-    both = F.size(F.array_intersect("u_set", "v_set"))
-    checked = cut(
-        pairs.join(known.select(F.col("node").alias("u"), F.col("set").alias("u_set")), "u")
-        .join(known.select(F.col("node").alias("v"), F.col("set").alias("v_set")), "v")
-        .select("u", "v", (both >= F.lit(similarity) * (F.size("u_set") + F.size("v_set") - both)).alias("holds"))
-    )
-    few = few_links(known.join(nodes, "node"), width, similarity, block)
-    groups = components(checked.where("holds").select("u", "v").union(few)).withColumnRenamed("component", "group")
-    joined = family_links(known.join(nodes, "node"), groups, checked.where("NOT holds"), width, similarity, radius, block)
-    joined = joined.withColumnRenamed("node", "group").withColumnRenamed("component", "wider")
-    # A document alone so far is a group of its own; the node of each is its least one.
-    every = nodes.select("node").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    groups = every.join(joined, "group", "left").select("node", F.coalesce("wider", "group").alias("group"))
-    named = prints.select("doc_id", "key", "node").join(groups, "node", "left")
-    named = named.withColumn("group", F.coalesce("group", "node", "key"))
-    best = named.groupBy("group", F.pmod("group", F.lit(SALTS))).agg(F.min(F.struct("doc_id", "key")).alias("best"))
-    return named.join(best.select("group", "best"), "group").select(
-        "doc_id", "key", F.col("best.doc_id").alias("component_id"), (F.col("key") == F.col("best.key")).alias("kept")
-    )
+    cells = [cell for name in docs.columns for cell in (column(docs, name).isNull(), column(docs, name))]
+    keys = ["key1", "key2"]
+    every = F.struct(*[column(docs, name) for name in docs.columns]).alias("row")
+    rows = docs.select(every, *[F.xxhash64(F.lit(i), *cells).alias(key) for i, key in enumerate(keys)])
+    texts = rows.select("row.doc_id", "row.text", *keys)
+    found = near_duplicates(texts, words, radius, ids=tuple(keys))
+    best = found.groupBy("component").agg(F.min(F.struct("doc_id", *keys)).alias("best")).select("best.key1", "best.key2")
+    return rows.dropDuplicates(keys).join(best, keys, "left_semi").select("row.*")

@@ -6,8 +6,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from llm.test_quality import words
-from llm.test_simhash import shingles
-from llm.test_tokens import ids
+from llm.test_simhash import groups, slow_fingerprint
+from llm.test_tokens import ids as token_ids
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def stages(spark, tmp_path_factory):
             copy[len(copy) // 2] = "edited"
             rows += [(1000 + i, text), (2000 + i, " ".join(copy))]
     junk = {3000: " ".join(f"{w}###" for w in clean[0].split()), 3001: "short", 3002: None, 3003: "", 3004: "again and " * 90}
-    rows += list(junk.items()) + [(7, rows[7][1])] * 0
+    rows += list(junk.items()) + [rows[7], rows[30]]  # repeated rows
     folder = tmp_path_factory.mktemp("pipeline")
     table = pa.table({
         "doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()),
@@ -54,14 +54,11 @@ def test_quality_removes_junk_alone(stages):
 
 def test_one_of_each_group_stays(stages):
     rows, *_ = stages
-    sets = {r.doc_id: shingles(r.text) for r in rows[1]}
-    kept = {r.doc_id for r in rows[2]}
-    assert len(rows[2]) == len(kept)
-    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    for i in kept:
-        assert not any(near(i, j) for j in kept if i < j)
-    for i in set(sets) - kept:
-        assert any(near(i, j) for j in kept)
+    prints = {r.doc_id: slow_fingerprint(r.text) for r in rows[1]}
+    assert len(prints) < len(rows[1])  # some rows are repeated
+    ids = sorted(prints)
+    first = groups(ids, [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (prints[a] ^ prints[b]).bit_count() <= 2])
+    assert sorted(r.doc_id for r in rows[2]) == sorted({first[i] for i in prints})
 
 
 def test_repeats_keep_their_first_copy(stages):
@@ -70,7 +67,12 @@ def test_repeats_keep_their_first_copy(stages):
     assert [r.doc_id for r in rows[3] if passage in r.text] == [min(r.doc_id for r in rows[2] if passage in r.text)]
     with_it = {r.doc_id for r in rows[2] if passage in r.text}
     before = {r.doc_id: r.text for r in rows[2]}
-    assert len(with_it) > 10 and all(r.text == before[r.doc_id] for r in rows[3] if r.doc_id not in with_it)
+    assert len(with_it) > 10
+    for r in rows[3]:
+        if r.doc_id >= 2000 and r.doc_id - 2000 in before:  # an edited copy: both halves occur earlier, but for its edge
+            assert len(r.text) < len(before[r.doc_id]) / 2 or len(before[r.doc_id]) < 800
+        elif r.doc_id not in with_it:
+            assert r.text == before[r.doc_id]
 
 
 def test_mix_takes_from_the_texts(stages):
@@ -90,7 +92,7 @@ def test_packing_is_lossless(stages):
     windows = defaultdict(int)
     for r in rows[5]:
         windows[r.sequence_id] += r.length
-    assert sum(windows.values()) == sum(len(ids(r.text)) + 1 for r in rows[4])
+    assert sum(windows.values()) == sum(len(token_ids(r.text)) + 1 for r in rows[4])
     assert all(n == 1024 or n & (n - 1) == 0 for n in windows.values())
 
 

@@ -84,79 +84,24 @@ def test_components_of_a_path_a_star_and_loops(spark, frame):
     assert connected_components(frame("u long, v long", [])).count() == 0
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def test_similar_documents_by_brute_force(documents):
-    rng = np.random.default_rng(8)
-    texts = {}
-    for base in range(12):
-        words = [f"w{x}" for x in rng.integers(0, 10_000, 300)]
-        for copy in range(6):
-            edited = list(words)
-            for at in rng.integers(0, 300, [0, 1, 3, 5, 12, 40][copy]):
-                edited[at] = "changed"
-            texts[len(texts)] = " ".join(edited)
-    texts |= {900: None, 901: "", 902: " ", 903: "a b", 904: "a b", 905: texts[0].upper()}
-    found = simhash.similar_documents(documents(list(texts.items()))).collect()
-    got = {r.doc_id: r.component_id for r in found}
-    sets = {i: shingles(t) for i, t in texts.items()}
-    near = [(a, b) for a in texts for b in texts if a < b and sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    assert got == groups(texts, near)
-    assert {r.doc_id for r in found if r.kept} == set(got.values())
-
-
-def family(rng, size, n_words=200, most=9):
-    """Texts of one template with up to ``most`` changed words: similarities from 0.6 to 0.9, most below 0.8."""
-    base = [f"t{x}" for x in rng.integers(0, 1 << 40, n_words)]
-    texts = []
-    for i in range(size):
-        edited = list(base)
-        for at in rng.choice(n_words, int(rng.integers(2, most)), replace=False):
-            edited[at] = f"e{rng.integers(0, 1 << 40)}"
-        texts.append(" ".join(edited))
-    return texts
-
-
-def test_refuted_candidates_hide_no_true_pairs(documents):
-    rng = np.random.default_rng(21)
-    texts = dict(enumerate(family(rng, 300, most=7) + family(rng, 100, most=9) + family(rng, 60, 20)))
-    sets = {i: shingles(t) for i, t in texts.items()}
-    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in texts for b in texts if a < b}
-    want = groups(texts, [p for p, x in share.items() if x >= 0.8])
-    assert sum(0.7 <= x < 0.8 for x in share.values()) > 10_000 and 2 < len(set(want.values())) < len(texts)
-    for block in (1024, 32):
-        found = {r.doc_id: r.component_id for r in simhash.similar_documents(documents(list(texts.items())), block=block).collect()}
-        assert found == want
-
-
-def test_recall_of_isolated_pairs(documents):
-    rng = np.random.default_rng(33)
-    texts = {}
-    for i in range(1_000):  # at the least similarity
-        base = [f"b{x}" for x in rng.integers(0, 1 << 40, int(rng.integers(100, 200)))]
-        n = len(base) - 4
-        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join(base[: -(-n * 8 // 10) + 4])
-    for i in range(300):  # 4 against 5 shingles
-        base = [f"f{x}" for x in rng.integers(0, 1 << 40, 9)]
-        texts[10_000 + 2 * i], texts[10_001 + 2 * i] = " ".join(base), " ".join(base[:8])
-    found = {r.doc_id: r.component_id for r in simhash.similar_documents(documents(list(texts.items()))).collect()}
-    assert all(found[i] == i - i % 2 for i in found if i % 2 == 0)
-    lost = [i for i in found if i % 2 and found[i] != i - 1]
-    print(f"lost: {sum(i < 10_000 for i in lost)} of 1000 at 0.8, {sum(i >= 10_000 for i in lost)} of 300 short ones")
-    assert all(i < 10_000 for i in lost) and len(lost) <= 10
-
-
-def test_similar_documents_in_blocks(documents):
-    base = [f"w{i}" for i in range(200)]
-    texts = {i: " ".join([*base[: i * 3], "x", *base[i * 3 + 1 :]]) for i in range(40)}
-    found = simhash.similar_documents(documents(list(texts.items())), block=8)
-    assert found.agg(F.countDistinct("component_id"), F.sum(F.col("kept").cast("int"))).first()[:] == (1, 1)
-
-
-def test_similar_documents_repeated_rows_and_nothing(documents):
-    found = simhash.similar_documents(documents([(1, "a b c d e f")] * 3 + [(1, "other text"), (2, "a b c d e f")])).collect()
-    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [(1, 1, True), (1, 1, True), (2, 1, False)]
-    assert simhash.similar_documents(documents([])).count() == 0
+def test_one_of_each_component_stays(spark, documents):
+    """Repeated rows, rows with one doc_id, null ids and texts; all columns come back, whatever their names."""
+    long = " ".join(f"w{i}" for i in range(3000))
+    rows = [
+        (5, long, "en", "a"), (3, long + " end", "en", "b"), (3, long + " end", "en", "b"), (None, "alone in the world", "de", None),
+        (7, None, None, None), (6, "", "x", None), (8, "two words", "en", "a"), (8, "two words", "en", "b"), (8, "other words here", "en", "a"),
+    ]
+    docs = documents(rows)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=str)
+    assert found == sorted(
+        [(3, long + " end", "en"), (None, "alone in the world", "de"), (6, "", "x"), (8, "two words", "en"), (8, "other words here", "en")],
+        key=str,
+    )
+    assert simhash.one_of_each(documents([])).count() == 0
+
+
+def test_one_of_each_on_given_documents(sf_documents):
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(sf_documents).collect()}
+    assert sorted(r.doc_id for r in simhash.one_of_each(sf_documents).collect()) == sorted(set(found.values()))
