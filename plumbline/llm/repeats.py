@@ -95,30 +95,61 @@ def text_zones(docs: DataFrame, least: int) -> DataFrame:
     return docs.select("doc_id", "key", "text").mapInArrow(task, schema)
 
 
-def suffix_blocks(groups: np.ndarray, suffixes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which suffixes have their whole prefix in common with an earlier one, and which with a later one.
-
-    suffixes: (n, length) bytes, the first ``length`` of each suffix; only those of one group are compared; order: positions.
-    In suffix order, suffixes with a common prefix of that length lie side by side. With ties in order of
-    position, the previous smaller position of a suffix is its neighbour before, if that has the whole prefix in
-    common, and the next one of the symmetric array is its neighbour after: whether the longest previous (next) factor reaches
-    ``length`` is all that is asked of it.
+def nearest_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each suffix, in suffix order, the length that it has in common with the nearest suffix before it in that order whose
+    position is smaller; 0 if there is none. ``lcp[i]`` is the length that suffix i has in common with suffix i - 1.
+
+    All candidates move at once: as long as a suffix's candidate has a greater position, the candidate's own one takes its place,
+    since all between the two have greater positions still.
+    """
+    n = len(position)
+    candidate, common = np.arange(-1, n - 1), lcp.copy()
+    common[:1] = 0
+    open_ = np.arange(n)
+    while len(open_):
+        at = candidate[open_]
+        open_ = open_[(at >= 0) & (position[at] > position[open_])]
+        at = candidate[open_]
+        # Both are read before either is written: a candidate may move in the same step.
+        jump, shared = candidate[at], np.minimum(common[open_], common[at])
+        candidate[open_], common[open_] = jump, shared
+    return np.where(candidate >= 0, common, 0)
+
+
+def longest_factors(position: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor of each suffix, in suffix order: the greatest length that it has in common with a
+    suffix of a smaller (greater) position. It is shared with the nearest such suffix before or after it in suffix order:
+    previous and next smaller values of the positions."""
+    backwards = np.append(0, lcp[:0:-1])
+    both = lambda order: np.maximum(
+        nearest_smaller(order, lcp), nearest_smaller(order[::-1], backwards)[::-1]
+    )
+    return both(position), both(-position)
+
+
+def suffix_factors(groups: np.ndarray, suffixes: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``longest_factors`` of suffixes, as they come, among those of the same group.
+
+    suffixes: (n, length) bytes, the first ``length`` of each suffix, which bounds the factors; position: where they start in the
+    corpus, all different.
     """
     n, length = suffixes.shape
     ranked = np.empty((n, length + 8), np.uint8)
     ranked[:, :8] = groups.astype(">u8").view(np.uint8).reshape(n, 8)
     ranked[:, 8:] = suffixes
-    text = ranked.view(f"S{length + 8}").ravel()
-    by_position = np.argsort(order, kind="stable")
-    rank = by_position[np.argsort(text[by_position], kind="stable")]
-    same = text[rank[1:]] == text[rank[:-1]]
-    earlier, later = np.zeros(n, bool), np.zeros(n, bool)
-    earlier[rank[1:]], later[rank[:-1]] = same, same
-    return earlier, later
+    rank = np.argsort(ranked.view(f"S{length + 8}").ravel(), kind="stable")
+    in_order = ranked[rank]
+    differ = in_order[1:] != in_order[:-1]
+    lcp = np.zeros(n, np.int64)
+    lcp[1:] = np.where(differ.any(axis=1), np.maximum(differ.argmax(axis=1) - 8, 0), length)
+    previous, following = np.empty(n, np.int64), np.empty(n, np.int64)
+    previous[rank], following[rank] = longest_factors(position[rank], lcp)
+    return previous, following
 
 
-def repeated_spans(docs: DataFrame, least: int, keep_first: bool) -> DataFrame:
-    """key, begin, end: parts of texts to remove, in bytes. docs: doc_id, key, text.
+def repeated_spans(docs: DataFrame, least: int, keep_first: bool, unique: bool) -> DataFrame:
+    """key, begin, end: parts of texts to remove, in bytes. docs: doc_id, key, text; if not ``unique``, rows may share a key, and
+    then share their text.
 
     First by zones: those that share their anchor with another zone anywhere are looked at, and equal zones are repeats as a
     whole. Then, for anchors with several kinds of zones, one zone of each kind (its first) is resolved window by window among
@@ -139,6 +170,8 @@ def repeated_spans(docs: DataFrame, least: int, keep_first: bool) -> DataFrame:
         (F.shiftright("place", 20) + F.col("place").bitwiseAND(1023) + (least - 1)).alias("end"),
     )
 
+    # Rows with one key are one text here: it must not be found to repeat itself.
+    docs = docs if unique else docs.dropDuplicates(["key"])
     several = cut(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     edges = kinds.join(several, "h").select("h", "kinds", "first.key", "first.place")
     few = edge_windows(docs, edges.where(F.col("kinds") <= MOST_IN_A_TASK), least)
@@ -232,7 +265,7 @@ def resolved(rows: pa.RecordBatch, least: int, keep_first: bool) -> Iterator[pa.
         position = np.lexsort((at, start[row], part.column("key").to_numpy()[row], ids[row]))
         order = np.empty(len(row), np.int64)
         order[position] = np.arange(len(row))
-        earlier, later = np.zeros(len(row), bool), np.zeros(len(row), bool)
+        previous, following = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
         by_group = np.argsort(groups, kind="stable")
         cuts = [0]
         edges = np.flatnonzero(np.append(groups[by_group][1:] != groups[by_group][:-1], True)) + 1
@@ -242,8 +275,8 @@ def resolved(rows: pa.RecordBatch, least: int, keep_first: bool) -> Iterator[pa.
         windows = np.lib.stride_tricks.sliding_window_view(zones, least)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             some = by_group[a:b]
-            earlier[some], later[some] = suffix_blocks(groups[some], windows[byte[some]], order[some])
-        gone = earlier if keep_first else earlier | later
+            previous[some], following[some] = suffix_factors(groups[some], windows[byte[some]], order[some])
+        gone = previous >= least if keep_first else np.maximum(previous, following) >= least
         hit = np.flatnonzero(gone)
         if not len(hit):
             continue
@@ -298,12 +331,13 @@ def remove_repeats(
         raise ValueError(f"repeats are of {GRAM + 1} to 1000 bytes")
     rows = documents(docs, doc_id, text, **more)
     ids = rows.groupBy("doc_id").count()
-    if ids.where("count > 1 OR doc_id IS NULL").isEmpty():
+    unique = ids.where("count > 1 OR doc_id IS NULL").isEmpty()
+    if unique:
         key = F.coalesce("doc_id", F.lit(0))  # never null, and says so
     else:
         key = F.xxhash64("doc_id", "text")
     rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", key)
-    spans = repeated_spans(rows, least, keep_first)
+    spans = repeated_spans(rows, least, keep_first, unique)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("found"))
     names = ["doc_id", *more]
 

@@ -101,3 +101,29 @@ def test_anchors_depend_on_the_window_alone():
 def test_merged():
     spans = pa.array([[{"begin": 5, "end": 9}, {"begin": 0, "end": 2}, {"begin": 9, "end": 12}, {"begin": 6, "end": 7}]])
     assert repeats.merged(spans[0]) == [(0, 2), (5, 12)]
+
+
+def test_longest_factors_by_brute_force():
+    """Suffixes of small texts, cut to 12 bytes, in two groups."""
+    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))
+    for n in (0, 1, 2, 40, 300):
+        raw = RNG.integers(0, 2, n + 12).astype(np.uint8)
+        raw[n // 2 : n // 2 + 9] = 0
+        suffixes = np.lib.stride_tricks.sliding_window_view(raw, 12)[:n]
+        groups, position = RNG.integers(0, 2, n), RNG.permutation(n)
+        previous, following = repeats.suffix_factors(groups, suffixes, position)
+        texts = [s.tolist() for s in suffixes]
+        for i in range(n):
+            others = [j for j in range(n) if groups[j] == groups[i]]
+            assert previous[i] == max([common(texts[i], texts[j]) for j in others if position[j] < position[i]], default=0)
+            assert following[i] == max([common(texts[i], texts[j]) for j in others if position[j] > position[i]], default=0)
+
+
+def test_first_copies_stay_in_repeated_rows(documents):
+    """A passage inside of two texts, the first of which is there three times: it stays in all three."""
+    passage = noise(300)
+    one, two = noise(300) + passage + noise(150), noise(250) + passage + noise(220)
+    found = repeats.remove_repeats(documents([(1, one), (2, two), (1, one), (1, one)]), keep_first=True).collect()
+    assert Counter((r.doc_id, bytes(r.kept).decode()) for r in found) == {(1, one): 3, (2, two.replace(passage, "")): 1}
+    found = repeats.remove_repeats(documents([(1, one), (2, two), (1, one)]), keep_first=False).collect()
+    assert Counter((r.doc_id, bytes(r.kept).decode()) for r in found) == {(1, ""): 2, (2, two.replace(passage, "")): 1}
