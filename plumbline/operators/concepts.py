@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.counting import (
@@ -22,6 +22,7 @@ from plumbline.functions.counting import (
     col,
     tally,
 )
+from plumbline.functions.search import leading
 from plumbline.functions.values import split_list
 from plumbline.operators.lookup import key_type
 from plumbline.sources.cdm import Cdm, Cohort
@@ -71,48 +72,89 @@ def unit_list(text: Column) -> Column:
     return F.when(~F.coalesce(F.trim(text), F.lit("")).isin(*NO_UNITS), parts)
 
 
+IDS = ("concept_id", "unit_concept_id")
+
+
+def _value_counts(control: DataFrame, counted: DataFrame) -> DataFrame:
+    """Low and high checks from rows counted per concept, unit and place between the bounds.
+
+    The i-th of the sorted bounds is broken, if low, by the rows with at most i bounds below them and,
+    if high, by those with more. So the counts are put on one line with the checks, and running sums
+    along it are the answers: no count meets more than one check."""
+    line = [*IDS, "kind", "at", "n", CHECK_KEY]
+    rules = control.where(F.col("kind").isin(LOW, HIGH) & F.col("concept_id").isNotNull() & F.col("unit_concept_id").isNotNull())
+    bound = F.when(F.col("kind") == LOW, F.col("low")).otherwise(F.col("high"))
+    order = Window.partitionBy(*IDS, "kind").orderBy(bound.asc_nulls_last())
+    # A check without a bound is broken by nothing: it lies before all places if low, after all if high.
+    place = F.when(bound.isNotNull(), F.dense_rank().over(order) - 1).when(F.col("kind") == LOW, -1).otherwise(2**31 - 1)
+    asked = rules.select(*IDS, "kind", place.cast("int").alias("at"), F.lit(None).cast("bigint").alias("n"), CHECK_KEY)
+    places = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_at").alias("at")) for kind in (LOW, HIGH)])
+    found = counted.where("low_at IS NOT NULL").select(
+        *IDS, "n", F.inline(places), F.lit(None).cast("string").alias(CHECK_KEY)
+    )
+    found = found.groupBy(*IDS, "kind", "at", CHECK_KEY).agg(F.sum("n").alias("n")).select(*line)
+    whole = Window.partitionBy(*IDS, "kind")
+    so_far = whole.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    total, upto = (F.coalesce(F.sum("n").over(w), F.lit(0)) for w in (whole, so_far))
+    violated = F.when(F.col("kind") == LOW, F.col("upto")).otherwise(F.col("total") - F.col("upto"))
+    answered = asked.select(*line).unionByName(found).withColumns({"total": total, "upto": upto})
+    return answered.where(F.col(CHECK_KEY).isNotNull()).select(
+        CHECK_KEY, violated.cast("bigint").alias(VIOLATED), F.col("total").cast("bigint").alias(DENOMINATOR)
+    )
+
+
+def _unit_counts(control: DataFrame, counted: DataFrame) -> DataFrame:
+    """Unit checks from rows counted per concept and unit."""
+    rules = control.where(F.col("kind") == UNITS).select(
+        CHECK_KEY, F.col("concept_id").alias("rule_concept"), unit_list(F.col("units")).alias("unit_ids")
+    )
+    units = counted.where("has_source_unit").groupBy(*IDS).agg(F.sum("n").alias("n"))
+    unit = F.col("unit_concept_id")
+    violated = F.when(F.col("unit_ids").isNull(), unit.isNotNull()).otherwise(~F.array_contains("unit_ids", unit))
+    return (
+        units.join(rules, F.col("concept_id") == F.col("rule_concept"))
+        .groupBy(CHECK_KEY)
+        .agg(tally(violated, F.col("n")).alias(VIOLATED), tally(None, F.col("n")).alias(DENOMINATOR))
+    )
 
 
 def count_value_checks(
     cdm: Cdm, table: str, field: str, control: DataFrame, cohort: Cohort | None = None
 ) -> DataFrame:
-    """Unit and value checks of all control rows of (table, field) in one scan."""
+    """Unit and value checks of all control rows of (table, field) in one scan.
+
+    The bounds of a concept and unit are one row with two sorted arrays, so a checked row meets one row,
+    however many checks there are, and looks up its place between the bounds. Rows are counted per
+    concept, unit and place before they move, and only the counts meet the checks."""
     rows = cdm.rows(table, cohort)
     facts = rows.df.where(col("value_as_number").isNotNull()).select(
-        col(field).cast("bigint").alias("fact_concept"),
-        col("unit_concept_id").cast("bigint").alias("fact_unit"),
-        col("value_as_number").alias("fact_value"),
-        col("unit_source_value").isNotNull().alias("fact_has_source_unit"),
+        col(field).cast("bigint").alias("concept_id"),
+        col("unit_concept_id").cast("bigint").alias("unit_concept_id"),
+        col("value_as_number").alias("value"),
+        col("unit_source_value").isNotNull().alias("has_source_unit"),
         rows.times.alias("times"),
     )
-    rules = control.where(F.col("kind") != GENDER).select(
-        CHECK_KEY,
-        "kind",
-        "concept_id",
-        "unit_concept_id",
-        unit_list(F.col("units")).alias("unit_ids"),
-        "low",
-        "high",
-    )
-    by_value = F.col("kind").isin(LOW, HIGH)
-    applies = F.when(by_value, F.col("fact_unit") == F.col("unit_concept_id")).otherwise(
-        F.col("fact_has_source_unit")
-    )
-    violated = (
-        F.when(F.col("kind") == LOW, F.col("fact_value") < F.col("low"))
-        .when(F.col("kind") == HIGH, F.col("fact_value") > F.col("high"))
-        .when(F.col("unit_ids").isNull(), F.col("fact_unit").isNotNull())
-        .otherwise(~F.array_contains("unit_ids", F.col("fact_unit")))
+    own = F.col("concept_id").alias("own_concept")
+    wanted = control.where((F.col("kind") != GENDER) & F.col("concept_id").isNotNull()).select(own).distinct()
+    sorted_set = lambda kind: F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col(kind))))
+    bounds = (
+        control.where(F.col("kind").isin(LOW, HIGH))
+        .groupBy(own, F.col("unit_concept_id").alias("own_unit"))
+        .agg(sorted_set(LOW).alias("lows"), sorted_set(HIGH).alias("highs"))
     )
-    return (
-        facts.join(rules, F.col("fact_concept") == F.col("concept_id"))
-        .where(applies)
-        .groupBy(CHECK_KEY)
-        .agg(
-            tally(violated, F.col("times")).alias(VIOLATED),
-            tally(None, F.col("times")).alias(DENOMINATOR),
+    same = (F.col("concept_id") == F.col("own_concept")) & (F.col("unit_concept_id") == F.col("own_unit"))
+    placed = facts.join(wanted, F.col("concept_id") == F.col("own_concept"), "left_semi").join(bounds, same, "left")
+    value = F.col("value")
+    counted = (
+        placed.select(
+            *IDS, "has_source_unit", "times",
+            F.when(F.col("lows").isNotNull(), leading(F.col("lows"), lambda low: low <= value)).alias("low_at"),
+            F.when(F.col("highs").isNotNull(), leading(F.col("highs"), lambda high: high < value)).alias("high_at"),
         )
-    )
+        .groupBy(*IDS, "has_source_unit", "low_at", "high_at")
+        .agg(F.sum("times").alias("n"))
+    )
+    return _value_counts(control, counted).unionByName(_unit_counts(control, counted))
 
 
 def count_gender_checks(

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.counting import check_counts, col, tally, to_long
+from plumbline.functions.search import leading
 from plumbline.functions.values import as_date, has_time_of_day
 from plumbline.operators.lookup import key_type
 from plumbline.operators.rowwise import (
@@ -64,35 +65,15 @@ class Limits:
     measures: tuple[str, ...]
 
 
-def _searched(limits: Column, place: Column) -> Column:
-    """Number of limits before the place, of sorted (at, upto) pairs of which the first is before it.
-    Halves the list as often as its length has binary digits."""
-    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(limits).cast("bigint"))))
-
-    def halve(found: Column, _: Column) -> Column:
-        low, high = found["low"], found["high"]
-        middle = F.shiftright(low + high, 1)
-        is_before = F.get(limits, middle)["at"] < place
-        return F.when(low >= high, found).otherwise(
-            F.struct(
-                F.when(is_before, middle + 1).otherwise(low).alias("low"),
-                F.when(is_before, high).otherwise(middle).alias("high"),
-            )
-        )
-
-    start = F.struct(F.lit(0).alias("low"), F.size(limits).alias("high"))
-    last = F.aggregate(halvings, start, halve, lambda found: found["low"] - 1)
-    return F.get(limits, last)["upto"]
-
-
 def before(measure: str, place: Column) -> Column:
     """Number of limits before a place that is not NULL. Most keys have one limit, and most dates
     lie outside of several: then nothing is searched."""
     first, last = F.col(f"first_{measure}"), F.col(f"last_{measure}")
+    limits = F.col(f"all_{measure}")
     return (
         F.when(first.isNull() | (place <= first), F.lit(0).cast("bigint"))
         .when(place > last, F.col(f"n_{measure}"))
-        .otherwise(_searched(F.col(f"all_{measure}"), place))
+        .otherwise(F.get(limits, leading(limits, lambda limit: limit["at"] < place) - 1)["upto"])
     )
 
 

@@ -8,7 +8,7 @@ result, so these are joins; adaptive execution splits a key that dominates eithe
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +50,51 @@ def _partner(
     return rows, col(key).cast(as_type) == F.col(OTHER)
 
 
+def tagged_rows(
+    cdm: Cdm,
+    table: str,
+    rules: Mapping[str, rowwise.RowRule],
+    key_checks: Mapping[str, lookup.KeyCheck] | None = None,
+    cohort: Cohort | None = None,
+) -> DataFrame:
+    """The rows of a table that break any of many checks, each once (with a cohort: once per membership), with the
+    names of the checks they break in ``violated_checks``, in order.
+
+    All row rules are judged in one scan. ``key_checks`` are vocabulary rules, or None for keys that must be known; each of
+    their fields is one join with a partner that has one row per concept, and rows are not multiplied."""
+    rows, tags, helpers = cdm.member_rows(table, cohort), {}, []
+    names = list(rows.columns)
+    for name, rule in rules.items():
+        tags[name] = rule.violated
+    by_field: dict[str, dict[str, lookup.KeyCheck]] = {}
+    for name, check in (key_checks or {}).items():
+        by_field.setdefault(check.field, {})[name] = check
+    for i, (field, checks) in enumerate(by_field.items()):
+        key, broken = f"__key{i}", {name: f"__broken{i}_{j}" for j, name in enumerate(checks)}
+        as_type = lookup.key_type([cdm.datatype(table, field), cdm.datatype(lookup.CONCEPT, lookup.CONCEPT_KEY)])
+        partner = cdm[lookup.CONCEPT].where(col(lookup.CONCEPT_KEY).isNotNull()).select(
+            col(lookup.CONCEPT_KEY).cast(as_type).alias(key),
+            *[
+                (F.coalesce(check.rule.broken, F.lit(False)) if check.rule else F.lit(False)).alias(broken[name])
+                for name, check in checks.items()
+            ],
+        )
+        partner = partner.groupBy(key, spread(key).alias("__spread")).agg(*[F.max(b).alias(b) for b in broken.values()])
+        rows = rows.join(partner.drop("__spread"), col(field).cast(as_type) == F.col(key), "left")
+        for name, check in checks.items():
+            tags[name] = F.col(broken[name]) if check.rule else col(field).isNotNull() & F.col(key).isNull()
+        helpers += [key, *broken.values()]
+    found = F.array_compact(F.array(*[F.when(violated, F.lit(name)) for name, violated in tags.items()]))
+    return rows.withColumn("violated_checks", found).where(F.size("violated_checks") > 0).select(*map(col, names), "violated_checks")
+
+
+def write_tagged_rows(rows: DataFrame, path: str, format: str = "parquet") -> None:
+    """Rows of ``tagged_rows`` as files, in one folder ``violated_check=<name>`` per check: a check's rows are read without
+    the others'. A row that breaks several checks is in the folder of each."""
+    by_check = rows.withColumn("violated_check", F.explode("violated_checks")).drop("violated_checks")
+    by_check.write.format(format).mode("overwrite").partitionBy("violated_check").save(path)
+
+
 def is_required(cdm: Cdm, table: str, field: str, cohort: Cohort | None = None) -> DataFrame:
     return _by_rule(cdm, table, field, rowwise.not_null_rule(field), cohort)
 

@@ -263,6 +263,26 @@ VIOLATED_ROWS = {
         "measurement.unit_concept_id",
         "t.* FROM measurement t WHERE unit_concept_id = 0 AND value_as_number IS NOT NULL",
     ),
+    "tagged": statement(
+        "\nUNION ALL\n".join(
+            f"SELECT '{check}' AS violated_check, t.* FROM measurement t {condition}"
+            for check, condition in {
+                "filled": "WHERE value_as_number IS NULL",
+                "numeric": f"WHERE {NOT_NUMERIC}",
+                "mapped": "WHERE measurement_concept_id = 0",
+                "unit_mapped": "WHERE unit_concept_id = 0 AND value_as_number IS NOT NULL",
+                "any_mapped": f"WHERE {BOTH_UNMAPPED}",
+                "not_early": "WHERE measurement_date < DATE '1996-01-01'",
+                "not_high": "WHERE value_as_number > 45",
+                "known": "WHERE measurement_concept_id IS NOT NULL AND NOT EXISTS "
+                "(SELECT 1 FROM concept co WHERE co.concept_id = t.measurement_concept_id)",
+                "domain": "JOIN concept co ON t.measurement_concept_id = co.concept_id "
+                "WHERE co.concept_id <> 0 AND co.domain_id NOT IN ('PROMO')",
+                "source_class": "JOIN concept co ON t.measurement_source_concept_id = co.concept_id "
+                "WHERE co.concept_id <> 0 AND co.concept_class_id <> 'Brand#12'",
+            }.items()
+        )
+    ),
     "cohort_is_required": labelled(
         "measurement.value_as_number", f"t.* FROM ({MEMBERS['measurement']}) t WHERE value_as_number IS NULL"
     ),

@@ -146,6 +146,33 @@ def fused_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rowwise.count_rules(cdm.rows(M), rules)
 
 
+def tagged(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that break any of ten checks of a table, found in one pass, written by check and read again."""
+    cdm = fixture_cdm(spark, folder)
+    rules = {
+        "filled": rowwise.not_null_rule("value_as_number"),
+        "numeric": rowwise.numeric_rule(cdm, M, "provider_text"),
+        "mapped": rowwise.zero_concept_rule(M, MC),
+        "unit_mapped": rowwise.zero_concept_rule(M, "unit_concept_id"),
+        "any_mapped": rowwise.both_unmapped_rule(MC, "measurement_source_concept_id"),
+        "not_early": rowwise.range_rule(MD, "1996-01-01", "date"),
+        "not_high": rowwise.range_rule("value_as_number", 45, high=True),
+    }
+    keys = {
+        "known": lookup.KeyCheck(MC),
+        "domain": lookup.KeyCheck(MC, lookup.domain_rule("PROMO")),
+        "source_class": lookup.KeyCheck("measurement_source_concept_id", lookup.class_rule("Brand#12")),
+    }
+    path = f"{output_folder(spark)}/violated"
+    violations.write_tagged_rows(violations.tagged_rows(cdm, M, rules, keys), path)
+    stored = spark.read.schema(f"{spark_schema(cdm[M])}, violated_check string").parquet(path)
+    return stored.select("violated_check", *cdm[M].columns)
+
+
+def spark_schema(df: DataFrame) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema)
+
+
 def fused_keys(spark: SparkSession, folder: str) -> DataFrame:
     """All vocabulary checks of two concept fields of a table in one shuffle."""
     checks = {}
@@ -589,6 +616,7 @@ COHORT: dict[str, Query] = {
     ),
 }
 ROWS: dict[str, Query] = {
+    "violated_rows_tagged": tagged,
     "violated_rows_cohort_is_required": with_cohort(
         lambda c, g: violations.is_required(c, M, "value_as_number", g)
     ),

@@ -117,6 +117,27 @@ def test_date_checks_move_the_checked_rows_once(cdm, spark):
     assert columns(text)[0] == f"visit_occurrence_id,{MD}"
 
 
+def test_rows_do_not_meet_every_rule_of_their_concept(cdm, spark):
+    """Five hundred bounds of one concept and unit: the rows of the table are counted first, in one scan, and the counts
+    meet the rules."""
+    control = spark.range(1000).selectExpr(
+        "CAST(id AS STRING) AS check_key", "IF(id % 2 = 0, 'low', 'high') AS kind", "7L AS concept_id", "2L AS unit_concept_id",
+        "CAST(NULL AS STRING) AS gender", "CAST(NULL AS STRING) AS units",
+        "IF(id % 2 = 0, id / 20, NULL) AS low", "IF(id % 2 = 1, id / 20, NULL) AS high",
+    )
+    counted = concepts.count_value_checks(cdm, M, MC, control)
+    found = {int(r[0]): r[1:] for r in counted.collect()}
+    values = cdm[M].where(f"{MC} = 7 AND unit_concept_id = 2 AND value_as_number IS NOT NULL")
+    values = [float(r[0]) for r in values.select("value_as_number").collect()]
+    assert found == {
+        i: (sum(v < i / 20 if i % 2 == 0 else v > i / 20 for v in values), len(values)) for i in range(1000)
+    }
+    final = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert [text for text in columns(final) if "value_as_number" in text] == [
+        f"{MC},value_as_number,unit_concept_id,unit_source_value"
+    ]
+
+
 def test_a_single_concept_is_filtered_in_the_scan(cdm):
     text = plan(concepts.concept_plausible_value_low(cdm, M, MC, 7, 2, 10))
     assert f"EqualTo({MC},7)" in text and "IsNotNull(value_as_number)" in text
@@ -127,6 +148,30 @@ def test_violated_rows_filter_in_the_scan(cdm):
     assert "GreaterThan(value_as_number,45.0)" in text
 
 
+def test_rows_of_many_checks_are_tagged_in_one_scan(cdm, spark, tmp_path):
+    rules = {"filled": rowwise.not_null_rule("value_as_number"), "mapped": rowwise.zero_concept_rule(M, MC),
+             "late": rowwise.range_rule(MD, "2001-01-01", "date", high=True)}
+    text = plan(violations.tagged_rows(cdm, M, rules))
+    assert len(columns(text)) == 1 and shuffles(text) == [] and "Join" not in text
+    keys = {"known": lookup.KeyCheck(MC), "domain": lookup.KeyCheck(MC, lookup.domain_rule("PROMO"))}
+    twice = cdm.with_table("concept", cdm["concept"].union(cdm["concept"]))
+    rows = violations.tagged_rows(twice, M, rules, keys)
+    assert len(columns(plan(rows))) == 3
+    alone = {
+        "filled": violations.measure_value_completeness(cdm, M, "value_as_number"),
+        "mapped": violations.concept_record_completeness(cdm, M, MC),
+        "late": violations.plausible_value_high(cdm, M, MD, "2001-01-01", "date"),
+        "known": violations.is_foreign_key(cdm, M, MC, "concept", "concept_id"),
+        "domain": violations.fk_domain(cdm, M, MC, "PROMO"),
+    }
+    path = str(tmp_path / "tagged")
+    violations.write_tagged_rows(rows, path)
+    for name, df in alone.items():
+        found = spark.read.parquet(f"{path}/violated_check={name}")
+        assert found.columns == cdm[M].columns and found.count() == df.count() > 0
+    assert rows.count() < sum(df.count() for df in alone.values())
+
+
 def test_unmatched_keys_are_an_anti_join(cdm):
     text = plan(violations.is_foreign_key(cdm, "person", "location_id", "location", "location_id"))
     assert "LeftAnti" in text
