@@ -212,6 +212,7 @@ COHORT_PAIRS = {
     f"cohort_{key}": tuple(_in_cohort(sql, table) for sql in PAIRS[source])
     for key, source, table in (
         ("is_required", "measure_value_completeness", "measurement"),
+        ("filtered_in_the_scan", "measure_value_completeness", "measurement"),
         ("is_primary_key", "is_primary_key", "measurement"),
         ("source_value_completeness", "source_value_completeness", "condition_occurrence"),
         ("fk_domain", "fk_domain", "measurement"),

@@ -552,7 +552,14 @@ CHECKS: dict[str, Query] = {
     "date_checks_fused": fused_dates,
     "pct_ratio": share_by_unit,
 }
+def filtered_cohort(spark: SparkSession, folder: str) -> DataFrame:
+    """A check for a cohort whose members are known to the scan by a Bloom filter."""
+    members = Cohort(view(spark, folder, "cohort"), 1, filter_words=4096)
+    return rowwise.is_required(fixture_cdm(spark, folder), M, "value_as_number", members)
+
+
 COHORT: dict[str, Query] = {
+    "cohort_filtered_in_the_scan": filtered_cohort,
     "cohort_is_required": with_cohort(
         lambda c, g: rowwise.is_required(c, M, "value_as_number", g)
     ),

@@ -15,10 +15,45 @@ WEIGHT = "__weight"
 
 @dataclass(frozen=True)
 class Cohort:
-    """Persons that a run is restricted to: ``members(subject_id, cohort_definition_id)``."""
+    """Persons that a run is restricted to: ``members(subject_id, cohort_definition_id)``.
+
+    Tables are joined with the members. With ``filter_words``, rows of other persons are left out before that, in
+    the scan, by a Bloom filter of so many 64-bit words: worth it for a cohort that is a small part of the persons
+    and yet too large to be broadcast. Three bits are set per person, so 5 persons a word let one in 130 others pass.
+    A filter that is too small lets more pass and changes no result.
+    """
 
     members: DataFrame
     definition_id: int
+    filter_words: int | None = None
+
+    def _bits(self, person: Column) -> list[Column]:
+        """Places of a person in the filter."""
+        number = person.cast("bigint")
+        return [F.pmod(F.xxhash64(number, F.lit(i)), F.lit(self.filter_words * 64)) for i in range(3)]
+
+    def bloom_filter(self) -> DataFrame:
+        """The filter as one row with an array of words; set bits are put together per word before they move."""
+        bits = self.subjects().select(F.explode(F.array(*self._bits(F.col("__subject")))).alias("bit"))
+        word = F.floor(F.col("bit") / 64)
+        mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bit") % 64).cast("int"))
+        words = bits.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
+        every = self.members.sparkSession.range(self.filter_words).withColumnRenamed("id", "word")
+        filled = every.join(words, "word", "left").select("word", F.coalesce("mask", F.lit(0).cast("bigint")).alias("mask"))
+        ordered = F.sort_array(F.collect_list(F.struct("word", "mask")))
+        return filled.agg(F.transform(ordered, lambda pair: pair["mask"]).alias("words"))
+
+    def filtered(self, rows: DataFrame) -> DataFrame:
+        """The rows of persons who may be members: all that are, and few others. Only whole numbers are hashed alike
+        whatever their type, so that rows with other ids all stay."""
+        types = [rows.schema["person_id"].dataType, self.members.schema["subject_id"].dataType]
+        if self.filter_words is None or not all(isinstance(kind, T.IntegralType) for kind in types):
+            return rows
+        words = self.bloom_filter().scalar()
+        for bit in self._bits(F.col("person_id")):
+            word = F.get(words, F.floor(bit / 64).cast("int"))
+            rows = rows.where(F.getbit(word, (bit % 64).cast("int")) == 1)
+        return rows
 
     def subjects(self) -> DataFrame:
         """One row per membership of the wanted cohort."""
@@ -150,7 +185,7 @@ class Cdm(Mapping[str, DataFrame]):
         if cohort is None:
             return Rows(df)
         weights = cohort.weights()
-        joined = df.join(weights, F.col("person_id") == F.col("__subject")).drop("__subject")
+        joined = cohort.filtered(df).join(weights, F.col("person_id") == F.col("__subject")).drop("__subject")
         return Rows(joined, F.col(WEIGHT))
 
     def member_rows(self, table: str, cohort: Cohort | None = None) -> DataFrame:
@@ -159,7 +194,7 @@ class Cdm(Mapping[str, DataFrame]):
         if cohort is None:
             return df
         subjects = cohort.subjects()
-        return df.join(subjects, F.col("person_id") == F.col("__subject")).drop("__subject")
+        return cohort.filtered(df).join(subjects, F.col("person_id") == F.col("__subject")).drop("__subject")
 
 
 NOT_THERE = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
