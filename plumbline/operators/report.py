@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.counting import PERCENT
@@ -80,6 +82,16 @@ def report_rows(results: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _chosen(rows: DataFrame, filters: Mapping[str, str] | None) -> DataFrame:
+    for name, value in (filters or {}).items():
+        rows = rows.where(F.col(name) == value)
+    return rows
+
+
+def _order(tie_breakers: Sequence[str], keep: Sequence[str]) -> list[Column]:
+    return [F.coalesce(F.col("share"), F.lit(0.0)).desc(), *map(F.col, tie_breakers), *map(F.col, keep)]
+
+
 def report_view(
     results: DataFrame,
     filters: Mapping[str, str] | None = None,
@@ -90,17 +102,52 @@ def report_view(
 ) -> DataFrame:
     """The table of a report: rows equal to all ``filters``, highest share first, one page of them
     or all. Without a page size the rows are sorted by range over many tasks; with one only the
-    first pages travel to the last task."""
-    rows = report_rows(results, keep)
-    for name, value in (filters or {}).items():
-        rows = rows.where(F.col(name) == value)
-    order = [F.coalesce(F.col("share"), F.lit(0.0)).desc(), *tie_breakers, *keep]
-    rows = rows.orderBy(*order)
+    first pages travel to the last task. For pages far behind, see ``write_pages``."""
+    rows = _chosen(report_rows(results, keep), filters)
+    rows = rows.orderBy(*_order(tie_breakers, keep))
     if page_size is not None:
         rows = rows.offset(page * page_size).limit(page_size) if page else rows.limit(page_size)
     return rows.select(*keep, *VIEW_COLUMNS)
 
 
+PLACE, RANGE_BITS = "place", 33
+
+
+def write_pages(
+    results: DataFrame,
+    path: str,
+    filters: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
+    tie_breakers: Sequence[str] = ("table", "field", "check"),
+) -> None:
+    """The table of a report as files from which any page is read alone (``read_page``), sorted once.
+
+    Rows are dealt out by ranges of their order, each range sorted and written by one task; a row's
+    place is its range and its number there. The index beside them has the number of rows of each range."""
+    rows = _chosen(report_rows(results, keep), filters)
+    order = _order(tie_breakers, keep)
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = ranges.select(*keep, *VIEW_COLUMNS, F.monotonically_increasing_id().alias(PLACE))
+    placed.write.mode("overwrite").parquet(f"{path}/rows")
+    stored = results.sparkSession.read.parquet(f"{path}/rows")
+    sizes = stored.groupBy(F.shiftright(PLACE, RANGE_BITS).alias("range")).agg(F.count(F.lit(1)).alias("size"))
+    sizes.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+
+
+def read_page(spark: SparkSession, path: str, page: int, page_size: int) -> DataFrame:
+    """One page of ``write_pages``, in order. The index, one row per range, says which places the page has; files of other
+    ranges are passed over by the statistics of their places."""
+    first, last, before, parts = page * page_size, (page + 1) * page_size, 0, []
+    for row in sorted(spark.read.parquet(f"{path}/ranges").collect(), key=lambda row: row["range"]):
+        low, high = max(first - before, 0), min(last - before, row["size"])
+        if low < high:
+            start = row["range"] << RANGE_BITS
+            parts.append(F.col(PLACE).between(start + low, start + high - 1))
+        before += row["size"]
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.where(reduce(or_, parts, F.lit(False))).orderBy(PLACE).drop(PLACE)
+
+
 def filter_values(results: DataFrame, column: str) -> DataFrame:
     """Values a reader can filter a column of the report by."""
     return report_rows(results).select(column).distinct()

@@ -615,6 +615,10 @@ def _results() -> dict[str, str]:
             AND status = 'FAIL' ORDER BY COALESCE(pct_violated_rows, 0) DESC, result_id
             LIMIT 10 OFFSET 10"""
         ),
+        "report_view_stored_page": over(
+            f"""SELECT {REPORT_COLUMNS} FROM shown ORDER BY COALESCE(pct_violated_rows, 0) DESC, result_id
+            LIMIT 10 OFFSET 990"""
+        ),
         "report_filter_values": over(
             "SELECT DISTINCT COALESCE(NULLIF(subcategory, ''), 'None') AS subcategory FROM shown"
         ),

@@ -381,6 +381,14 @@ def blanks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("result_id", "subcategory", "error", "notes_value")
 
 
+def stored_page(spark: SparkSession, folder: str) -> DataFrame:
+    """The hundredth page of the report of all runs, read from sorted ranges."""
+    path = f"{output_folder(spark)}/pages"
+    results = evaluation.evaluate(history(spark, folder), RUN)
+    report.write_pages(results, path, keep=["result_id"], tie_breakers=["result_id"])
+    return report.read_page(spark, path, 99, 10)
+
+
 THRESHOLD_COLUMNS = ("check_name", "cdm_table_name", "cdm_field_name", "threshold_value", "notes_value", "error")
 
 
@@ -750,6 +758,7 @@ RESULTS: dict[str, Query] = {
             tie_breakers=["result_id"],
         )
     ),
+    "report_view_stored_page": stored_page,
     "report_filter_values": on_history(
         lambda rows: report.filter_values(evaluation.evaluate(rows, RUN), "subcategory")
     ),

@@ -213,6 +213,25 @@ def test_a_run_scans_a_table_once_per_kind_of_check(spark, cdm):
     }
 
 
+def test_a_page_far_behind_is_read_from_its_range(spark, tmp_path):
+    """All pages together are the whole view in order, and a page asks the files for its places."""
+    from plumbline.operators import evaluation, report
+    from plumbline.registry.queries import history
+
+    results = evaluation.evaluate(history(spark, DATA), ("run_id",))
+    path, size = str(tmp_path / "pages"), 400
+    report.write_pages(results, path, keep=["result_id"], tie_breakers=["result_id"])
+    whole = [row["result_id"] for row in report.report_view(results, keep=["result_id"], tie_breakers=["result_id"]).collect()]
+    pages = -(-len(whole) // size)
+    read = [[row["result_id"] for row in report.read_page(spark, path, i, size).collect()] for i in range(pages + 1)]
+    assert [x for page in read for x in page] == whole and read[-1] == []
+    assert all(len(page) == size for page in read[:-2])
+    text = plan(report.read_page(spark, path, pages - 1, size))
+    assert "GreaterThanOrEqual(place," in text and "LessThanOrEqual(place," in text
+    chosen = report.write_pages(results, path, filters={"status": "FAIL"}, keep=["result_id"], tie_breakers=["result_id"])
+    assert chosen is None and {row["status"] for row in report.read_page(spark, path, 0, 50).collect()} == {"FAIL"}
+
+
 def test_rows_of_others_stay_in_the_scan(spark, tmp_path):
     """A cohort of one person in fifty: hardly more than their rows are dealt out, and the counts are those without a filter."""
     spark.range(100_000).selectExpr(
