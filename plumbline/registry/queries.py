@@ -279,11 +279,23 @@ def write_results_level_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_report_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Reports of all runs, written and read back: one row per check result."""
+    """Reports of all runs, written as nested documents and read back: one row per check result."""
     path = f"{output_folder(spark)}/report"
     document = sinks.report_document(judged(spark, folder), run=RUN)
     sinks.write_report_json(document, path)
-    reports = spark.read.schema(document.schema).json(path)
+    return report_records(spark.read.schema(document.schema).json(path))
+
+
+def write_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of all runs, written line by line and read back: one row per check result."""
+    path = f"{output_folder(spark)}/reports"
+    results = judged(spark, folder)
+    schema = sinks.report_document(results.limit(0), run=RUN).schema
+    sinks.write_reports(results, path, run=RUN)
+    return report_records(spark.read.schema(schema).option("multiLine", True).json(path))
+
+
+def report_records(reports: DataFrame) -> DataFrame:
     return reports.select(
         "run_id",
         F.col("Overview.countTotal").alias("count_total"),
@@ -701,6 +713,7 @@ TABLES: dict[str, Query] = {
     "read_control": read_control_query,
     "read_cdm_source": read_cdm_source,
     "write_report_json": write_report_json,
+    "write_reports": write_reports,
     "write_results_csv": write_results_csv,
     "write_results_table": write_results_table,
     "write_results_level_table": write_results_level_table,

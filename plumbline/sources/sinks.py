@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.report import counters
@@ -162,22 +162,67 @@ def report_document(
             *[expr.alias(name) for name, expr in numbers.items()],
         )
     )
-    about = metadata.first() if metadata is not None else None
-    facts = about.asDict() if about is not None else dict.fromkeys(METADATA_KEYS)
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    seconds = F.floor(F.unix_millis(ended) / 1000 - F.unix_millis(started) / 1000)
     return document.select(
         *run,
+        *_stamps(started, ended),
+        "CheckResults",
+        F.struct(*numbers).alias("Overview"),
+        _about(metadata).alias("Metadata"),
+        F.lit(output_file).alias("outputFile"),
+    )
+
+
+def _stamps(started: Column, ended: Column) -> list[Column]:
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    seconds = F.floor(F.unix_millis(ended) / 1000 - F.unix_millis(started) / 1000)
+    return [
         F.date_format(started, iso).alias("startTimestamp"),
         F.date_format(ended, iso).alias("endTimestamp"),
         F.concat(seconds.cast("string"), F.lit(" seconds")).alias("executionTime"),
-        "CheckResults",
-        F.struct(*numbers).alias("Overview"),
-        F.array(F.struct(*[F.lit(v).cast("string").alias(k) for k, v in facts.items()])).alias(
-            "Metadata"
-        ),
+    ]
+
+
+def _about(metadata: DataFrame | None) -> Column:
+    about = metadata.first() if metadata is not None else None
+    facts = about.asDict() if about is not None else dict.fromkeys(METADATA_KEYS)
+    return F.array(F.struct(*[F.lit(v).cast("string").alias(k) for k, v in facts.items()]))
+
+
+def write_reports(
+    results: DataFrame,
+    path: str,
+    started: Column | None = None,
+    ended: Column | None = None,
+    metadata: DataFrame | None = None,
+    output_file: str = "results.json",
+    run: Sequence[str] = (),
+) -> None:
+    """The documents of ``report_document``, one JSON file per run (in folders named by the ``run`` columns), written line
+    by line: a head with everything else, the records in order, and a tail. No row ever holds more than one
+    record, so a run may have any number. Read them with Spark's ``multiLine``."""
+    started = F.lit(None).cast("timestamp") if started is None else started
+    ended = F.lit(None).cast("timestamp") if ended is None else ended
+    names = [("checkId" if n == "checkid" else n.upper(), n) for n in RESULT_COLUMNS]
+    text = lambda value: F.to_json(value, {"ignoreNullFields": "false"})
+    results = result_table(results, run)
+    records = results.select(
+        *run, F.lit(1).alias("part"), "checkid", text(F.struct(*[F.col(n).alias(key) for key, n in names])).alias("line")
+    )
+    about = F.struct(
+        *_stamps(started, ended), F.struct(*counters()).alias("Overview"), _about(metadata).alias("Metadata"),
         F.lit(output_file).alias("outputFile"),
+    )
+    opened = text(about)  # without its last brace, since the records follow
+    head = F.concat(F.left(opened, F.length(opened) - 1), F.lit(',"CheckResults":['))
+    ends = results.groupBy(*run).agg(*[expr.alias(name) for name, expr in counters().items()]).select(
+        *run, F.inline(F.array(*[F.struct(F.lit(part).alias("part"), x.alias("line")) for part, x in ((0, head), (2, F.lit("]}")))]))
     )
+    lines = records.unionByName(ends, allowMissingColumns=True)
+    order = Window.partitionBy(*run).orderBy("part", "checkid")
+    follows = (F.lag("part").over(order) == 1) & (F.col("part") == 1)
+    ordered = lines.withColumn("line", F.when(follows, F.concat(F.lit(","), "line")).otherwise(F.col("line")))
+    writer = ordered.sortWithinPartitions(*run, "part", "checkid").select(*run, "line").write.mode("overwrite")
+    (writer.partitionBy(*run) if run else writer).text(path)
 
 
 def write_report_json(document: DataFrame, path: str) -> None:

@@ -22,7 +22,7 @@ from plumbline.plans.runner import (
     run_checks,
 )
 from plumbline.sources.cdm import Cdm, Cohort
-from plumbline.sources.sinks import RESULT_COLUMNS, write_report_json
+from plumbline.sources.sinks import RESULT_COLUMNS, write_report_json, write_reports
 
 
 @pytest.fixture(scope="module")
@@ -193,6 +193,18 @@ def test_report(spark, run, tmp_path):
     assert report["outputFile"] == "results.json"
 
 
+def test_report_written_line_by_line(spark, run, tmp_path):
+    """The same document as from one row, but each line holds one record at most."""
+    whole, lines = str(tmp_path / "whole"), str(tmp_path / "lines")
+    write_report_json(run.document("results.json"), whole)
+    stamps = [F.lit(t.isoformat()).cast("timestamp") for t in (run.started, run.ended)]
+    write_reports(run.results, lines, *stamps, run.metadata, "results.json")
+    (text,) = [row[0] for row in spark.read.text(whole).collect()]
+    (file,) = spark.sparkContext.wholeTextFiles(f"{lines}/*.txt").values().collect()
+    assert json.loads(file) == json.loads(text)
+    assert len(file.splitlines()) == 2 + len(json.loads(text)["CheckResults"])
+
+
 def test_view(run):
     rows = run.view(filters={"table": "PERSON"}, page_size=5).collect()
     assert len(rows) == 5 and {row["table"] for row in rows} == {"PERSON"}
