@@ -33,13 +33,20 @@ def canonical_url(url: Column) -> Column:
 
 
 def lower_keys(headers: Column) -> Column:
-    """Headers as pairs in the order of their lower-cased names, one pair a name (the smallest of several values)."""
+    """Headers as pairs in the order of their lower-cased names, one pair a name. Several values of a name are one list, in
+    order, as RFC 9110 writes it; cookies, which hold commas, are set apart by line ends."""
     pairs = F.transform(
         F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
         lambda x: F.struct(F.lower(x["key"]).alias("key"), x["value"].alias("value")),
     )
     order = F.array_sort(pairs)
-    return F.filter(order, lambda x, i: (i == 0) | (F.element_at(order, F.greatest(i, F.lit(1)))["key"] != x["key"]))
+
+    def together(name: Column) -> Column:
+        values = F.array_compact(F.transform(F.filter(order, lambda x: x["key"] == name), lambda x: x["value"]))
+        joined = F.when(name == "set-cookie", F.array_join(values, "\n")).otherwise(F.array_join(values, ", "))
+        return F.struct(name.alias("key"), F.when(F.size(values) > 0, joined).alias("value"))
+
+    return F.transform(F.array_distinct(F.transform(order, lambda x: x["key"])), together)
 
 
 def resolve_revisits(
@@ -60,7 +67,8 @@ def resolve_revisits(
     last-modified; payload digest) and have one in common, ``unverified`` if they have none in common, ``mismatch`` if they
     disagree, ``no_response`` if there is no earlier response, and ``full`` or ``other`` for captures that are no
     revisits. Resolved and unverified revisits refer to their response and get its status and headers, updated by their own but
-    for those that say how that message was sent (``NOT_MERGED``). All others keep their own and refer to nothing.
+    for those that say how that message was sent (``NOT_MERGED``, and what a Connection header names). All others keep their
+    own and refer to nothing. Repeated rows are captures of their own, with the same answer. An empty table gives no rows.
     Null urls, or urls that are not absolute, meet no response; a null time is before all others and has none before it.
 
     ``captured_at`` is a whole number (seconds). Captures are dealt out by url and ``chunk`` of time, so a url with a large
@@ -107,7 +115,10 @@ def resolve_revisits(
         .when(F.coalesce(*agree).isNull(), "unverified")
         .otherwise("resolved")
     )
-    news = F.filter("own", lambda x: ~x["key"].isin(NOT_MERGED))
+    # A Connection header names further fields that are about the message alone (RFC 9111, 3.1).
+    listed = F.get(F.filter("own", lambda x: x["key"] == "connection"), F.lit(0))["value"]
+    hop = F.transform(F.split(F.lower(F.coalesce(listed, F.lit(""))), ","), lambda x: F.trim(x))
+    news = F.filter("own", lambda x: ~x["key"].isin(NOT_MERGED) & ~F.array_contains(hop, x["key"]))
     names = F.transform(news, lambda x: x["key"])
     merged = F.array_sort(F.concat(news, F.filter("r.own", lambda x: ~F.array_contains(names, x["key"]))))
     taken = F.col("outcome").isin("resolved", "unverified")

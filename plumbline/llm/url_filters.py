@@ -63,10 +63,8 @@ def judge_urls(
         F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("length"),
         (F.length("host") + F.length("path") + 64).alias("characters"),
     )
-    # Distinct label counts and path lengths: no more than the longest rule has characters.
-    labels, lengths, characters = shape.agg(
-        F.sort_array(F.collect_set("labels")), F.sort_array(F.collect_set("length")), F.sum("characters")
-    ).first()
+    # Distinct pairs of label count and path length: a few numbers, whatever the number of rules.
+    pairs, characters = shape.agg(F.sort_array(F.collect_set(F.struct("labels", "length"))), F.sum("characters")).first()
 
     digests = parsed.withColumn("digest", F.sha2(F.concat("host", "path"), 256)).select(
         F.left("digest", F.lit(PREFIX)).alias("short"),
@@ -86,15 +84,15 @@ def judge_urls(
         path.alias("path"),
     )
     count = F.size(F.split("host", r"\."))
-    integers = lambda values: F.array(*map(F.lit, values)).cast("array<int>")
-    suffixes = F.transform(
-        F.filter(integers(labels), lambda n: n <= count),
-        lambda n: F.array_join(F.slice(F.split("host", r"\."), count - n + 1, n), "."),
+    shapes = F.array(*[F.struct(F.lit(p["labels"]).alias("labels"), F.lit(p["length"]).alias("length")) for p in pairs])
+    shapes = shapes.cast("array<struct<labels: int, length: int>>")
+    labels = F.split("host", r"\.")
+    expressions = F.transform(
+        F.filter(shapes, lambda p: (p["labels"] <= count) & (p["length"] <= F.length("path"))),
+        lambda p: F.concat(
+            F.array_join(F.slice(labels, count - p["labels"] + 1, p["labels"]), "."), F.substr(F.col("path"), F.lit(1), p["length"])
+        ),
     )
-    prefixes = F.transform(
-        F.filter(integers(lengths), lambda n: n <= F.length("path")), lambda n: F.substr(F.col("path"), F.lit(1), n)
-    )
-    expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
     keys = ["row", "page_id", "host", "path"]
     won = (
         rows.select(*keys, F.explode_outer(expressions).alias("expression"))

@@ -115,3 +115,30 @@ def test_revisits_by_brute_force(frame):
 
 def test_no_captures(frame):
     assert revisits.resolve_revisits(captures(frame, [])).count() == 0
+
+
+def test_all_values_of_a_header_stay_and_connection_fields_are_not_merged(spark):
+    """Names in several cases, cookies, a null value, and fields that a Connection header names; a repeated row, a long url."""
+    url = "http://example.org/" + "a" * 100_000
+    captures = spark.sql(
+        "SELECT * FROM VALUES (1L, 10L, 200, map('Set-Cookie', 'b, c', 'set-cookie', 'a', 'VIA', 'y', 'Via', 'x', 'Age', '1', 'N', NULL)), "
+        "(2L, 20L, 304, map('Connection', 'close, X-Hop', 'x-hop', '1', 'age', '7', 'x-own', '2')) AS t(record_id, captured_at, status, headers)"
+    ).selectExpr("*", f"'{url}' AS url", "CAST(NULL AS STRING) AS digest")
+    found = revisits.resolve_revisits(captures.union(captures.where("record_id = 2"))).collect()
+    own = {"set-cookie": "a\nb, c", "via": "x, y", "age": "1", "n": None}
+    assert sorted((r.record_id, r.outcome, r.refers_to) for r in found if r.record_id == 2) == [(2, "unverified", 1)] * 2
+    for r in found:
+        assert r.headers == (own if r.record_id == 1 else own | {"age": "7", "x-own": "2"})
+    assert revisits.resolve_revisits(captures.limit(0)).count() == 0
+
+
+def test_only_shapes_that_occur_are_expanded(spark):
+    """Ten label counts and two hundred path lengths, but two hundred pairs of them; and no rules at all."""
+    rows = [("block", ".".join("abcdefghij"[-(1 + i % 10) :]) + "/" + "x" * i) for i in range(200)]
+    rules = spark.createDataFrame(pa.table({"verdict": [r[0] for r in rows], "rule": [r[1] for r in rows]}))
+    host = "www." + ".".join("abcdefghij")
+    pages = spark.createDataFrame(pa.table({"page_id": [1], "url": ["http://" + host + "/" + "x" * 300]}))
+    (row,) = url_filters.judge_urls(pages, rules).collect()
+    best = max((r for _, r in rows if ("." + host).endswith("." + r.split("/")[0])), key=len)
+    assert (row.verdict, row.rule) == ("block", best)
+    assert [r.verdict for r in url_filters.judge_urls(pages, rules.limit(0)).collect()] == ["allow"]
