@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, documents, slices
@@ -15,6 +15,7 @@ from plumbline.llm.mixing import scramble
 
 UNKNOWN = "und"
 GRAM = 3  # characters, the space before and after a word included
+AT_ONCE = 64  # languages whose grams are collected together
 MOST_LANGUAGES = 1_000
 
 
@@ -97,7 +98,7 @@ def learn_filters(
 
     About ``most_documents`` of each language are learned from, chosen by a hash of their id (all, if there are no more). A language
     contains a gram if the gram's share among its grams is at least ``share`` of the gram's largest share in any language and it
-    is in two of its documents; of more than ``most_grams``, the most frequent. So the size of the model is bounded by the
+    is in two of its documents (if more than one is learned from); of more than ``most_grams``, the most frequent. So the size of the model is bounded by the
     number of languages (at most 1,000), and does not grow with the input. Rows with a null text or language teach nothing.
     """
     rows = documents(docs if learn_from is None else docs.where(learn_from), doc_id, text, lang=lang)
@@ -130,7 +131,8 @@ def learn_filters(
 
     by_gram = cut(
         chosen.mapInArrow(count, "lang string, gram long, n long, docs long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where("docs > 1")
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .where((F.col("docs") > 1) | F.col("lang").isin([name for name, n in counts if n == 1]))
     )
     totals = {r["lang"]: r["n"] for r in by_gram.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     rate = F.lit(None).cast("double")
@@ -139,13 +141,17 @@ def learn_filters(
     rated = by_gram.withColumn("rate", rate)
     largest = rated.groupBy("gram").agg(F.collect_list(F.struct("lang", "rate")).alias("of"), F.max("rate").alias("top"))
     own = largest.select("gram", "top", F.explode("of").alias("x")).where(F.col("x.rate") >= share * F.col("top"))
-    # A gram has a row a language at most; what is collected is bounded by most_grams for each.
+    rank = F.row_number().over(Window.partitionBy("x.lang").orderBy(F.desc("x.rate"), "gram"))
+    ranked = cut(own.select(F.col("x.lang").alias("lang"), "gram", rank.alias("rank")).where(F.col("rank") <= most_grams))
+    # A gram has a row a language at most; what is collected at once is bounded by most_grams for each of a few languages.
     bits = np.zeros((max(64, bits_a_gram * most_grams), -(-len(languages) // 64)), np.uint64)
-    for i, name in enumerate(languages):
-        top = own.where(F.col("x.lang") == name).orderBy(F.desc("x.rate"), "gram").limit(most_grams)
-        found = top.select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
-        for k in range(hashes):
-            bits[place(found, k, len(bits)), i // 64] |= np.uint64(1) << np.uint64(i % 64)
+    for start in range(0, len(languages), AT_ONCE):
+        some = languages[start : start + AT_ONCE]
+        taken = ranked.where(F.col("lang").isin(some)).select("lang", "gram").toArrow()
+        names, found = taken.column("lang").to_numpy(), taken.column("gram").to_numpy().view(np.uint64)
+        for i, name in enumerate(some, start):
+            for k in range(hashes):
+                bits[place(found[names == name], k, len(bits)), i // 64] |= np.uint64(1) << np.uint64(i % 64)
     spread = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little")[:, : len(languages)]
     false_share = np.minimum(spread.mean(0) ** hashes, 0.99)
     return LanguageFilters(languages, bits, false_share, int(np.argmax([n for _, n in counts])), hashes)

@@ -37,6 +37,41 @@ def test_edge_texts_and_many_languages(documents):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def brute_predictions(learned, texts, share=0.2):
+    """Predictions from exact sets of grams instead of filters: the language that has most of a text's grams."""
+    counts = {}
+    for name in sorted({lang for _, lang in learned}):
+        own = [language.grams(t).tolist() for t, lang in learned if lang == name]
+        held = {g: sum(g in some for some in map(set, own)) for g in {g for some in own for g in some}}
+        n = {g: sum(some.count(g) for some in own) for g in held if held[g] > 1 or len(own) == 1}
+        counts[name] = {g: x / sum(n.values()) for g, x in n.items()}
+    top = {}
+    for rates in counts.values():
+        for g, rate in rates.items():
+            top[g] = max(top.get(g, 0), rate)
+    sets = {name: {g for g, rate in rates.items() if rate >= share * top[g]} for name, rates in counts.items()}
+    return [[sum(g in some for g in language.grams(t).tolist()) for some in sets.values()] for t in texts], list(sets)
+
+
+def test_predictions_by_brute_force(documents):
+    """Where exact sets of grams clearly prefer a language, the filters do too; one language has a single document."""
+    rng = np.random.default_rng(4)
+    alphabets = {"a": "abcdefgh", "b": "efghijkl", "c": "ijklmnop", "d": "mnopqrst"}
+    text = lambda name, n: " ".join("".join(rng.choice(list(alphabets[name]), 5)) for _ in range(n))
+    learned = [(text(name, 60), name) for name in "abc" for _ in range(30)] + [(text("d", 900), "d")]
+    asked = [text(name, 40) for name in "abcd" for _ in range(25)]
+    filters = language.learn_filters(documents([(i, t, lang, "s") for i, (t, lang) in enumerate(learned)]))
+    found = {r.doc_id: r for r in language.predict_language(documents(list(enumerate(asked))), filters).collect()}
+    votes, names = brute_predictions(learned, asked)
+    clear = 0
+    for i, row in enumerate(votes):
+        best, second = sorted(row, reverse=True)[:2]
+        if best > 1.2 * second:
+            clear += 1
+            assert found[i].lang_pred == names[row.index(best)]
+    assert clear > 80 and {r.lang_pred for r in found.values()} == set("abcd")
+
+
 def test_nothing_to_learn_from(documents):
     for rows in ([], [(1, None, "en", None), (2, "text", None, None)]):
         filters = language.learn_filters(documents(rows))
