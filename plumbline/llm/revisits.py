@@ -46,7 +46,8 @@ def lower_keys(headers: Column) -> Column:
         joined = F.when(name == "set-cookie", F.array_join(values, "\n")).otherwise(F.array_join(values, ", "))
         return F.struct(name.alias("key"), F.when(F.size(values) > 0, joined).alias("value"))
 
-    return F.transform(F.array_distinct(F.transform(order, lambda x: x["key"])), together)
+    names = F.array_distinct(F.transform(order, lambda x: x["key"]))
+    return F.when(F.size(names) == F.size(order), order).otherwise(F.transform(names, together))
 
 
 def resolve_revisits(
