@@ -55,7 +55,7 @@ def test_outliers_go_and_clean_documents_stay(documents):
             text = [" ".join(w + "###" for w in text.split()), text.upper() + "!", " | ".join(text.split()), " ".join(w for x in text.split() for w in [x] * 7)][i // 10 % 4]
         rows.append((i, text, lang, source))
     rows += [(1000, None, "en", "a"), (1001, "", None, None), (1002, "too short", "xx", "new"), (1003, words(rng, 30), "xx", "new")]
-    found = {r.doc_id: r for r in quality.judge_quality(documents(rows), least_rows=60).collect()}
+    found = {r.doc_id: r for r in quality.judge_quality(documents(rows), parent_rows=60).collect()}
     assert len(found) == len(rows)
     assert all(found[i].base_failed and not found[i].kept and found[i].distance is None for i in (1000, 1001, 1002))
     passed = {i for i, r in found.items() if not r.base_failed}
@@ -66,6 +66,92 @@ def test_outliers_go_and_clean_documents_stay(documents):
         assert found[i].base_failed == (own[0] < 20 or 100 * own[4] > 30 * own[0])
 
 
+def vectors_of(rows):
+    """The statistics of texts and what they vary by, in numpy."""
+    counts = np.array([quality.text_counts(text) for _, text, *_ in rows], float)
+    words, chars, symbols, dup, repeated, lines, upper, digits, stutter, digit_words = counts.T
+    x = np.column_stack([
+        np.log(chars / words), np.sqrt(symbols / words), np.sqrt(dup / lines), np.sqrt(repeated / words), np.sqrt(upper / chars),
+        np.sqrt(digits / chars), np.sqrt(stutter / words),
+    ])
+    number = np.maximum(digits / np.maximum(digit_words, 1), chars / words)
+    v = np.column_stack([1 / words, 1 / words, 1 / lines, 16 / words, 1 / words, number / chars, 1 / words]) / 4
+    return x, v
+
+
+def far(x, mean, covariance):
+    return np.array([(a - mean) @ np.linalg.inv(c) @ (a - mean) for a, c in zip(x, np.broadcast_to(covariance, (len(x), 7, 7)), strict=True)])
+
+
+def slow_estimate(x, v, share=0.75, steps=4):
+    """The minimum covariance determinant of all rows in memory, ordered by exact distances."""
+    middle, own = np.median(x, 0), v.mean(0)
+    spread = 1.4826 * np.median(abs(x - middle), 0)
+    turned = (x - middle) / np.sqrt(spread**2 + v)
+    turned /= np.maximum(np.linalg.norm(turned, axis=1, keepdims=True), 1e-9)
+    scale, found = np.sqrt(spread**2 + own), []
+    spatial = turned.T @ turned * 7 / len(x) * np.outer(scale, scale)
+    for mean, c in ((middle, np.diag(spread**2)), (x.mean(0), np.cov(x.T, bias=True)), (middle, spatial)):
+        c = c + np.diag(own)
+        for _ in range(steps):
+            near = np.argsort(far(x, mean, c), kind="stable")[: int(share * len(x)) + 1]
+            mean, noise = x[near].mean(0), np.diag(v[near].mean(0))
+            c = np.cov(x[near].T, bias=True) + noise
+        found.append((np.linalg.det(c), mean, c, noise))
+    _, mean, c, noise = min(found, key=lambda e: e[0])
+    return len(x), mean, (c - noise) * max(1, np.median(far(x, mean, c)) / quality.chi_square_quantile(0.5, 7))
+
+
+def slow_distances(rows, parent_rows):
+    x, v = vectors_of(rows)
+    out = np.zeros(len(rows))
+    langs, pairs = [r[2] for r in rows], [r[2:] for r in rows]
+    for pair in set(pairs):
+        own = [i for i, p in enumerate(pairs) if p == pair]
+        lang = [i for i, name in enumerate(langs) if name == pair[0]]
+        _, mean, c = slow_estimate(x, v)
+        for part in (lang, own):
+            n, m, s = slow_estimate(x[part], v[part])
+            w, off = n / (n + parent_rows), m - mean
+            mean, c = w * m + (1 - w) * mean, w * s + (1 - w) * c + w * (1 - w) * np.outer(off, off)
+        out[own] = far(x[own], mean, c + v[own][:, :, None] * np.eye(7))
+    return out
+
+
+def spoiled(rng, text, kind, part):
+    """The text with a part of its words spoiled."""
+    out = [
+        {"digits": "".join(str(rng.integers(10)) for _ in w), "symbols": w + "#", "capitals": w.upper(), "stutter": w + " " + w}[kind]
+        if rng.random() < part else w
+        for w in text.split()
+    ]
+    return " ".join(out)
+
+
+def test_verdicts_are_those_of_estimates_in_memory(documents):
+    rng = np.random.default_rng(8)
+    sure, rows = {}, []
+    for i in range(720):
+        lang, source = ["en", "en", "de"][i % 3], ["a", "b"][i // 3 % 2] if i % 60 else "rare"
+        text = words(rng, int(rng.integers(100, 400)), 5 if lang == "en" else 8)
+        if i % 12 == 5:
+            kind, part = ["digits", "symbols", "capitals", "stutter"][i // 12 % 4], [0.02, 0.1, 0.4, 0.5][i // 48 % 4]
+            text, sure[i] = spoiled(rng, text, kind, part), part >= 0.4
+        rows.append((i, text, lang, source))
+    found = {r.doc_id: r for r in quality.judge_quality(documents(rows), parent_rows=60).collect()}
+    want, most = slow_distances(rows, 60), quality.chi_square_quantile(1 - 1e-6, 7)
+    close = 0
+    for i, distance in enumerate(want):
+        assert found[i].distance == pytest.approx(distance, rel=0.3, abs=0.5)  # whole classes are taken up to the share
+        if 0.8 < distance / most < 1.25:
+            close += 1
+        else:
+            assert found[i].kept == (distance <= most)
+    assert close < 0.02 * len(rows)
+    assert all(not found[i].kept for i, bad in sure.items() if bad)  # 40 % of digits, symbols, capitals go
+    assert all(found[i].kept for i in range(len(rows)) if i not in sure)
+
+
 def test_estimates_withstand_a_third_of_outliers(spark):
     rng = np.random.default_rng(5)
     covariance = np.array([[1.0, 0.6, 0.0], [0.6, 1.0, 0.2], [0.0, 0.2, 0.5]])
