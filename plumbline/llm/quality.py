@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, documents, slices
+from plumbline.llm.common import cut, documents, slices, written
 from plumbline.llm.components import SALTS
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -123,7 +123,8 @@ def robust_estimates(
     with covariances of spatial signs. Each step takes the ``share`` of the rows that are nearest by Mahalanobis distance and
     estimates mean and covariance from them alone, which never raises the determinant; of the three ends, the one with the
     least determinant counts. A step is one aggregate: rows are summed by class of distance (64 to a factor of e), so that whole
-    classes are taken up to the share, and only sums are shuffled. At last covariances are scaled so that the median of all
+    classes are taken up to the share. Only sums are shuffled: Spark sees the size of the estimates, which are written, and they
+    bring an ``id`` of their own to sum by, so that rows never need to lie where a join by ``part`` puts them. At last covariances are scaled so that the median of all
     rows' distances, by these same estimates, is that of a chi-square distribution (never down).
 
     Where rows agree, covariances are singular. So distances here are by the covariance plus the mean of what the rows
@@ -138,8 +139,8 @@ def robust_estimates(
     moments = [F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(names)]]
     moments += [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"q{i}_{j}") for i, j in products]
     moments += [F.sum(v).alias(v) for v in chance]
-    centre = "part string, mean array<double>, spread array<double>"
-    estimate = "part string, start int, n long, mean array<double>, covariance array<double>, inverse array<double>, size double"
+    centre = "id string, part string, mean array<double>, spread array<double>"
+    estimate = "id string, part string, start int, n long, mean array<double>, covariance array<double>, inverse array<double>, size double"
 
     def square(sums: pd.DataFrame) -> np.ndarray:
         full = np.zeros((d, d))
@@ -150,15 +151,15 @@ def robust_estimates(
     def row(part: str, start: int, n: int, mean: np.ndarray, covariance: np.ndarray, own: np.ndarray) -> dict:
         regular = covariance + np.diag(own)
         return {
-            "part": part, "start": start, "n": n, "mean": mean, "covariance": covariance.ravel(),
+            "id": f"{start} {part}", "part": part, "start": start, "n": n, "mean": mean, "covariance": covariance.ravel(),
             "inverse": np.linalg.inv(regular).ravel(), "size": float(np.linalg.slogdet(regular)[1]),
         }
 
     def of_sums(near: pd.DataFrame, n_all: int, start: int) -> dict:
-        n = near["n"].sum()
+        n, part = near["n"].sum(), near["id"].iloc[0].split(" ", 1)[1]
         mean = np.array([near[f"s{i}"].sum() / n for i in range(d)])
         own = np.array([near[v].sum() / n for v in chance])
-        return row(near["part"].iloc[0], start, n_all, mean, square(near) / n - np.outer(mean, mean), own)
+        return row(part, start, n_all, mean, square(near) / n - np.outer(mean, mean), own)
 
     def medians(pdf: pd.DataFrame) -> pd.DataFrame:
         mean, spread = np.zeros(d), np.zeros(d)
@@ -171,23 +172,24 @@ def robust_estimates(
 
             mean[i] = median(value)
             spread[i] = 1.4826 * median(np.abs(value - mean[i]))
-        return pd.DataFrame([{"part": pdf["part"].iloc[0], "mean": mean, "spread": spread}])
+        part = pdf["part"].iloc[0]
+        return pd.DataFrame([{"id": f"0 {part}", "part": part, "mean": mean, "spread": spread}])
 
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("x")) for i, x in enumerate(names)]))
     classes = rows.select("part", pairs.alias("p")).groupBy(
         "part", F.col("p.i").alias("i"), F.floor(F.col("p.x") / step_width).alias("class")
     )
-    centres = cut(classes.agg(F.count("*").alias("n")).groupBy("part").applyInPandas(medians, centre))
+    centres = written(classes.agg(F.count("*").alias("n")).groupBy("part").applyInPandas(medians, centre))
 
     # The direction of each row from the medians, in units of the median deviations, or of chance where these are less.
     off = [(F.col(names[i]) - F.col("mean")[i]) / F.sqrt(F.pow(F.col("spread")[i], 2) + F.col(chance[i])) for i in range(d)]
     length = F.greatest(F.sqrt(sum((x * x for x in off), F.lit(0.0))), F.lit(1e-9))
     signs = [F.sum(off[i] * off[j] / (length * length)).alias(f"u{i}_{j}") for i, j in products]
-    at_first = rows.join(centres, "part").groupBy("part", "mean", "spread").agg(*moments, *signs)
+    at_first = rows.join(centres, "part").groupBy("id", "mean", "spread").agg(*moments, *signs)
 
     def starts(pdf: pd.DataFrame) -> pd.DataFrame:
         n = int(pdf["n"].iloc[0])
-        part, mean, spread = pdf["part"].iloc[0], np.array(pdf["mean"].iloc[0]), np.array(pdf["spread"].iloc[0])
+        part, mean, spread = pdf["id"].iloc[0].split(" ", 1)[1], np.array(pdf["mean"].iloc[0]), np.array(pdf["spread"].iloc[0])
         own = np.array([pdf[v].iloc[0] / n for v in chance])
         scale = np.sqrt(spread**2 + own)
         turned = square(pdf[[f"u{i}_{j}" for i, j in products]].rename(columns=lambda name: "q" + name[1:])) * d / n
@@ -201,7 +203,7 @@ def robust_estimates(
         pdf = pdf.sort_values("class")
         up_to = pdf["n"].cumsum().to_numpy()
         near = pdf.iloc[: int(np.searchsorted(up_to, share * up_to[-1])) + 1]
-        return pd.DataFrame([of_sums(near, int(up_to[-1]), int(pdf["start"].iloc[0]))])
+        return pd.DataFrame([of_sums(near, int(up_to[-1]), int(pdf["id"].iloc[0].split(" ", 1)[0]))])
 
     def scaled(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("class")
@@ -212,26 +214,25 @@ def robust_estimates(
         return pd.DataFrame([{"part": first["part"], "n": first["n"], "mean": first["mean"]} | {k: np.array(first[k]) * f for k, f in names}])
 
     of_class = F.floor(F.log(F.col("distance") + 1e-9) * 64).alias("class")
-    now = cut(at_first.groupBy("part").applyInPandas(starts, estimate))
+    now = written(at_first.groupBy("id").applyInPandas(starts, estimate))
     for _ in range(steps):
-        near = with_distance(rows, now, d).groupBy("part", "start", of_class).agg(*moments)
-        now = cut(near.groupBy("part", "start").applyInPandas(concentrate, estimate))
+        near = with_distance(rows, now, d).groupBy("id", of_class).agg(*moments)
+        now = written(near.groupBy("id").applyInPandas(concentrate, estimate))
     # Ends that agree but for rounding are one; the first of them counts.
-    best = now.groupBy("part").agg(F.min_by(F.struct("n", "mean", "covariance", "inverse"), F.struct(F.round("size", 6), "start")).alias("e"))
-    best = cut(best.select("part", "e.*"))
-    counts = with_distance(rows, best.select("part", "mean", "inverse"), d).groupBy("part", of_class).agg(F.count("*").alias("k"))
+    best = now.groupBy("part").agg(F.min_by(F.struct("id", "n", "mean", "covariance", "inverse"), F.struct(F.round("size", 6), "start")).alias("e"))
+    best = written(best.select("part", "e.*"))
+    counts = with_distance(rows, best, d).groupBy("id", of_class).agg(F.count("*").alias("k"))
     result = "part string, n long, mean array<double>, covariance array<double>, inverse array<double>"
-    return cut(counts.join(best, "part").groupBy("part").applyInPandas(scaled, result))
+    return cut(counts.join(best, "id").groupBy("id").applyInPandas(scaled, result))
 
 
 def with_distance(rows: DataFrame, estimates: DataFrame, d: int) -> DataFrame:
-    """The rows with ``distance``, the squared Mahalanobis distance by their part's estimates (each of them)."""
+    """The rows with ``distance``, the squared Mahalanobis distance by their part's estimates (each ``id`` of them)."""
     off = [F.col(f"x{i}") - F.col("mean")[i] for i in range(d)]
     total = sum(
         (off[i] * off[j] * F.col("inverse")[i * d + j] * (1 if i == j else 2) for i in range(d) for j in range(i, d)), F.lit(0.0)
     )
-    own = [name for name in ("start",) if name in estimates.columns]
-    joined = rows.join(estimates.select("part", *own, "mean", "inverse"), "part")
+    joined = rows.join(estimates.select("id", "part", "mean", "inverse"), "part")
     return joined.withColumn("distance", F.greatest(total, F.lit(0.0)))
 
 
@@ -326,7 +327,7 @@ def judge_quality(
     numbers = [f"{c}{i}" for c in "xv" for i in range(d)]
     estimates = robust_estimates(rows.select(F.explode(F.array(*levels)).alias("part"), *numbers), None, share, steps)
     groups = rows.groupBy(*levels).agg(F.count("*").alias("n"))
-    final = cut(mixed_estimates(groups, estimates, list(levels), parent_rows))
+    final = written(mixed_estimates(groups, estimates, list(levels), parent_rows))
     # Grouped by a second key too, so that it is dealt out again right below the join and a frequent pair can be split.
     final = final.groupBy("part", F.pmod(F.xxhash64("part"), F.lit(SALTS))).agg(
         F.first("mean").alias("mean"), F.first("covariance").alias("covariance")

@@ -83,10 +83,14 @@ def far(x, mean, covariance):
     return np.array([(a - mean) @ np.linalg.inv(c) @ (a - mean) for a, c in zip(x, np.broadcast_to(covariance, (len(x), 7, 7)), strict=True)])
 
 
+def low_median(x):
+    return np.sort(x, 0)[(len(x) - 1) // 2]
+
+
 def slow_estimate(x, v, share=0.75, steps=4):
     """The minimum covariance determinant of all rows in memory, ordered by exact distances."""
-    middle, own = np.median(x, 0), v.mean(0)
-    spread = 1.4826 * np.median(abs(x - middle), 0)
+    middle, own = low_median(x), v.mean(0)
+    spread = 1.4826 * low_median(abs(x - middle))
     turned = (x - middle) / np.sqrt(spread**2 + v)
     turned /= np.maximum(np.linalg.norm(turned, axis=1, keepdims=True), 1e-9)
     scale, found = np.sqrt(spread**2 + own), []
@@ -94,12 +98,12 @@ def slow_estimate(x, v, share=0.75, steps=4):
     for mean, c in ((middle, np.diag(spread**2)), (x.mean(0), np.cov(x.T, bias=True)), (middle, spatial)):
         c = c + np.diag(own)
         for _ in range(steps):
-            near = np.argsort(far(x, mean, c), kind="stable")[: int(share * len(x)) + 1]
+            near = np.argsort(far(x, mean, c), kind="stable")[: int(np.ceil(share * len(x)))]
             mean, noise = x[near].mean(0), np.diag(v[near].mean(0))
             c = np.cov(x[near].T, bias=True) + noise
         found.append((np.linalg.det(c), mean, c, noise))
     _, mean, c, noise = min(found, key=lambda e: e[0])
-    return len(x), mean, (c - noise) * max(1, np.median(far(x, mean, c)) / quality.chi_square_quantile(0.5, 7))
+    return len(x), mean, (c - noise) * max(1, low_median(far(x, mean, c)) / quality.chi_square_quantile(0.5, 7))
 
 
 def slow_distances(rows, parent_rows):
