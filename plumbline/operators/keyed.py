@@ -37,7 +37,7 @@ def count_value_checks(
     """
     rows, times = cdm[table], F.lit(1).cast("bigint")
     if cohort is not None:
-        rows = rows.join(cohort.weights(), F.col("person_id") == F.col("__subject"), "left")
+        rows = cdm.weighted(table, cohort)
         times = F.coalesce(F.col(WEIGHT), F.lit(0).cast("bigint"))
     slots = list(dict.fromkeys(checks.values()))
     types = {slot: cdm.datatype(table, slot.field) for slot in slots}

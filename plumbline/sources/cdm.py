@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 WEIGHT = "__weight"
 
 
@@ -109,6 +112,7 @@ class Cdm(Mapping[str, DataFrame]):
         self._tables: dict[str, DataFrame | None] = {}
         self._closed: dict[str, Loader] = {}
         self._failed: dict[str, Exception] = {}
+        self._weighted: dict[str, tuple[Cohort, DataFrame]] = {}
         for name, table in tables.items():
             if isinstance(table, DataFrame):
                 self._tables[name.lower()] = table
@@ -153,7 +157,43 @@ class Cdm(Mapping[str, DataFrame]):
 
     def with_table(self, name: str, table: DataFrame) -> Cdm:
         """The same tables with one replaced."""
-        return Cdm({**self._closed, **self._opened(), name.lower(): table})
+        changed = Cdm({**self._closed, **self._opened(), name.lower(): table})
+        changed._weighted = {key: kept for key, kept in self._weighted.items() if key != name.lower()}
+        return changed
+
+    def stored(self, names: Iterable[str], folder: str, cohort: Cohort | None = None) -> Cdm:
+        """The same tables, the named ones written below ``folder`` when they are first asked for, and read from there.
+
+        For tables that are costly to build, such as joins, and read by many checks: they are built once, not
+        once per group of checks. The folder must be one that all executors share. With a cohort, the memberships of each
+        row are stored beside it, so that its checks join nothing. A table that cannot be written is used as it is.
+        """
+        found = Cdm({**self._closed, **self._opened()})
+        found._weighted = dict(self._weighted)
+
+        def loader(name: str) -> Loader:
+            def load() -> DataFrame | None:
+                if name not in self:
+                    return None
+                table, path = self[name], f"{folder.rstrip('/')}/{name}"
+                weighted = cohort is not None and self.has_field(name, "person_id")
+                rows = self.weighted(name, cohort) if weighted else table
+                try:
+                    rows.write.parquet(path)
+                    kept = rows.sparkSession.read.schema(rows.schema).parquet(path)
+                except Exception as error:  # checks of other columns may well succeed
+                    log.warning("%s is not stored: %s", name, error)
+                    return table
+                if weighted:
+                    found._weighted[name] = (cohort, kept)
+                return kept.select(table.columns)
+
+            return load
+
+        for name in (name.lower() for name in names):
+            found._tables.pop(name, None)
+            found._closed[name] = loader(name)
+        return found
 
     def _opened(self) -> dict[str, DataFrame]:
         return {name: table for name, table in self._tables.items() if table is not None}
@@ -184,10 +224,26 @@ class Cdm(Mapping[str, DataFrame]):
         df = self[table]
         if cohort is None:
             return Rows(df)
+        kept = self._kept(table, cohort)
+        if kept is not None:
+            return Rows(kept.where(F.col(WEIGHT).isNotNull()), F.col(WEIGHT))
         weights = cohort.weights()
         joined = cohort.filtered(df).join(weights, F.col("person_id") == F.col("__subject")).drop("__subject")
         return Rows(joined, F.col(WEIGHT))
 
+    def _kept(self, table: str, cohort: Cohort) -> DataFrame | None:
+        """The stored rows with the memberships of this cohort, if there are any."""
+        whose, kept = self._weighted.get(table.lower(), (None, None))
+        return kept if whose is cohort else None
+
+    def weighted(self, table: str, cohort: Cohort) -> DataFrame:
+        """All rows of a table, with the number of memberships of their person; NULL for none."""
+        df = self[table]
+        kept = self._kept(table, cohort)
+        if kept is not None:
+            return kept
+        return df.join(cohort.weights(), F.col("person_id") == F.col("__subject"), "left").drop("__subject")
+
     def member_rows(self, table: str, cohort: Cohort | None = None) -> DataFrame:
         """Rows of a table as rows: with a cohort, one output row per membership."""
         df = self[table]

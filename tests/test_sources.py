@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from plumbline.fixtures import fixture_controls
+from plumbline.fixtures import fixture_controls, view
+from plumbline.operators import keyed, rowwise
 from plumbline.plans.checks import checks_to_run
+from plumbline.registry.queries import run_cdm
 from plumbline.sources import sinks
-from plumbline.sources.cdm import Cdm, cdm_from_catalog, cdm_from_files
+from plumbline.sources.cdm import Cdm, Cohort, cdm_from_catalog, cdm_from_files
 from plumbline.sources.control import read_control, read_controls
 from plumbline.sources.standard import standard_descriptions, standard_table_control
 
@@ -146,3 +148,52 @@ def test_report_of_several_runs(frame):
     assert sorted((r["run_id"], len(r["CheckResults"]), r["Overview"]["countOverallFailed"])
                   for r in found) == [(0, 2, 0), (1, 2, 2)]
     assert found[0]["Metadata"][0]["CDM_SOURCE_NAME"] == "Ours"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stored_table_is_built_once_and_joins_no_cohort(spark, frame, tmp_path):
+    facts = frame(
+        "id bigint, person_id bigint, note string",
+        [(1, 1, "a"), (2, 1, None), (3, 2, "b"), (4, None, "c"), (4, 3, None), (4, 1, "d")],
+    )
+    built = []
+
+    def build():
+        built.append(1)
+        return facts.join(frame("other bigint", [(1,), (2,), (3,), (4,), (4,)]), F.col("id") == F.col("other")).drop("other")
+
+    members = frame("cohort_definition_id bigint, subject_id bigint", [(1, 1), (1, 1), (1, 3), (2, 2), (1, None)])
+    cohort, other = Cohort(members, 1), Cohort(members, 2)
+    cdm = Cdm({"Facts": build})
+    stored = cdm.stored(["FACTS"], str(tmp_path / "stored"), cohort)
+    assert not built and stored["facts"].schema == cdm["facts"].schema
+    assert sorted(map(str, stored["facts"].collect())) == sorted(map(str, cdm["facts"].collect()))
+    for group in (None, cohort, other):
+        for count in (
+            lambda c: rowwise.is_required(c, "facts", "note", group),  # noqa: B023
+            lambda c: keyed.is_primary_key(c, "facts", "id", group),  # noqa: B023
+        ):
+            assert count(stored).first() == count(cdm).first()
+    assert "Join" in plan(cdm.rows("facts", cohort).df)
+    assert "Join" not in plan(stored.rows("facts", cohort).df)
+    assert "Join" not in plan(stored.weighted("facts", cohort)) and "Join" in plan(stored.weighted("facts", other))
+    assert len(built) == 1
+    changed = stored.with_table("facts", frame("id bigint, person_id bigint, note string", [(1, 2, None)]))
+    assert changed.rows("facts", cohort).df.count() == 0 and changed.rows("facts", other).df.count() == 1
+
+
+def test_a_table_that_cannot_be_stored_is_used_as_it_is(spark, tmp_path):
+    facts = spark.range(2).selectExpr("id", "CASE WHEN id = 0 THEN 'x' END AS text").selectExpr("*", "CAST(text AS BIGINT) AS bad")
+    cdm = Cdm({"facts": facts, "absent": lambda: None}).stored(["facts", "absent"], str(tmp_path / "stored"))
+    assert rowwise.is_required(cdm, "facts", "text").first()[0] == 1
+    assert "absent" not in cdm and cdm.failure("facts") is None
+
+
+def test_whole_runs_build_the_joined_table_once(spark):
+    for cohort in (None, Cohort(view(spark, DATA, "cohort"), 1)):
+        cdm = run_cdm(spark, DATA, cohort)
+        found = plan(cdm.rows("measurement", cohort).df)
+        assert "Join" not in found and "lineitem.parquet" not in found
