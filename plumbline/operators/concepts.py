@@ -89,10 +89,9 @@ def _value_counts(control: DataFrame, counted: DataFrame) -> DataFrame:
     place = F.when(bound.isNotNull(), F.dense_rank().over(order) - 1).when(F.col("kind") == LOW, -1).otherwise(2**31 - 1)
     asked = rules.select(*IDS, "kind", place.cast("int").alias("at"), F.lit(None).cast("bigint").alias("n"), CHECK_KEY)
     places = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_at").alias("at")) for kind in (LOW, HIGH)])
-    found = counted.where("low_at IS NOT NULL").select(
-        *IDS, "n", F.inline(places), F.lit(None).cast("string").alias(CHECK_KEY)
-    )
-    found = found.groupBy(*IDS, "kind", "at", CHECK_KEY).agg(F.sum("n").alias("n")).select(*line)
+    # Rows without a place are left out after the counting, so that the unit checks share its shuffle.
+    found = counted.select(*IDS, "n", F.inline(places), F.lit(None).cast("string").alias(CHECK_KEY))
+    found = found.where(F.col("at").isNotNull()).groupBy(*IDS, "kind", "at", CHECK_KEY).agg(F.sum("n").alias("n")).select(*line)
     whole = Window.partitionBy(*IDS, "kind")
     so_far = whole.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     total, upto = (F.coalesce(F.sum("n").over(w), F.lit(0)) for w in (whole, so_far))
@@ -108,7 +107,8 @@ def _unit_counts(control: DataFrame, counted: DataFrame) -> DataFrame:
     rules = control.where(F.col("kind") == UNITS).select(
         CHECK_KEY, F.col("concept_id").alias("rule_concept"), unit_list(F.col("units")).alias("unit_ids")
     )
-    units = counted.where("has_source_unit").groupBy(*IDS).agg(F.sum("n").alias("n"))
+    units = counted.groupBy(*IDS).agg(F.sum(F.when(F.col("has_source_unit"), F.col("n"))).alias("n"))
+    units = units.where(F.col("n").isNotNull())
     unit = F.col("unit_concept_id")
     violated = F.when(F.col("unit_ids").isNull(), unit.isNotNull()).otherwise(~F.array_contains("unit_ids", unit))
     return (
@@ -144,6 +144,7 @@ def count_value_checks(
     )
     same = (F.col("concept_id") == F.col("own_concept")) & (F.col("unit_concept_id") == F.col("own_unit"))
     placed = facts.join(wanted, F.col("concept_id") == F.col("own_concept"), "left_semi").join(bounds, same, "left")
+    placed = placed.where(F.col("has_source_unit") | F.col("lows").isNotNull())
     value = F.col("value")
     counted = (
         placed.select(
