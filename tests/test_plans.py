@@ -302,3 +302,14 @@ def test_a_hot_key_is_split(spark, check):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_unit_and_value_checks_share_one_scan(cdm, spark):
+    """The rows of a table are read, joined and dealt out once for both, though each needs other ones of them."""
+    control = concepts.concept_control(spark, "low", concepts.LOW, 7, unit_concept_id=2, low=10.0).unionAll(
+        concepts.concept_control(spark, "units", concepts.UNITS, 7, units="2,3")
+    )
+    df = concepts.count_value_checks(cdm, M, MC, control)
+    assert len(df.collect()) == 2
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len([text for text in columns(final) if "value_as_number" in text]) == 1 and "ReusedExchange" in final
