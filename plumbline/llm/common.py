@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,3 +66,17 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20) -> It
         size += n
     if batch.num_rows > start:
         yield batch.slice(start)
+
+
+def released(task: Task) -> Task:
+    """The task, which gives unused memory back to the system when its rows end. Spark keeps Python workers for later tasks and
+    hands them out in turn, so what each of them once held would add up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+        if trim is not None:
+            trim(0)
+
+    return run

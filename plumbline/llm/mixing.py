@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, cut, documents, slices
+from plumbline.llm.common import WORD, cut, documents, released, slices
 
 MOST_SOURCES = 10_000
 MOST_SHARDS = 4_096
@@ -270,4 +270,4 @@ def mixed_texts(mix: Mix) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(data, kept)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mix.documents.select(*kept).schema)
-    return joined.select(*kept, "size", "parts").mapInArrow(task, schema)
+    return joined.select(*kept, "size", "parts").mapInArrow(released(task), schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from plumbline.llm.common import documents, slices
+from plumbline.llm.common import documents, released, slices
 from plumbline.llm.tokens import encoder
 
 SCHEMA = (
@@ -118,7 +118,7 @@ def pack_documents(
             )
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=1 << 20):
                 keys = part.column("doc_id").to_pylist()
                 for key, ids in zip(keys, encode(part.column("text").to_pylist()), strict=True):
                     ids += end
@@ -137,4 +137,4 @@ def pack_documents(
         if rows:
             yield taken()
 
-    return documents(docs, doc_id, text).mapInArrow(task, SCHEMA)
+    return documents(docs, doc_id, text).mapInArrow(released(task), SCHEMA)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, documents, slices, written
+from plumbline.llm.common import cut, documents, released, slices, written
 from plumbline.llm.components import SALTS
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -79,7 +79,7 @@ def statistics(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id long, key long, lang string, source string, " + ", ".join(f"{name} long" for name in names)
     rows = docs.withColumn("key", F.xxhash64("doc_id", "text")).select(*ids, "text")
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(released(task), schema)
 
 
 def features() -> list[tuple[Column, Column]]:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, documents, slices, written
+from plumbline.llm.common import cut, documents, released, slices, written
 from plumbline.llm.components import SALTS
 
 GRAM = 64  # bytes of an anchor
@@ -92,7 +92,7 @@ def text_zones(docs: DataFrame, least: int) -> DataFrame:
                     )
 
     schema = "h long, z long, doc_id long, key long, place long"
-    return docs.select("doc_id", "key", "text").mapInArrow(task, schema)
+    return docs.select("doc_id", "key", "text").mapInArrow(released(task), schema)
 
 
 def nearest_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -176,7 +176,7 @@ def repeated_spans(docs: DataFrame, least: int, keep_first: bool, unique: bool)
     edges = kinds.join(several, "h").select("h", "kinds", "first.key", "first.place")
     few = edge_windows(docs, edges.where(F.col("kinds") <= MOST_IN_A_TASK), least)
     few = few.repartition("h").sortWithinPartitions("h").mapInArrow(
-        lambda batches: resolve(batches, least, keep_first), "key long, begin long, end long"
+        released(lambda batches: resolve(batches, least, keep_first)), "key long, begin long, end long"
     )
     if several.where(F.col("kinds") > MOST_IN_A_TASK).isEmpty():
         return whole.union(few)
@@ -218,7 +218,7 @@ def edge_windows(docs: DataFrame, edges: DataFrame, least: int) -> DataFrame:
 
     schema = "h long, doc_id long, key long, start long, offset int, n int, zone binary"
     # With all columns of docs, so that dealing them out is the same step as for the removal, and done once.
-    return docs.join(wanted, "key").mapInArrow(task, schema)
+    return docs.join(wanted, "key").mapInArrow(released(task), schema)
 
 
 def spread(batch: pa.RecordBatch, least: int) -> tuple[np.ndarray, ...]:
@@ -362,7 +362,7 @@ def remove_repeats(
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
     schema = f"{fields}, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary"
-    return rows.join(spans, "key", "left").mapInArrow(task, schema)
+    return rows.join(spans, "key", "left").mapInArrow(released(task), schema)
 
 
 def characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, cut, documents, slices
+from plumbline.llm.common import column, cut, documents, released, slices
 from plumbline.llm.components import connected_components
 from plumbline.llm.mixing import scramble
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, words: int = 3, width: int = 1, ids: tuple[str
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in ids], *columns], [*ids, *names])
 
     schema = ", ".join(f"{name} long" for name in [*ids, *names])
-    return docs.select(*ids, "text").mapInArrow(task, schema)
+    return docs.select(*ids, "text").mapInArrow(released(task), schema)
 
 
 def far_apart(planes: np.ndarray, query: np.ndarray, radius: int) -> np.ndarray:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -43,13 +43,11 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
     A plain byte-level BPE is handed to `tiktoken`, which gives the same ids in a third of the time; texts that hold one of the
-    file's added tokens, and all texts of other files, are encoded by `tokenizers`.
+    file's added tokens, and all texts of other files, are encoded by `tokenizers`, which is kept from the first of them on.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.vocabulary = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         file = json.loads(Path(path).read_text(encoding="utf-8"))
         self.added = [token["content"] for token in file["added_tokens"]]
@@ -59,6 +57,13 @@ class Encoder:
             from tiktoken import Encoding
 
             self.fast = Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            del self.tokenizer  # held once more than is needed
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def one(self, text: str | None) -> bytes:
         if not text:

@@ -1,3 +1,6 @@
+import subprocess
+import sys
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -138,3 +141,45 @@ def test_best_fit_decreasing_by_brute_force():
             slow[k].append(i)
         assert sorted(sum(sizes[i] for i in row) for row in rows) == sorted(width - room for room in free)
         assert sorted(i for row in rows for i in row) == list(range(len(sizes)))
+
+
+HELD = """
+import re
+import types
+import pyarrow as pa
+import public_tokenizers
+from plumbline.llm import packing
+from pathlib import Path
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+packing.TaskContext = types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0))
+packing.documents = lambda docs, *names: types.SimpleNamespace(mapInArrow=lambda task, schema: task)
+task = packing.pack_documents(None, public_tokenizers.path("byte_bpe_50k.json"))
+
+def batches():
+    for k in range(3):
+        texts = [f"word {i * 7919 % 10007} of {i} " * (20 + i % 300) for i in range(k, 9000 + k)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(9000)), pa.array(texts)], ["doc_id", "text"])
+
+list(task(pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["a b"])], ["doc_id", "text"]) for i in range(2)))
+before = held()
+rows = sum(out.num_rows for out in task(batches()))
+print(rows, round(held() - before))
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="memory is read from /proc")
+def test_packing_gives_memory_back():
+    """Spark keeps its Python workers; of some 80 MB that come in, a worker is not to hold on to much when its task is over."""
+    done = subprocess.run([sys.executable, "-c", HELD], capture_output=True, text=True, check=True, timeout=300)
+    rows, kept = map(int, done.stdout.split())
+    assert rows > 27_000 and kept < 70
+
+
+def test_tokenizers_is_loaded_for_texts_with_added_tokens_only():
+    own = tokens.Encoder(PATH)
+    assert own.vocabulary == max(REFERENCE.get_vocab(with_added_tokens=True).values()) + 1
+    assert decoded(own.one("plain text")) == ids("plain text") and "tokenizer" not in vars(own)
+    assert decoded(own.one("<|endoftext|> in text")) == ids("<|endoftext|> in text") and "tokenizer" in vars(own)
