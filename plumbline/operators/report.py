@@ -28,7 +28,7 @@ def counters() -> dict[str, Column]:
         "countThresholdFailed": "count_if(failed = 1 AND error IS NULL)",
         "countErrorFailed": "count(error)",
         "countOverallFailed": "count_if(failed = 1)",
-        "countPassed": "count(1) - count_if(failed = 1)",
+        "countPassed": "count_if(NOT failed <=> 1)",
         "countTotalPlausibility": "count_if(category = 'Plausibility')",
         "countTotalConformance": "count_if(category = 'Conformance')",
         "countTotalCompleteness": "count_if(category = 'Completeness')",

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+import shutil
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.report import counters
@@ -199,32 +205,111 @@ def write_reports(
 ) -> None:
     """The documents of ``report_document``, one JSON file per run (in folders named by the ``run`` columns), written line
     by line: a head with everything else, the records in order, and a tail. No row ever holds more than one
-    record, so a run may have any number. Read them with Spark's ``multiLine``."""
+    record, so a run may have any number. Read them with Spark's ``multiLine``. The run is in the document as well: many
+    folders are read with ``recursiveFileLookup``, since the time in which Spark finds columns in the names of folders
+    grows with the square of their number.
+
+    The results are worked out once and moved once, as columns; their text is made where it is written. On a disk that the
+    machines share, tasks write the files of runs themselves, see ``_write_files``."""
     started = F.lit(None).cast("timestamp") if started is None else started
     ended = F.lit(None).cast("timestamp") if ended is None else ended
     names = [("checkId" if n == "checkid" else n.upper(), n) for n in RESULT_COLUMNS]
     text = lambda value: F.to_json(value, {"ignoreNullFields": "false"})
-    results = result_table(results, run)
-    records = results.select(
-        *run, F.lit(1).alias("part"), "checkid", text(F.struct(*[F.col(n).alias(key) for key, n in names])).alias("line")
-    )
+    results, numbers = result_table(results, run), counters()
     about = F.struct(
-        *_stamps(started, ended), F.struct(*counters()).alias("Overview"), _about(metadata).alias("Metadata"),
+        *run, *_stamps(started, ended), F.struct(*numbers).alias("Overview"), _about(metadata).alias("Metadata"),
         F.lit(output_file).alias("outputFile"),
     )
     opened = text(about)  # without its last brace, since the records follow
-    head = F.concat(F.left(opened, F.length(opened) - 1), F.lit(',"CheckResults":['))
-    ends = results.groupBy(*run).agg(*[expr.alias(name) for name, expr in counters().items()]).select(
-        *run, F.inline(F.array(*[F.struct(F.lit(part).alias("part"), x.alias("line")) for part, x in ((0, head), (2, F.lit("]}")))]))
+    head = F.concat(F.left(opened, F.length(opened) - 1), F.lit(',"CheckResults":[\n'))
+    if not run and results.isEmpty():  # one document all the same
+        none = results.agg(*[expr.alias(name) for name, expr in numbers.items()])
+        none.select(F.concat(head, F.lit("]}")).alias("line")).write.mode("overwrite").text(path)
+        return
+    order = Window.partitionBy(*run).orderBy("checkid")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = [expr.over(whole).alias(name) for name, expr in numbers.items()]
+    placed = results.select("*", *counted, F.row_number().over(order).alias("place"))
+    line = F.concat(
+        F.when(F.col("place") == 1, head).otherwise(F.lit(",")),
+        text(F.struct(*[F.col(n).alias(key) for key, n in names])),
+        F.when(F.col("place") == F.col("countTotal"), F.lit("\n]}")).otherwise(F.lit("")),
     )
-    lines = records.unionByName(ends, allowMissingColumns=True)
-    order = Window.partitionBy(*run).orderBy("part", "checkid")
-    follows = (F.lag("part").over(order) == 1) & (F.col("part") == 1)
-    ordered = lines.withColumn("line", F.when(follows, F.concat(F.lit(","), "line")).otherwise(F.col("line")))
-    writer = ordered.sortWithinPartitions(*run, "part", "checkid").select(*run, "line").write.mode("overwrite")
+    lines = placed.select(*run, "place", line.alias("line"))
+    folder = _shared_disk(results.sparkSession, path) if run else None
+    if folder is not None:
+        _write_files(lines, folder, run)
+        return
+    writer = lines.sortWithinPartitions(*run, "place").select(*run, "line").write.mode("overwrite")
     (writer.partitionBy(*run) if run else writer).text(path)
 
 
+def _shared_disk(spark: SparkSession, path: str) -> str | None:
+    """The path as the operating system knows it, or None if it is not in its file system."""
+    if getattr(spark, "_jvm", None) is None:
+        return None
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    place = system.makeQualified(target).toUri()
+    return place.getPath() if place.getScheme() == "file" else None
+
+
+def _write_files(lines: DataFrame, folder: str, run: Sequence[str]) -> None:
+    """What ``partitionBy(*run).text`` writes, written by the tasks as plain files. On disks, Spark's writer starts three
+    processes per run, which set the modes of its folder, file and checksums; that takes several times as long as all the rest.
+
+    ``lines`` come run by run and in order, the first of each with ``place`` 1. A file gets its name when it is whole, and the
+    folder when all files are there; what was in its place goes then."""
+    first = F.when(F.col("place") == 1, F.array(*[F.col(name).cast("string") for name in run]))
+    rows = lines.select(first.alias("opens"), F.concat("line", F.lit("\n")).cast("binary").alias("line"))
+    staged = f"{os.path.dirname(folder)}/.{os.path.basename(folder)}-{uuid.uuid4().hex}"
+    os.makedirs(staged)
+    try:
+        rows.mapInArrow(_file_task(staged, tuple(run)), "files bigint").write.format("noop").mode("overwrite").save()
+        open(f"{staged}/_SUCCESS", "w").close()
+        if os.path.exists(folder):
+            shutil.rmtree(folder)
+        os.rename(staged, folder)
+    except BaseException:
+        shutil.rmtree(staged, ignore_errors=True)
+        raise
+
+
+def _file_task(
+    folder: str, run: tuple[str, ...]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes each run to a file in its folder. Uses nothing of this package, which workers may not find."""
+
+    def escaped(name):  # as Spark writes names of partitions
+        return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda found: f"%{ord(found[0]):02X}", name)
+
+    def task(batches):
+        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        file, named, files = None, None, 0
+        for batch in batches:
+            for values, line in zip(batch["opens"].to_pylist(), batch["line"].to_pylist(), strict=True):
+                if values is not None:
+                    if file is not None:
+                        file.close()
+                        os.replace(file.name, named)
+                    into = "/".join(
+                        f"{escaped(name)}={escaped(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+                        for name, value in zip(run, values, strict=True)
+                    )
+                    os.makedirs(f"{folder}/{into}", exist_ok=True)
+                    # Repeated tasks write the same names, each with files of its own until they are whole.
+                    name = f"part-{part:05d}-{files:06d}.txt"
+                    file, named = open(f"{folder}/{into}/.{name}.{attempt}", "wb"), f"{folder}/{into}/{name}"
+                    files += 1
+                file.write(line)
+        if file is not None:
+            file.close()
+            os.replace(file.name, named)
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    return task
+
+
 def write_report_json(document: DataFrame, path: str) -> None:
     """One JSON document per run; keys with NULL are written too."""
     document.write.mode("overwrite").option("ignoreNullFields", False).json(path)

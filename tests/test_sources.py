@@ -1,5 +1,8 @@
 """Reading tables and control files, writing results."""
 
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +200,88 @@ def test_whole_runs_build_the_joined_table_once(spark):
         cdm = run_cdm(spark, DATA, cohort)
         found = plan(cdm.rows("measurement", cohort).df)
         assert "Join" not in found and "lineitem.parquet" not in found
+
+
+ODD_RUNS = [None, "", "2", "a/b", "x=1%", "ü ?", "{c:d}'\"#"]
+
+
+def odd_results(frame, runs=ODD_RUNS):
+    rows = [
+        (run, f"c{i % 4}", i % 2, 1 - i % 2, "Plausibility", "\n\"," if i % 3 else None)
+        for run in runs
+        for i in range(5)
+    ]
+    return frame("site string, checkid string, failed int, passed int, category string, error string", rows)
+
+
+def report_texts(folder):
+    """Folder and text of each report; nothing but these and the mark of success is there."""
+    files = sorted(path.relative_to(folder) for path in folder.rglob("*") if path.is_file())
+    assert files.pop(files.index(Path("_SUCCESS"))) and {path.suffix for path in files} <= {".txt"}
+    return sorted((str(path.parent), (folder / path).read_text()) for path in files)
+
+
+def test_reports_of_runs(spark, frame, tmp_path):
+    """One document per run, with its run; a null run and an empty one are two."""
+    results = odd_results(frame)
+    sinks.write_reports(results, str(tmp_path / "reports"), run=["site"])
+    texts = report_texts(tmp_path / "reports")
+    documents = {json.loads(text)["site"]: json.loads(text) for _, text in texts}
+    assert len(texts) == len(documents) == len(ODD_RUNS) and set(documents) == set(ODD_RUNS)
+    for site, document in documents.items():
+        assert document["Overview"]["countTotal"] == 5 and document["Overview"]["countPassed"] == 3
+        assert [row["checkId"] for row in document["CheckResults"]] == ["c0", "c0", "c1", "c2", "c3"]
+    schema = sinks.report_document(results.limit(0), run=["site"]).schema
+    options = {"multiLine": True, "recursiveFileLookup": True}
+    read = spark.read.schema(schema).options(**options).json(str(tmp_path / "reports"))
+    expected = sinks.report_document(results, run=["site"])
+    rows = ["site", "Overview.*", F.size("CheckResults")]
+    assert sorted(map(str, read.select(*rows).collect())) == sorted(map(str, expected.select(*rows).collect()))
+
+
+def test_reports_of_runs_as_spark_writes_them(frame, tmp_path, monkeypatch):
+    """Where only Spark can write, folders and texts are the same."""
+    results = odd_results(frame, [run for run in ODD_RUNS if run != ""]).withColumn("day", F.lit("2024-02-29").cast("date"))
+    sinks.write_reports(results, str(tmp_path / "own"), run=["site", "day"])
+    monkeypatch.setattr(sinks, "_shared_disk", lambda spark, path: None)
+    sinks.write_reports(results, f"file:{tmp_path}/spark", run=["site", "day"])
+    for path in (tmp_path / "spark").rglob("*.crc"):
+        path.unlink()
+    own = report_texts(tmp_path / "own")
+    assert own == report_texts(tmp_path / "spark") and len(own) == len(ODD_RUNS) - 1
+
+
+def test_reports_work_results_out_once(spark, frame, tmp_path):
+    """The results are not computed again for the overview, and no file but the reports is written."""
+    seen = spark.sparkContext.accumulator(0)
+    results = odd_results(frame)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sinks.write_reports(results.mapInArrow(count, results.schema), f"file:{tmp_path}/reports", run=["site"])
+    assert seen.value == 5 * len(ODD_RUNS)
+    assert len(report_texts(tmp_path / "reports")) == len(ODD_RUNS)
+
+
+def test_reports_replace_others_when_all_are_written(frame, tmp_path):
+    results, folder = odd_results(frame), tmp_path / "reports"
+    sinks.write_reports(results.where("site = '2'"), str(folder), run=["site"])
+    before = report_texts(folder)
+    bad = results.withColumn("category", F.expr("IF(site = 'a/b', raise_error('bad row'), category)"))
+    with pytest.raises(Exception, match="bad row"):
+        sinks.write_reports(bad, str(folder), run=["site"])
+    assert report_texts(folder) == before and list(tmp_path.iterdir()) == [folder]
+    sinks.write_reports(results.where("site = 'a/b'"), str(folder), run=["site"])
+    assert [name for name, _ in report_texts(folder)] == ["site=a%2Fb"]
+    sinks.write_reports(results.limit(0), str(folder), run=["site"])
+    assert report_texts(folder) == [] and list(tmp_path.iterdir()) == [folder]
+
+
+def test_report_without_results(spark, frame, tmp_path):
+    """A run that has no results still has its document."""
+    sinks.write_reports(odd_results(frame).limit(0), str(tmp_path / "none"))
+    (text,) = [row[0] for row in spark.read.text(str(tmp_path / "none"), wholetext=True).collect() if row[0]]
+    assert json.loads(text)["CheckResults"] == [] and json.loads(text)["Overview"]["countTotal"] == 0
